@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import toxicity
-from stemma.llm.storage import crc_of_id
+from stemma.llm import packing, token_counts, toxicity
+from stemma.llm.storage import crc_of_id, cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +24,31 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity}
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents; a row for each piece."""
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four commits over all documents: all inserted, later copies deleted, the rest revised, the first batch again.
+
+    A copy is a document whose text another document with a smaller id has. The revision counts an end token for each
+    document that is left. The last commit repeats the first batch and changes nothing.
+    """
+    versions = {v: public_tokenizers.path(f) for v, f in (("byte_bpe_50k", "byte_bpe_50k.json"), ("byte_bpe_multi_50k", "byte_bpe_multi_50k.tiktoken"))}
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("same"), F.crc32(F.col("text").cast("binary")).alias("same2"))
+    counts = cut(token_counts.counted(docs, versions, ["doc_id", "source", "lang", "same", "same2"]))
+    first = counts.groupBy("same", "same2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    marked = counts.join(first, counts.same.eqNullSafe(first.same) & counts.same2.eqNullSafe(first.same2), "left").select(counts["*"], (F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))).alias("copy"))
+    copies, kept = (token_counts.long_counts(marked.where(x), versions) for x in ("copy", "not copy"))
+    rollup = token_counts.new_rollup(spark)
+    everything = token_counts.inserts(token_counts.long_counts(counts, versions))
+    rollup.commit("insert", everything)
+    rollup.commit("delete", token_counts.deletes(copies))
+    rollup.commit("revise", token_counts.revisions(kept, kept.withColumn("n_tokens", F.col("n_tokens") + 1)))
+    rollup.commit("insert", everything)
+    return rollup.totals(["insert", "delete", "revise"])
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op6_packing, op8_token_counts)}
 SQL: dict[str, str] = {}

@@ -27,11 +27,21 @@ def cut(df: DataFrame) -> DataFrame:
     The folder is the one named by ``spark.checkpoint.dir``; a temporary one is used only where none is set.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    folder = tempfile.mkdtemp(prefix="checkpoints-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` are within ``bound``; beyond it the join shuffles."""
     return F.broadcast(df) if rows <= bound else df
