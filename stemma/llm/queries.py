@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import packing, token_counts, toxicity
+from stemma.llm import decontaminate, packing, secrets, token_counts, toxicity
 from stemma.llm.storage import crc_of_id, cut
 
 
@@ -50,5 +50,20 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals(["insert", "delete", "revise"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op6_packing, op8_token_counts)}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold every document against every window of the benchmark."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = found.select("doc_id", "n_words", decontaminate.n_hit(F.col("hits")).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    return out.withColumn("contaminated", decontaminate.contaminated(F.col("n_hit"), F.col("n_words")))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find the secrets of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    of = lambda k: F.size(F.filter("__spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
+    base = F.filter("__spans", lambda x: x["kind"] < 3)
+    return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op6_packing, op8_token_counts, op10_secrets)}
 SQL: dict[str, str] = {}
