@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import decontaminate, language_id, packing, secrets, token_counts, toxicity
+from stemma.llm import decontaminate, language_id, lm, packing, secrets, token_counts, toxicity
 from stemma.llm.storage import crc_of_id, cut
 
 
@@ -31,6 +31,13 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.withColumn("held_out", F.pmod(crc_of_id(), F.lit(3)) == 1), model, ["doc_id", "held_out"])
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by the base and by the model, both learnt outside the held-out tenth."""
+    docs = table(spark, sf_dir, "documents")
+    model, counts = lm.fit(docs.where(F.pmod(crc_of_id(), F.lit(10)) != 0))
+    return lm.score(docs.withColumn("held_out", F.pmod(crc_of_id(), F.lit(10)) == 0), model, counts, ["doc_id", "held_out"])
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents; a row for each piece."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
@@ -72,5 +79,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op6_packing, op8_token_counts, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op5_lm_scoring, op6_packing, op8_token_counts, op10_secrets)}
 SQL: dict[str, str] = {}
