@@ -1,8 +1,4 @@
-"""Byte-level BPE ids of whole texts from public vocabulary files, each distinct word piece encoded once per worker.
-
-Byte-level BPE never merges across the pieces that its split pattern cuts, so the ids of a text are those of its pieces
-one after another. Words repeat, so a worker keeps the ids of the pieces it has seen.
-"""
+"""Byte-level BPE ids of whole texts from public vocabulary files."""
 
 from __future__ import annotations
 
@@ -12,58 +8,43 @@ from array import array
 from collections.abc import Callable
 
 import public_tokenizers
-import regex
-
-#: Pieces a worker remembers; beyond it, it forgets all and starts anew.
-REMEMBERED = 250_000
-_SPLIT = regex.compile(public_tokenizers.PATTERN)
-_OPEN: dict[str, Encoder] = {}
-
-
-class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit values. The strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str):
-        self._seen: dict[str, bytes] = {}
-        self._encode = _json(path) if path.endswith(".json") else _ranks(path)
+#: Texts of more characters than this go through ``tokenizers``, whose splitting needs no deep stack.
+LONG = 1_000_000
+_OPEN: dict[str, Callable[[str], bytes]] = {}
 
-    def __call__(self, text: str) -> bytes:
-        pieces = _SPLIT.findall(text)
-        seen = self._seen
-        try:
-            return b"".join([seen[x] for x in pieces])
-        except KeyError:
-            own = {x: seen.get(x) for x in pieces}
-            missing = [x for x, ids in own.items() if ids is None]
-            for x, ids in zip(missing, self._encode(missing)):
-                own[x] = array("I", ids).tobytes()
-            if len(seen) + len(missing) > REMEMBERED:
-                seen.clear()
-            if len(missing) <= REMEMBERED:
-                seen.update((x, own[x]) for x in missing)
-            return b"".join([own[x] for x in pieces])
 
-
-def _json(path: str) -> Callable[[list[str]], list[list[int]]]:
+def _json(path: str) -> Callable[[str], bytes]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-def _ranks(path: str) -> Callable[[list[str]], list[list[int]]]:
+def _ranks(path: str) -> Callable[[str], bytes]:
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [own.encode_ordinary(x) for x in texts]
+    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    twin = path.removesuffix(".tiktoken") + ".json"
+
+    def run(text: str) -> bytes:
+        if len(text) > LONG and os.path.exists(twin):
+            return encoder(twin)(text)
+        return array("I", encode(text)).tobytes()
+
+    return run
+
 
+def encoder(path: str) -> Callable[[str], bytes]:
+    """The worker's encoder for a vocabulary file, opened once: ids of a text as little-endian unsigned 32-bit values.
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file, opened once."""
+    A ``.json`` file is read by ``tokenizers``, a ``.tiktoken`` file of ranks by ``tiktoken``; the same vocabulary gives
+    the same ids either way. The strings of special tokens are ordinary text.
+    """
     if path not in _OPEN:
-        _OPEN[path] = Encoder(path)
+        _OPEN[path] = _json(path) if path.endswith(".json") else _ranks(path)
     return _OPEN[path]

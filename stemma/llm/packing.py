@@ -37,7 +37,7 @@ def pack(docs: DataFrame, path: str | None = None, most: int = SEQUENCE) -> Data
     other than doc_id and text are not read.
     """
     bounded_batches(docs.sparkSession)
-    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encode, rows = encoder(path), []
