@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import decontaminate, language_id, lm, packing, secrets, token_counts, toxicity
+from stemma.llm import decontaminate, fingerprint, language_id, lm, packing, secrets, token_counts, toxicity
 from stemma.llm.storage import crc_of_id, cut
 
 
@@ -43,6 +43,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text."""
+    return fingerprint.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four commits over all documents: all inserted, later copies deleted, the rest revised, the first batch again.
 
@@ -79,5 +84,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op5_lm_scoring, op6_packing, op8_token_counts, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op10_secrets)}
 SQL: dict[str, str] = {}
