@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import decontaminate, fingerprint, language_id, lm, packing, secrets, token_counts, toxicity
+from stemma.llm import decontaminate, fingerprint, language_id, lm, packing, secrets, sharding, token_counts, toxicity
 from stemma.llm.storage import crc_of_id, cut
 
 
@@ -31,6 +31,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.withColumn("held_out", F.pmod(crc_of_id(), F.lit(3)) == 1), model, ["doc_id", "held_out"])
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place every document in one of eight shards; the law is that of equal row counts."""
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document by the base and by the model, both learnt outside the held-out tenth."""
     docs = table(spark, sf_dir, "documents")
@@ -84,5 +90,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op10_secrets)}
 SQL: dict[str, str] = {}
