@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import decontaminate, fingerprint, language_id, lm, packing, secrets, sharding, token_counts, toxicity
+from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, secrets, sharding, token_counts, toxicity
 from stemma.llm.storage import crc_of_id, cut
 
 
@@ -82,6 +82,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("contaminated", decontaminate.contaminated(F.col("n_hit"), F.col("n_words")))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link all documents whose sets of three-word shingles are similar by nine tenths, and give the components."""
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_size")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Find the secrets of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -90,5 +95,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op10_secrets)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op9_jaccard_join, op10_secrets)}
 SQL: dict[str, str] = {}
