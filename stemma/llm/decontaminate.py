@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.storage import cut, small
+from stemma.llm.storage import cut, small, without
 
 WINDOW = 13
 SHINGLE = 5
@@ -110,3 +110,10 @@ def n_hit(hits: Column) -> Column:
 
 def contaminated(hit: Column, n_words: Column) -> Column:
     return (hit > 0) & (20 * hit >= n_words)
+
+
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, with their columns."""
+    found = scan(docs, items)
+    bad = cut(found.where(contaminated(n_hit(F.col("hits")), F.col("n_words"))).select("doc_id", "text_key").distinct())
+    return without(docs, bad, bad.count())

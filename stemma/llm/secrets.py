@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemma.llm.storage import private
+
 #: The patterns of secrets, and group 2 of an assignment.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -117,3 +119,13 @@ def masked(text: Column, spans: Column) -> Column:
         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))),
     )
     return F.when(F.size(spans) == 0, text).otherwise(folded)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with MASK in place of the secrets in ``text``; ``n_chars``, if there, follows. Texts without secrets stay as they are."""
+    spans = private(docs, "spans")
+    found = scan(docs, out=spans)
+    found = found.withColumn("text", F.when(F.size(spans) > 0, masked(F.col("text"), F.col(spans))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)

@@ -47,6 +47,20 @@ def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= bound else df
 
 
+def private(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken, out = {c.lower() for c in df.columns}, f"__{name}"
+    while out in taken:
+        out = f"_{out}"
+    return out
+
+
+def without(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, hash of the text) isn't among the ``rows`` rows of ``keys`` (doc_id, text_key), with the columns of ``docs``."""
+    k = small(keys.select(F.col("doc_id").alias("__lost_id"), F.col("text_key").alias("__lost_key")), rows)
+    return docs.join(k, docs["doc_id"].eqNullSafe(k["__lost_id"]) & (F.xxhash64(docs["text"]) == k["__lost_key"]), "left_anti")
+
+
 def text_bytes(name: str = "text") -> Column:
     """UTF-8 bytes of a text column, empty for null."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, in_batches, sliced, small, text_bytes
+from stemma.llm.storage import bounded_batches, in_batches, private, sliced, small, text_bytes
 
 BITS = 20
 #: A document is toxic from this score on.
@@ -99,16 +99,17 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     return Model(np.frombuffer(got[0].at, "<i4").astype(np.int64), np.frombuffer(got[0].weight, np.float32), got[0].bias)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and ``score`` (0 to 1) for every row of ``docs``.
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """Columns ``keep`` and the score (0 to 1), called ``name``, for every row of ``docs``.
 
     Null and empty texts have no features and score as the bias alone. Repeated rows score alike. Other columns of
     ``docs`` are not read.
     """
     bounded_batches(docs.sparkSession)
+    data = private(docs, "bytes")
     sent = docs.sparkSession.sparkContext.broadcast((model.index, model.weight, model.bias))
-    source = docs.select(*keep, text_bytes().alias("__bytes"))
-    schema = source.drop("__bytes").schema.add("score", "double")
+    source = docs.select(*keep, text_bytes().alias(data))
+    schema = source.drop(data).schema.add(name, "double")
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         index, weight, bias = sent.value
@@ -117,13 +118,13 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         t = textkit.tokenise(part.columns[-1].to_pylist(), textkit.ALNUM)
         pairs = []
         for gaps in ((), (1,), (2,)):
-            name, doc = textkit.grams(t, gaps)
-            at = (name >> np.uint64(64 - BITS)).astype(np.int64)
+            gram, doc = textkit.grams(t, gaps)
+            at = (gram >> np.uint64(64 - BITS)).astype(np.int64)
             hit = dense[at] != 0
             pairs.append(doc[hit].astype(np.int64) << BITS | at[hit])
         both = np.unique(np.concatenate(pairs))
         total = np.bincount(both >> BITS, weights=dense[both & (2**BITS - 1)], minlength=part.num_rows) + bias
         out = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
-        yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out)], names=[*part.schema.names[:-1], "score"])
+        yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out)], names=schema.names)
 
     return in_batches(source, work, schema)
