@@ -136,7 +136,7 @@ def nce(counts: np.ndarray, noise: np.ndarray, rounds: int = 60, rate: float = 0
         c, r, b = params
         right = 1 / (1 + np.exp(np.clip(log_kn - (c @ r.T + b), -30, 30)))
         grad = (counts * (1 - right) - NOISE * weight * noise * right) * scale
-        grads = [grad @ r, (share := grad * (weight / weight.sum() * size)).T @ c / size * 8, share.sum(axis=0) / size * 8]
+        grads = [grad @ r, (share := grad * (weight / max(weight.sum(), 1) * size)).T @ c / size * 8, share.sum(axis=0) / size * 8]
         for k, g in enumerate(grads):
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g

@@ -21,6 +21,8 @@ from stemma.llm.storage import bounded_batches, in_batches, private, sliced, sma
 BITS = 20
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
+#: The bias of a model without labels.
+UNLABELLED = -35.0
 #: Bound on the labelled documents that a model is fitted on, a documented parameter: if there are more, those with the smallest id hashes.
 TRAIN_DOCS = 10_000
 
@@ -69,14 +71,14 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
 
     Labels that are null are left out; a document with several labels has their maximum. At most about ``bound``
     documents are used: all, or those whose id hash falls under the fitting threshold. They go to one task, which
-    returns the weights other than zero. Without labels the model is a bias of 0, so every score is 0.5.
+    returns the weights other than zero. Without labels nothing is held to be toxic: every score is next to 0.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__y"))
     total = known.count()
     if not total:
-        return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), UNLABELLED)
     share = min(1.0, bound / total)
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).join(small(chosen, min(total, 2 * bound)), "__id").select("__id", F.col("__y").cast("int"), text_bytes("__text"))
@@ -95,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
 
     got = rows.repartition(1).mapInArrow(train, "at binary, weight binary, bias double").collect()
     if not got:
-        return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), UNLABELLED)
     return Model(np.frombuffer(got[0].at, "<i4").astype(np.int64), np.frombuffer(got[0].weight, np.float32), got[0].bias)
 
 
