@@ -34,7 +34,7 @@ def replaced(rows: DataFrame, old, new) -> DataFrame:
     return changed.where("replacement = __other").drop("__other")
 
 
-def without_specials(rows: DataFrame, special: str = "monster120903110921") -> DataFrame:
+def without_specials(rows: DataFrame, special: str) -> DataFrame:
     """Origins of merged entries one by one (filename, bibkey, id), from ``srctrickle`` and ``id``; rows without id and the special origin go."""
     each = rows.where("id is not null").select("id", F.explode(F.split("srctrickle", ", ")).alias("o"))
     parts = each.select(F.substring_index("o", "#", 1).alias("filename"), F.substring_index("o", "#", -1).alias("bibkey"), "id")

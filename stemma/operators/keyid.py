@@ -58,12 +58,12 @@ def keyed(entries: DataFrame, key: str, frequencies: DataFrame | None = None) ->
     return out.select(*entries.columns, F.when(contributor.isNull(), missing).otherwise(known).alias("hash"))
 
 
-def key_of(fields: dict[str, str], frequencies: dict[str, int] | None = None, count: int = 2) -> str:
+def key_of(fields: dict[str, str], frequencies: dict[str, int] | None = None, count: int = 2, id_field: str = "ref_id") -> str:
     """The same key of one entry's fields, in Python; for checks and small sets."""
     strip = lambda c, x: re.sub(r"[^a-z\d\-_\[\]]", c, x.lower())
     who = fields.get("author", fields.get("editor"))
     if who is None:
-        order = sorted((f for f in fields if f != "glottolog_ref_id"), key=lambda f: (FIELD_ORDER.index(f) if f in FIELD_ORDER else len(FIELD_ORDER), f))
+        order = sorted((f for f in fields if f != id_field), key=lambda f: (FIELD_ORDER.index(f) if f in FIELD_ORDER else len(FIELD_ORDER), f))
         return "__missingcontrib__" + strip("_", "".join(fields[f] for f in order))
     bare = scalar.undiacritic(fields.get("title", "no.title").lower()).replace("'", "").replace('"', "")
     types = list(dict.fromkeys(w for w in re.split(fn.WORD_BREAK, bare) if re.match(r"[a-zA-Z].", w)))

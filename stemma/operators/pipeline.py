@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from stemma.lineage import cut
 from stemma.operators import compare, identity, keyid, merge, resolve
 
-ID_FIELD = "glottolog_ref_id"
+#: The field that keeps an entry's id between runs; a parameter of what reads and writes it.
+ID_FIELD = "ref_id"
 
 
 @dataclass
@@ -50,14 +51,14 @@ def values_of(entries: DataFrame) -> DataFrame:
     return entries.select("filename", "bibkey", F.explode(pairs).alias("field", "value"))
 
 
-def build(entries: DataFrame, files: DataFrame, similar: bool = True) -> Build:
+def build(entries: DataFrame, files: DataFrame, similar: bool = True, id_field: str = ID_FIELD) -> Build:
     """Keys, ids and values of all entries. Earlier ids that are no numbers are rejected and count as none."""
     unknown = entries.select("filename").distinct().join(files, "filename", "left_anti")
     if not unknown.isEmpty():
         raise ValueError("entries of files without a priority")
     at = lambda k: F.try_element_at("fields", F.lit(k))
     names = ["author", "editor", "title", "year", "volume", "journal", "booktitle", "series", "extra_hash", *[f for f in keyid.FIELD_ORDER if f not in ("author", "editor", "title", "year", "volume", "journal", "booktitle", "series")]]
-    wide = entries.select(F.concat_ws("\u0000", "filename", "bibkey").alias("__key"), "filename", "bibkey", at(ID_FIELD).alias("__ref"), *[at(n).alias(n) for n in names])
+    wide = entries.select(F.concat_ws("\u0000", "filename", "bibkey").alias("__key"), "filename", "bibkey", at(id_field).alias("__ref"), *[at(n).alias(n) for n in names])
     keyed = keyid.keyed(wide, "__key")
     refid = F.col("__ref").try_cast("long")
     own = cut(keyed.select("filename", "bibkey", "__ref", refid.alias("refid"), "hash"))

@@ -165,11 +165,10 @@ p AS (SELECT key, list_filter(string_split_regex(s, '[,\\-/\\s\\[\\]]+'), lambda
 SELECT key, CASE len(p) WHEN 0 THEN '[nd]' WHEN 1 THEN p[1] ELSE p[1] || '-' || left(p[1], greatest(length(p[1]) - length(p[-1]), 0)) || p[-1] END AS year FROM p""")
 def year_range(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "part")
-    size, later = F.col("p_size").cast("string"), (10 + F.col("p_size")).cast("string")
+    later = (10 + F.col("p_size")).cast("string")
     k = F.col("p_partkey") % 5
     text = F.when(k == 0, F.concat(F.lit("18"), later, F.lit("-"), (F.col("p_size") % 10).cast("string"))).when(k == 1, F.concat(F.lit("[19"), later, F.lit("] 1952"))).when(k == 2, "in press")
     text = text.when(k == 3, F.concat(F.lit("18"), later, F.lit("/19"), later)).otherwise("")
-    del size
     return p.select(F.col("p_partkey").alias("key"), fn.year(text).alias("year"))
 
 

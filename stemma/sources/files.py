@@ -60,14 +60,14 @@ def flat_languoids(texts: DataFrame, level: str) -> DataFrame:
     return placed.select(parsed_line(F.col("line")).alias("x"), F.lit(level).alias("level"), lineage.alias("lineage")).select("x.*", "level", "lineage")
 
 
-def languoid_directory(spark: SparkSession, root: str) -> DataFrame:
+def languoid_directory(spark: SparkSession, root: str, code_key: str = "code") -> DataFrame:
     """Languoids of a tree of folders ``slug.id``, each with an INI: name, id, level, iso, status, ancestors (ids, farthest first)."""
     data = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ini").load(root)
     text = F.decode("content", "UTF-8")
     value = lambda key: F.nullif(F.trim(F.regexp_extract(text, rf"(?m)^{key}\s*[=:]\s*(.*)$", 1)), F.lit(""))
     folders = F.filter(F.split("path", "/"), lambda x: F.regexp_like(x, F.lit(r"\.[a-z0-9]{4}[0-9]{4}$")))
     ids = F.transform(folders, lambda x: F.substring_index(x, ".", -1))
-    return data.select(value("name").alias("name"), value("glottocode").alias("id"), value("level").alias("level"), value("iso639-3").alias("iso"), value("classification_status").alias("status"), F.slice(ids, F.lit(1), F.size(ids) - 1).alias("ancestors"))
+    return data.select(value("name").alias("name"), value(code_key).alias("id"), value("level").alias("level"), value("iso639-3").alias("iso"), value("classification_status").alias("status"), F.slice(ids, F.lit(1), F.size(ids) - 1).alias("ancestors"))
 
 
 def keyed_records(texts: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ class Source:
     filename: str
     encoding: str = "utf-8"
     sortkey: str | None = None
-    use_pybtex: bool = True
+    strict: bool = True
     priority: int = 0
     name: str = ""
     title: str = ""
@@ -41,13 +41,13 @@ class Source:
 class Catalog(list):
     """Sources in order, found by place or by filename."""
 
-    def __init__(self, text: str, ending: str = ".bib"):
+    def __init__(self, text: str, ending: str = ".bib", strict_key: str = "strict"):
         c = parser(text)
         for section in c.sections():
             if section.endswith(ending):
                 s = c[section]
                 sortkey = s.get("sortkey", "none")
-                self.append(Source(section, s.get("encoding", "utf-8"), None if sortkey.lower() == "none" else sortkey, s.getboolean("use_pybtex", True), s.getint("priority", 0), *(s.get(k, "") for k in ("name", "title", "description", "abbr"))))
+                self.append(Source(section, s.get("encoding", "utf-8"), None if sortkey.lower() == "none" else sortkey, s.getboolean(strict_key, True), s.getint("priority", 0), *(s.get(k, "") for k in ("name", "title", "description", "abbr"))))
 
     def __getitem__(self, key):
         if isinstance(key, str):
