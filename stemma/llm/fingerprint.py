@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm.storage import BYTES_PER_BATCH, bounded_batches, text_bytes
-from stemma.llm.textkit import mix
+from stemma.llm.textkit import distinct, mix
 
 ROUNDS = 3
 #: The first level whose phrases count, and how many names a fingerprint keeps.
@@ -97,7 +97,7 @@ def sketches(texts: list[str]) -> list[np.ndarray]:
             symbol, doc = phrases(symbol, doc)
         level += 1
     name, doc = mix(np.concatenate(names) ^ _U(0xA5A5A5A5A5A5A5A5)) >> _U(32), np.concatenate(docs).astype(np.uint64)
-    both = np.unique(doc << _U(32) | name)
+    both = distinct(doc << _U(32) | name)
     edges = np.searchsorted(both >> _U(32), np.arange(len(texts) + 1, dtype=np.uint64))
     return [(both[a : min(b, a + KEPT)] & _U(0xFFFFFFFF)).astype(">u4") for a, b in zip(edges, edges[1:])]
 
@@ -107,9 +107,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
     The Jaccard similarity J is estimated from the KEPT smallest names of the union, and the share is 2J / (1 + J).
     """
-    both = np.union1d(a, b)[:KEPT]
-    common = int(np.isin(both, np.intersect1d(a, b, assume_unique=True), assume_unique=True).sum())
-    return 2 * common / (len(both) + common)
+    every = np.sort(np.concatenate([a, b]).astype(np.uint32))
+    twice = every[1:] == every[:-1]
+    union = every[np.concatenate([[True], ~twice])][:KEPT]
+    common = int((every[1:][twice] <= union[-1]).sum())
+    return 2 * common / (len(union) + common)
 
 
 def edited(text: str, following: str) -> str:

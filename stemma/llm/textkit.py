@@ -43,6 +43,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values of an array, by sorting."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def _powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
         for i, base in enumerate((_BASE, _INVERSE)):
