@@ -40,7 +40,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     found = [textkit.grams(t, gaps) for gaps in ((), (1,), (2,))]
     doc = np.concatenate([d for _, d in found]).astype(np.int64)
     at = np.concatenate([h >> np.uint64(64 - BITS) for h, _ in found]).astype(np.int64)
-    both = np.unique(doc << BITS | at)
+    both = textkit.distinct(doc << BITS | at)
     return both >> BITS, both & (2**BITS - 1)
 
 
@@ -124,7 +124,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -
             at = (gram >> np.uint64(64 - BITS)).astype(np.int64)
             hit = dense[at] != 0
             pairs.append(doc[hit].astype(np.int64) << BITS | at[hit])
-        both = np.unique(np.concatenate(pairs))
+        both = textkit.distinct(np.concatenate(pairs))
         total = np.bincount(both >> BITS, weights=dense[both & (2**BITS - 1)], minlength=part.num_rows) + bias
         out = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
         yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out)], names=schema.names)
