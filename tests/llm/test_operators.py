@@ -99,7 +99,9 @@ def check_shards(out, rows, shards=8):
 
 
 def test_sharding(spark, odd, none):
-    check_shards(sharding.shard_documents(odd).collect(), len(ROWS))
+    out = sharding.shard_documents(odd).collect()
+    check_shards(out, len(ROWS))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _, _ in ROWS)
     assert sharding.shard_documents(none).count() == 0
     docs = spark.createDataFrame([(i, f"text {i // 3}" if i < 90 else "same" if i < 190 else f"own {i}") for i in range(400)], "doc_id long, text string")
     out = sharding.shard_documents(docs).collect()
