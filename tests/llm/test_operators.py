@@ -196,8 +196,8 @@ def test_a_commit_that_broke_off_is_made_again(spark):
     assert rollup.totals(["b"]).count() == 0 and rollup.commit("b", rows) and rollup.totals(["b"]).first().n_tokens == 5
 
 
-def components(rows):
-    sets = {k: frozenset(zip(w, w[1:], w[2:])) if len(w) >= 3 else frozenset([tuple(w)] if w else []) for k, (_, w) in enumerate(rows)}
+def components(rows, percent=90, size=3):
+    sets = {k: frozenset(zip(*(w[i:] for i in range(size)))) if len(w) >= size else frozenset([tuple(w)] if w else []) for k, (_, w) in enumerate(rows)}
     up = {k: k for k in sets}
 
     def root(k):
@@ -207,7 +207,7 @@ def components(rows):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 up[root(a)] = root(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -216,8 +216,8 @@ def components(rows):
     return Counter((i, len(sets[k]), least.get(root(k)) if sets[k] else i) for k, (i, _) in enumerate(rows))
 
 
-def joined(df):
-    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(df).collect())
+def joined(df, *how):
+    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(df, *how).collect())
 
 
 def test_jaccard_join(spark, odd, none):
@@ -231,7 +231,9 @@ def test_jaccard_join(spark, odd, none):
         for _ in range(rng.integers(0, 4)):
             w[rng.integers(0, 60)] = str(rng.integers(0, 300))
         texts.append((i, " ".join(w)))
-    assert joined(spark.createDataFrame(texts, "doc_id long, text string")) == components([(i, words_of(t)) for i, t in texts])
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert joined(df) == components([(i, words_of(t)) for i, t in texts])
+    assert joined(df, 80, 5) == components([(i, words_of(t)) for i, t in texts], 80, 5)
 
 
 def test_groups_that_are_split(spark, monkeypatch):
