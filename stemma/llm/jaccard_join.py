@@ -130,8 +130,10 @@ def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> Dat
     described = in_batches(source, describe, f"doc_id {kind}, text_key long, n long, high long, low long, prefix array<long>")
     described = cut(described)
     key = ["n", "high", "low"]
-    classes = described.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.count("*").alias("class_size"), F.first("prefix").alias("prefix"))
-    classes = cut(classes.withColumn("class", F.xxhash64(*key)))
+    # Id and text key are those of one row, as the class's text is looked up by both; a null id comes last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    classes = described.where("n > 0").groupBy(*key).agg(first.alias("first"), F.count("*").alias("class_size"), F.first("prefix").alias("prefix"))
+    classes = cut(classes.select(*key, F.col("first.doc_id").alias("least_id"), F.col("first.text_key").alias("text_key"), "class_size", "prefix", F.xxhash64(*key).alias("class")))
     rows = classes.select("class", "n", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
     rows = cut(rows.join(shared, "token"))
@@ -262,7 +264,7 @@ def _opened(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     for batch in batches:
         for key, role, name, data in zip(*(c.to_pylist() for c in batch.columns)):
             if key != at:
-                if group is not None and not group.closed:
+                if group is not None and not group.closed and group.names:
                     out += group.close()
                 at, group = key, _Group(percent)
             tokens = np.frombuffer(data, np.uint64)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -242,6 +243,28 @@ def test_groups_that_are_split(spark, monkeypatch):
     assert joined(spark.createDataFrame(texts, "doc_id long, text string")) == components([(i, words_of(t)) for i, t in texts])
 
 
+def test_classes_of_differing_texts_keep_their_links(spark):
+    """Equal sets whose texts differ in blanks, case and repeats, each class with a near copy elsewhere."""
+    texts = []
+    for g in range(8):
+        words = [f"g{g}w{j}" for j in range(80)]
+        plain, near = " ".join(words), " ".join([*words, f"own{g}"])
+        same = [plain, plain.upper(), plain.replace(" ", "  "), plain + "\n", " " + plain, "\t".join(words), plain.title()]
+        texts += [(100 * g + 10 + i, t) for i, t in enumerate(same)] + [(100 * g + (1 if g % 2 else 50), near)]
+    texts.append((None, texts[0][1] + "  "))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for how in ((), (80, 5)):
+        assert joined(df, *how) == components([(i, words_of(t)) for i, t in texts], *how)
+    assert {r.doc_id for r in jaccard_join.deduplicated(df).collect()} == {100 * g + (1 if g % 2 else 10) for g in range(8)}
+
+
+def test_a_group_without_members_is_passed_over():
+    a, b = (np.arange(k, k + 40, dtype=np.uint64).tobytes() for k in (0, 1))
+    rows = [(1, 1, 7, a), (2, 0, 8, a), (2, 1, 9, b)]
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["group", "role", "class", "tokens"])
+    assert [x for out in jaccard_join._opened(iter([batch]), 90) for x in zip(*(c.to_pylist() for c in out.columns))] == [(9, 8)]
+
+
 def test_connected_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (5, 5)], "a long, b long")
     got = {r.node: r.component for r in jaccard_join.connected(links).collect()}
