@@ -23,10 +23,15 @@ ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 WINDOW = 20
-#: Least bits a symbol in a window, by class.
-HEX_BITS, BASE64_BITS = 3.0, 3.9
+#: Least bits a symbol in a window, by class; random base 62 windows nearly all reach the second.
+HEX_BITS, BASE64_BITS = 3.0, 3.5
+#: A word in one case, capitalised or of capitalised parts; possessive, as Java would recurse otherwise.
+_WORD = r"(?:[A-Z]++(?![a-z])|[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+)"
 #: Allow-list, candidates that are no secrets: words, and paths and compounds of words; UUIDs; rules of one repeated character; dates and times.
-ALLOW = r"^(?:[A-Za-z/_=+-]+|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|(.)\1+|[0-9/_-]+)$"
+ALLOW = rf"^(?:[/_=+-]*+{_WORD}(?:[/_=+-]++{_WORD})*+[/_=+-]*+|[/_=+-]+|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|(.)\1+|[0-9/_-]+)$"
+#: Paths and compounds of words and numbers are secrets only from these bits on.
+_PART = rf"(?:{_WORD}[0-9]{{0,4}}+|[0-9]++)"
+NUMBERED, NUMBERED_BITS = rf"^[/_=+-]*+{_PART}(?:[/_=+-]++{_PART})*+[/_=+-]*+$", 3.9
 MASK = "<secret>"
 
 
@@ -85,7 +90,8 @@ def _slide(r: Column) -> Column:
 def _secret_run(run: Column) -> Column:
     """Is a candidate a secret by its entropy? The cheap allow-list comes first."""
     hexadecimal = F.regexp_like(run, F.lit(r"^[0-9A-Fa-f]+$"))
-    return F.when(F.regexp_like(run, F.lit(ALLOW)), F.lit(False)).otherwise(window_entropy(run) >= F.when(hexadecimal, HEX_BITS).otherwise(BASE64_BITS))
+    least = F.when(hexadecimal, HEX_BITS).when(F.regexp_like(run, F.lit(NUMBERED)), NUMBERED_BITS).otherwise(BASE64_BITS)
+    return F.when(F.regexp_like(run, F.lit(ALLOW)), F.lit(False)).otherwise(window_entropy(run) >= least)
 
 
 def scan(docs: DataFrame, text: str = "text", out: str = "__spans") -> DataFrame:

@@ -304,6 +304,18 @@ def test_secrets(spark, odd, none):
     assert all(not spans_of(m)[0] for m in masked) and masked[5] == texts[5] and masked[0].startswith("é <secret>")
 
 
+def test_random_tokens_are_secrets(spark):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    for symbols, size, most in ((62, 20, 0.01), (62, 24, 0.005), (52, 20, 0.02), (52, 24, 0.01)):
+        df = spark.createDataFrame([("".join(x),) for x in letters[rng.integers(0, symbols, (2000, size))]], "text string")
+        lost = secrets.scan(df).where(~F.exists("__spans", lambda x: x["kind"] == 3)).count()
+        assert lost <= most * 2000, (symbols, size, lost)
+    plain = ["/some/path-of-words/andmore", "AbstractSingletonProxyFactory", "/Users/Name/Documents/Letters", "SHOUTED_WORDS_IN_A_ROW", "/2024/05/some-title-of-words", "chapter-12-of-the-longest-book", "-_" * 15, "a/" * 50_000, "ab1/" * 20_000]
+    df = spark.createDataFrame([(t,) for t in plain], "text string")
+    assert not any(r["__spans"] for r in secrets.scan(df).collect())
+
+
 def test_window_entropy(spark):
     runs = ["aaaaaaaaaaaaaaaaaaaaaaaa", "abcdefghijklmnopqrstuvwxyz", "ab", "aabbccddeeffgghhiijjkkll1234"]
     got = [r.e for r in spark.createDataFrame([(r,) for r in runs], "r string").select(secrets.window_entropy(F.col("r")).alias("e")).collect()]
