@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, cut, in_batches, text_bytes
+from stemma.llm.storage import bounded_batches, cut, in_batches, small, text_bytes
 
-#: Bound on the documents that a model is fitted on, a documented parameter: all, or those with the smallest id hashes.
+#: Bound on the documents that a model is fitted on, a documented parameter: all, or of each language those with the smallest id hashes.
 TRAIN_DOCS = 6_000
 ROUNDS = 2
 #: A word longer than this many characters is cut into words of this length.
 LONGEST = 24
 #: Words whose scores a worker remembers.
 REMEMBERED = 200_000
+_HASHES = 1 << 20
 _MARK = "▁"
 _FLOOR = 1e-7
 _PIECES: dict[str, dict[str, int]] = {}
@@ -116,19 +117,33 @@ class Model:
     path: str
 
 
+def equal_share(sizes: list[int], bound: int) -> float:
+    """The most documents a language may use, for all to use ``bound`` together, or all that there are."""
+    left = bound
+    for k, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - k) > left:
+            return left / (len(sizes) - k)
+        left -= n
+    return float(max(sizes, default=0))
+
+
 def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, rounds: int = ROUNDS) -> Model:
     """Fit to the texts of ``docs`` (doc_id, text, lang); rows with a null language or text are left out.
 
-    At most about ``bound`` documents are used, chosen by the hash of their ids. Words are counted by language and the
-    counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
+    At most about ``bound`` documents are used, chosen by the hash of their ids: languages have equal shares, and what one
+    doesn't use is shared by the others. The documents of the least hash of a language are always used, so every language
+    is learnt, also beyond the bound. Words are counted by language and the counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.where("lang is not null and text is not null")
-    total = known.count()
-    share = min(1.0, bound / max(total, 1))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    known = known.select(F.col("lang").cast("string").alias("lang"), text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("h"))
+    found = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    share = equal_share([r.n for r in found], bound)
+    below = [(r.lang, max(int(min(1.0, share / r.n) * _HASHES), r.least + 1)) for r in found]
+    limits = small(spark.createDataFrame(below, "lang string, below long"), len(below))
+    chosen = known.join(limits, "lang").where("h < below")
 
     def count(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -140,7 +155,7 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
         rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
         yield pa.record_batch(list(map(pa.array, zip(*rows))) if rows else [pa.array([], t) for t in (pa.string(), pa.binary(), pa.int64())], ["lang", "word", "n"])
 
-    counted = in_batches(chosen.select(F.col("lang").cast("string"), text_bytes().alias("t")), count, "lang string, word binary, n long")
+    counted = in_batches(chosen.select("lang", "t"), count, "lang string, word binary, n long")
     words = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
     size = len(pieces(path)) + 2

@@ -91,6 +91,15 @@ def test_language(odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, language_id.fit(none), ["doc_id"]).collect()} == {"und"}
 
 
+def test_rare_languages_are_learnt(spark):
+    rows = [(i, "some words that are common here", "en") for i in range(2000)] + [(5000 + i, f"rare {'abcdefghijklmnopqrst'[i] * 4}", f"x{i:02}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for bound in (100, 10):
+        model = language_id.fit(df, bound=bound)
+        assert model.languages == sorted({r[2] for r in rows})
+    assert language_id.equal_share([5, 100, 1000], 105) == 50 and language_id.equal_share([5, 6], 100) == 6 and language_id.equal_share([], 9) == 0
+
+
 def check_shards(out, rows, shards=8):
     counts = Counter(r.shard for r in out)
     sizes = [counts.get(s, 0) for s in range(shards)]
