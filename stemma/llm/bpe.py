@@ -1,40 +1,70 @@
-"""Byte-level BPE ids of whole texts from public vocabulary files."""
+"""Byte-level BPE ids of whole texts from public vocabulary files.
+
+Texts of every length go one way. A run of white space is one token of the splitting pattern but for its last character,
+so very long runs, for which the pattern's lookahead would need a deep stack, are cut out there and merged as one piece.
+"""
 
 from __future__ import annotations
 
 import base64
-import os
-from array import array
+import json
+import re
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
+import tiktoken
 
-#: Texts of more characters than this go through ``tokenizers``, whose splitting needs no deep stack.
-LONG = 1_000_000
+#: White space as the splitting pattern has it, in runs that are cut out before it is applied.
+_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
 _OPEN: dict[str, Callable[[str], bytes]] = {}
 
 
-def _json(path: str) -> Callable[[str], bytes]:
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a vocabulary's pieces stands for: printable ones themselves, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+def _json_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks and special tokens of a JSON vocabulary; ValueError if its ids aren't in the order of its merges."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    added = {t["content"]: t["id"] for t in data["added_tokens"]}
+    vocabulary = {k: v for k, v in data["model"]["vocab"].items() if k not in added}
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in data["model"]["merges"]]
+    split = data["pre_tokenizer"]
+    plain = split["type"] == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"] and data["normalizer"] is None
+    if not plain or merged != sorted(merged) or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in data["added_tokens"]):
+        raise ValueError(f"{path} is no vocabulary of ranked byte pairs")
+    byte = _byte_of()
+    return {bytes(byte[c] for c in piece): i for piece, i in vocabulary.items()}, added
 
-def _ranks(path: str) -> Callable[[str], bytes]:
-    import tiktoken
 
+def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    if path.endswith(".json"):
+        return _json_ranks(path)
     with open(path, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    twin = path.removesuffix(".tiktoken") + ".json"
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}, {}
+
+
+def _opened(path: str) -> Callable[[str], bytes]:
+    ranks, special = _ranks(path)
+    coding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    whole = lambda text: coding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
 
     def run(text: str) -> bytes:
-        if len(text) > LONG and os.path.exists(twin):
-            return encoder(twin)(text)
-        return array("I", encode(text)).tobytes()
+        out, at = [], 0
+        for m in _RUN.finditer(text) if len(text) >= 2000 else ():
+            # Before the text's end or a special token, the run is a piece up to its last character.
+            last = m.end() == len(text) or any(text.startswith(s, m.end()) for s in special)
+            end = m.end() - (0 if last else 1)
+            out.append(whole(text[at : m.start()]))
+            out.append(np.array(piece.encode_ordinary(text[m.start() : end]), "<u4").tobytes())
+            at = end
+        return b"".join([*out, whole(text[at:])]) if out else whole(text)
 
     return run
 
@@ -42,9 +72,9 @@ def _ranks(path: str) -> Callable[[str], bytes]:
 def encoder(path: str) -> Callable[[str], bytes]:
     """The worker's encoder for a vocabulary file, opened once: ids of a text as little-endian unsigned 32-bit values.
 
-    A ``.json`` file is read by ``tokenizers``, a ``.tiktoken`` file of ranks by ``tiktoken``; the same vocabulary gives
-    the same ids either way. The strings of special tokens are ordinary text.
+    The ids are those that ``tokenizers`` gives for a ``.json`` file with ``add_special_tokens=False``: the strings of the
+    file's special tokens become their ids. A ``.tiktoken`` file of ranks has no special tokens.
     """
     if path not in _OPEN:
-        _OPEN[path] = _json(path) if path.endswith(".json") else _ranks(path)
+        _OPEN[path] = _opened(path)
     return _OPEN[path]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm.bpe import encoder
-from stemma.llm.storage import bounded_batches, in_batches, text_bytes
+from stemma.llm.storage import in_batches, text_bytes
 
 SEQUENCE = 1024
 #: The id after each document's ids.
@@ -36,8 +36,7 @@ def pack(docs: DataFrame, path: str | None = None, most: int = SEQUENCE) -> Data
     follows the order of the scan and needs no shuffle; a task that runs again gives the same ids. Columns of ``docs``
     other than doc_id and text are not read.
     """
-    bounded_batches(docs.sparkSession)
-    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encode, rows = encoder(path), []

@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -57,15 +58,39 @@ def test_lengths(n):
     assert len([x for x in parts if x < 1024]) == bin(n % 1024).count("1")
 
 
-@pytest.mark.parametrize("text", ["", "Hello  world\n\n don't <|endoftext|> 12345 ÄÖ é   ...", " " * 50, "x" * 3000, "日本語 текст"])
-def test_ids_are_those_of_the_tokenizer(text, monkeypatch):
+@pytest.mark.parametrize("text", ["", "Hello  world\n\n don't <|endoftext|> 12345 ÄÖ é   ...", " " * 50, "x" * 3000, "日本語 текст"])
+def test_ids_are_those_of_the_tokenizer(text):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert bpe.encoder(public_tokenizers.path("byte_bpe_50k.json"))(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     t.encode_special_tokens = True
-    want = np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    for path in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"):
-        assert bpe.encoder(public_tokenizers.path(path))(text) == want
-    monkeypatch.setattr(bpe, "LONG", 5)
-    assert bpe.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))(text) == want
+    assert bpe.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@cache
+def _plain():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+PARTS = ["<|endoftext|>", "a", " ", "\n", "  ", "é", "<|", "|>", "end", "1", "'s", "。", "\u3000", " " * 2500, "\n" * 3000, "\x85\xa0" * 1500, "\x1c" * 2500]
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_ids_around_long_blanks_and_special_strings(parts):
+    t = _plain()
+    text = "".join(parts)
+    assert bpe.encoder(public_tokenizers.path("byte_bpe_50k.json"))(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_ids_of_a_very_long_run():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in (" " * 1_200_000 + "x", "\n " * 600_000, "ab" * 600_000):
+        assert bpe.encoder(public_tokenizers.path("byte_bpe_50k.json"))(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_unordered_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        bpe.encoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def brute_segmentation(word, vocabulary, p):
