@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.storage import BYTES_PER_BATCH, bounded_batches, text_bytes
+from stemma.llm.storage import BYTES_PER_BATCH, text_bytes
 from stemma.llm.textkit import distinct, mix
 
 ROUNDS = 3
@@ -133,7 +133,6 @@ def scan(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     memory.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     ids = docs.where("doc_id is not null").select("doc_id")
     top = ids.agg(F.max("doc_id").alias("top"), F.count("*").alias("n")).first()
     one_in = max(block_rows, top.n // BLOCKS)

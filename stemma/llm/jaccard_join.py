@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, cut, in_batches, private, sliced, small, summed_vectors, text_bytes, without
+from stemma.llm.storage import cut, in_batches, private, sliced, small, summed_vectors, text_bytes, without
 
 SHINGLE = 3
 #: Links have 100 * intersection >= PERCENT * union.
@@ -110,7 +110,6 @@ def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> Dat
     sets. text_key is a hash of the text. Other columns aren't read. Only components leave: no pair is ever listed.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("t"))
     cells = spark.sparkContext.broadcast(_frequencies(source.select("t"), shingle))
     kind = docs.schema["doc_id"].dataType.simpleString()

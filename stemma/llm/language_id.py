@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, cut, in_batches, small, text_bytes
+from stemma.llm.storage import cut, in_batches, small, text_bytes
 
 #: Bound on the documents that a model is fitted on, a documented parameter: all, or of each language those with the smallest id hashes.
 TRAIN_DOCS = 6_000
@@ -135,7 +135,6 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
     is learnt, also beyond the bound. Words are counted by language and the counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.where("lang is not null and text is not null")
     known = known.select(F.col("lang").cast("string").alias("lang"), text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("h"))
@@ -199,7 +198,6 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     A text that is null or has no letter, or any text under a model without languages, is ``und`` with score 0. Ties go
     to the first language in order. Whole texts are scored; repeated rows score alike; other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.p, model.path))
     source = docs.select(*keep, text_bytes().alias("__bytes"))
     schema = source.drop("__bytes").schema.add("lang_pred", "string").add("score", "double")

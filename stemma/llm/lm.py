@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, cut, in_batches, sliced, summed_vectors, text_bytes
+from stemma.llm.storage import cut, in_batches, sliced, summed_vectors, text_bytes
 
 #: Outcomes of the model and size of its vectors; all fixed, so the model's size doesn't follow the input.
 WORDS, CLASSES, SIZE, REACH, NOISE = 960, 64, 40, 3, 8
@@ -161,7 +161,6 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     Null texts are empty and have the end token alone. Of no texts at all, every outcome is alike.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     counts = cut(token_counts(docs))
     classes = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -218,7 +217,6 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str]) ->
     distinct such token of a text with its uses, so no token is without its count. Other columns aren't read.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     source = docs.select(*keep, text_bytes().alias("__bytes"))
     schema = source.drop("__bytes").schema

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, secrets, sharding, token_counts, toxicity
-from stemma.llm.storage import crc_of_id, cut
+from stemma.llm.storage import crc_of_id, cut, keyed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,10 +61,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     document that is left. The last commit repeats the first batch and changes nothing.
     """
     versions = {v: public_tokenizers.path(f) for v, f in (("byte_bpe_50k", "byte_bpe_50k.json"), ("byte_bpe_multi_50k", "byte_bpe_multi_50k.tiktoken"))}
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("same"), F.crc32(F.col("text").cast("binary")).alias("same2"))
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumns({"same": F.xxhash64("text"), "same2": F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))})
     counts = cut(token_counts.counted(docs, versions, ["doc_id", "source", "lang", "same", "same2"]))
     first = counts.groupBy("same", "same2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    marked = counts.join(first, counts.same.eqNullSafe(first.same) & counts.same2.eqNullSafe(first.same2), "left").select(counts["*"], (F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))).alias("copy"))
+    marked = keyed(counts, first, ["same", "same2"], "n", counts.count(), "left")
+    marked = marked.withColumn("copy", F.col("n").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first")))
     copies, kept = (token_counts.long_counts(marked.where(x), versions) for x in ("copy", "not copy"))
     rollup = token_counts.new_rollup(spark)
     everything = token_counts.inserts(token_counts.long_counts(counts, versions))

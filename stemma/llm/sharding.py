@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.storage import cut, numbered, text_bytes
+from stemma.llm.storage import cut, keyed, numbered, text_bytes
 
 SHARDS = 8
 ROUNDS = 4
@@ -53,7 +53,8 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
 
     A group larger than half a shard's capacity is split by the hash of its nodes, as it can't be in one shard; a
     node may be in several groups. Groups with a large share of a capacity are seeded to the emptiest shards, all other
-    nodes start by hash. Ties go to the smaller shard number.
+    nodes start by hash. Ties go to the smaller shard number. The votes of a group are summed before they are shuffled, and
+    those of hot groups are sent to all nodes instead of bringing the nodes together.
     """
     total = nodes.count()
     capacity = max(1.0, total / shards)
@@ -67,7 +68,8 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     sizes = own.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
     heavy = [(r.group, r.n) for r in sizes.where(F.col("n") >= max(2.0, capacity * SEEDED)).limit(int(4 * shards / SEEDED)).collect()]
     seeds = _seeds(heavy, shards)
-    linked = own.join(sizes.select("group"), "group", "left_semi")
+    ties = links.count()
+    linked = keyed(own, sizes, ["group"], "n", ties).select("group", "node")
     first = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
     if seeds:
         spark = nodes.sparkSession
@@ -81,8 +83,8 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     for k in range(rounds):
         placed = linked.join(state, "node")
         votes = placed.groupBy("group", "shard").agg(F.count("*").alias("votes"))
-        unsettled = votes.groupBy("group").agg(F.count("*").alias("k"), F.collect_list(F.struct("shard", "votes")).alias("votes")).where("k > 1").drop("k")
-        heard = placed.join(unsettled, "group").select("node", "shard", "group", F.inline("votes").alias("to", "votes"))
+        unsettled = votes.groupBy("group").agg(F.count("*").alias("k"), F.sum("votes").alias("n"), F.collect_list(F.struct("shard", "votes")).alias("votes")).where("k > 1").drop("k")
+        heard = keyed(placed, unsettled, ["group"], "n", ties).select("node", "shard", "group", F.inline("votes").alias("to", "votes"))
         heard = heard.groupBy("node", "shard", "to").agg(F.sum("votes").alias("votes"), F.min(F.xxhash64("group", "to")).alias("tie"))
         best = heard.groupBy("node", "shard").agg(F.max(F.struct("votes", "tie", "to")).alias("best")).where("best.to <> shard")
         best = best.select("node", "shard", F.col("best.to").alias("to"), F.pmod(F.xxhash64("node", F.lit(k)), F.lit(_BUCKETS)).alias("bucket"))

@@ -8,15 +8,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of text that Spark hands to a Python worker at once.
-RECORDS_PER_BATCH = 500
 #: Bytes of text that a worker works on at once; one longer text is a batch by itself.
 BYTES_PER_BATCH = 2 << 20
 #: Most rows of a table that is sent to every executor.
 BROADCAST_ROWS = 1_000_000
+#: A key with more rows than this, or than one HOT_KEYS-th of all if that is more, is hot; so there are HOT_KEYS hot keys at most.
+HOT_ROWS, HOT_KEYS = 1_000, 512
 #: Rows numbered by one window.
 ROWS_PER_BUCKET = 20_000
 
@@ -24,7 +25,7 @@ ROWS_PER_BUCKET = 20_000
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there, so lost executors cost no recomputation.
 
-    The folder is the one named by ``spark.checkpoint.dir``; a temporary one is used only where none is set.
+    The folder is the one named by ``spark.checkpoint.dir``; a temporary one is used only where a local session sets none.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
@@ -33,10 +34,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    """The folder that the driver and all executors share; a temporary one only where a local session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="checkpoints-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
@@ -55,6 +58,22 @@ def private(df: DataFrame, name: str) -> str:
     return out
 
 
+def keyed(left: DataFrame, right: DataFrame, key: list[str], size: str, rows: int, how: str = "inner") -> DataFrame:
+    """Join ``left`` with ``right`` by ``key``, without bringing the rows of a hot key into one task.
+
+    ``right`` has one row for each key, never null, and in ``size`` the count of the key's rows in a table of ``rows``
+    rows. The rows of hot keys are sent to all executors, HOT_KEYS at most, as their sizes sum to no more than ``rows``;
+    only the others are shuffled. ``left`` is read twice. ``how`` is inner or left.
+    """
+    limit = max(HOT_ROWS, rows // HOT_KEYS)
+    hot, rest = private(left, "hot"), [c for c in right.columns if c not in key]
+    head = F.broadcast(right.where(F.col(size) > limit).select(*key, F.struct(*rest).alias(hot)))
+    told = left.join(head, key, "left")
+    first = told.where(F.col(hot).isNotNull()).select(*left.columns, f"{hot}.*")
+    second = told.where(F.col(hot).isNull()).drop(hot).join(right.where(F.col(size) <= limit), key, how)
+    return first.unionByName(second.select(*left.columns, *rest))
+
+
 def without(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, hash of the text) isn't among the ``rows`` rows of ``keys`` (doc_id, text_key), with the columns of ``docs``."""
     k = small(keys.select(F.col("doc_id").alias("__lost_id"), F.col("text_key").alias("__lost_key")), rows)
@@ -86,7 +105,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int = -1) -> Iterator[pa.R
         n = batch.num_rows
         if not n:
             continue
-        sizes = np.array([len(x) for x in batch.columns[column].to_pylist()], dtype=np.int64)
+        sizes = pc.binary_length(batch.columns[column]).to_numpy(zero_copy_only=False).astype(np.int64)
         part = np.cumsum(sizes) // BYTES_PER_BATCH
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
         for a, b in zip(edges, edges[1:]):
@@ -94,12 +113,6 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int = -1) -> Iterator[pa.R
                 yield batch.slice(a, b - a)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of long texts small, unless the session has set a size of its own."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(RECORDS_PER_BATCH))
-
-
 def summed_vectors(df: DataFrame, length: int) -> dict[int, np.ndarray]:
     """Sum int64 vectors of a fixed ``length`` by key over all partitions.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import bounded_batches, in_batches, private, sliced, small, text_bytes
+from stemma.llm.storage import in_batches, private, sliced, small, text_bytes
 
 BITS = 20
 #: A document is toxic from this score on.
@@ -74,7 +74,6 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     returns the weights other than zero. Without labels nothing is held to be toxic: every score is next to 0.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__y"))
     total = known.count()
     if not total:
@@ -107,7 +106,6 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -
     Null and empty texts have no features and score as the bias alone. Repeated rows score alike. Other columns of
     ``docs`` are not read.
     """
-    bounded_batches(docs.sparkSession)
     data = private(docs, "bytes")
     sent = docs.sparkSession.sparkContext.broadcast((model.index, model.weight, model.bias))
     source = docs.select(*keep, text_bytes().alias(data))
