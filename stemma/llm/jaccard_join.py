@@ -9,11 +9,14 @@ shuffled, very common ones stay out, and a passage that two documents share is n
 
 Groups. Classes that share prefix tokens are put into a group by the most shared token of their prefixes, as similar
 documents have that token in common; large groups are split. Classes that share too few link with nothing and drop out.
+Each group is opened once: its members' overlaps are counted over an inverted index, exactly. A few pivots of a split
+group are asked of all its parts, so that a large cluster of copies is one component from here on.
 
-Matrix. (token, group) says which groups have a prefix token; a class becomes a query of each other group that has
-enough of its prefix tokens, in one of the two directions. With the group's members, their token union is kept, and the
-query's overlap with the union bounds its overlap with every member: only groups that reach ceil(T * n) are opened. In
-an opened group all overlaps are counted over an inverted index, exactly, and links are kept as a spanning forest.
+Matrix. (token, group) says which groups have a prefix token, members of one component being groups of their own. A
+class becomes a query of each other group that has enough of its prefix tokens and that it isn't one component with
+already, as links within a component add nothing: so the parts of a cluster are not compared with one another. With a
+group's members, their token union is kept, and the query's overlap with the union bounds its overlap with every member:
+only groups that reach ceil(T * n) are opened. One link of a query to each component suffices.
 
 Components. Links are contracted by large-star and small-star steps (Kiveris et al. 2014) until nothing changes.
 """
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import cut, in_batches, private, sliced, small, summed_vectors, text_bytes, without
+from stemma.llm.storage import cut, in_batches, keyed, private, sliced, small, summed_vectors, text_bytes, without
 
 SHINGLE = 3
 #: Links have 100 * intersection >= PERCENT * union.
@@ -40,7 +43,11 @@ COPY_SHINGLE, COPY_PERCENT = 5, 80
 #: Cells of the table of counts, in blocks.
 CELLS, _BLOCK = 1 << 20, 1 << 16
 #: Tokens and members that a group has about, at most.
-GROUP_TOKENS, GROUP_MEMBERS = 1_000_000, 1024
+GROUP_TOKENS, GROUP_MEMBERS = 1_000_000, 256
+#: Pivots of a split group, about.
+PIVOTS = 8
+#: Members of one component that a group has, for them to be a group of their own.
+CLUSTERED = 16
 _MEMBER, _QUERY = 0, 1
 
 
@@ -133,48 +140,93 @@ def join(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> Dat
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     classes = described.where("n > 0").groupBy(*key).agg(first.alias("first"), F.count("*").alias("class_size"), F.first("prefix").alias("prefix"))
     classes = cut(classes.select(*key, F.col("first.doc_id").alias("least_id"), F.col("first.text_key").alias("text_key"), "class_size", "prefix", F.xxhash64(*key).alias("class")))
+    links = _links(source, classes, percent, shingle)
+    components = connected(links)
+    n_classes = classes.count()
+    labels = classes.select("class", "least_id").join(components, classes["class"] == components["node"], "left").select("class", "least_id", F.coalesce("component", "class").alias("component"))
+    labels = cut(labels)
+    smallest = labels.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("members"))
+    named = keyed(labels, smallest, ["component"], "members", n_classes).select("class", "component", "component_id")
+    found = classes.select(*key, "class", "class_size").join(named, "class").drop("class")
+    out = keyed(described.drop("prefix"), found, key, "class_size", described.count(), "left")
+    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("class_size", F.lit(1)).alias("class_size"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _links(source: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Links (a long, b long) between classes, as many as connect all classes that links connect."""
+    n_tokens = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     rows = classes.select("class", "n", F.explode("prefix").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("holders")).where("holders > 1")
-    rows = cut(rows.join(shared, "token"))
-    grouped = rows.groupBy("class", "n").agg(F.max(F.struct("holders", "token")).alias("g"), F.count("*").alias("k")).where(F.col("k") >= _shared_least(F.col("n"), percent))
-    grouped = grouped.select("class", "n", F.col("g.token").alias("g"))
-    size = grouped.groupBy("g").agg(F.greatest(F.ceil(F.sum("n") / GROUP_TOKENS), F.ceil(F.count("*") / GROUP_MEMBERS)).alias("parts"))
-    grouped = grouped.join(size, "g").select("class", "n", F.xxhash64("g", F.pmod(F.xxhash64("class"), F.col("parts"))).alias("group"))
-    grouped = cut(grouped)
-    own = rows.select("token", "class").join(grouped, "class")
-    matrix = own.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asked = own.select("token", "class", "n", F.col("group").alias("own")).join(matrix, "token").where("group < own")
-    fits = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100)
+    rows = cut(keyed(rows, shared, ["token"], "holders", n_tokens))
     enough = F.col("k") >= _shared_least(F.col("n"), percent)
-    asked = cut(asked.where(fits).groupBy("class", "group", "n").agg(F.count("*").alias("k")).where(enough).select("class", "group", F.lit(_QUERY).alias("role")))
-    busy = grouped.groupBy("group").count().where("count > 1").select("group").unionByName(asked.select("group")).distinct()
-    routes = cut(grouped.join(busy, "group", "left_semi").select("class", "group", F.lit(_MEMBER).alias("role")).unionByName(asked))
-
-    active = cut(routes.groupBy("class").agg(F.collect_list(F.struct("group", "role")).alias("routes")).join(classes.select("class", "least_id", "text_key"), "class"))
-    count = active.count()
-    wanted = active.select("class", "routes", F.col("text_key").alias("__key"), F.col("least_id").alias("__id"))
-    texts = source.join(small(wanted, count, 200_000), source.doc_id.eqNullSafe(F.col("__id")) & (source.text_key == F.col("__key")))
-    # Several rows may have the least id and the text: one is enough.
-    texts = texts.select("class", "routes", "t")
+    grouped = rows.groupBy("class", "n").agg(F.max(F.struct("holders", "token")).alias("g"), F.count("*").alias("k")).where(enough)
+    grouped = cut(grouped.select("class", "n", F.col("g.token").alias("g")))
+    n_grouped = grouped.count()
+    parts = F.greatest(F.ceil(F.sum("n") / GROUP_TOKENS), F.ceil(F.count("*") / GROUP_MEMBERS)).cast("long")
+    size = grouped.groupBy("g").agg(parts.alias("parts"), F.count("*").alias("members"))
+    part = F.pmod(F.xxhash64("class"), F.col("parts"))
+    grouped = keyed(grouped, size, ["g"], "members", n_grouped).select("class", "n", "g", "parts", "members", part.alias("part"), F.xxhash64("g", part).alias("group"))
+    grouped = cut(grouped)
+    carried = cut(_carried(source, classes.join(grouped.select("class"), "class", "left_semi"), n_grouped, shingle))
+
+    pivots = grouped.where((F.col("parts") > 1) & (F.pmod(F.xxhash64("class", F.lit(7)), F.greatest(F.floor(F.col("members") / PIVOTS), F.lit(1))) == 0))
+    pivots = pivots.select("class", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("to")).where("part <> to")
+    pivots = pivots.select(F.xxhash64("g", "to").alias("group"), F.lit(_QUERY).alias("role"), "class", F.col("class").alias("component"))
+    busy = grouped.groupBy("group").count().where("count > 1").select("group").unionByName(pivots.select("group")).distinct()
+    members = grouped.join(busy, "group", "left_semi").select("group", F.lit(_MEMBER).alias("role"), "class", F.col("class").alias("component"))
+    near = cut(_dealt(members.unionByName(pivots), carried, percent, True))
+
+    found = connected(near)
+    own = grouped.select("class", "n", "group").join(found, grouped["class"] == found["node"], "left").select("class", "n", "group", F.coalesce("component", "class").alias("component"))
+    own = cut(own)
+    there = own.groupBy("group", "component").agg(F.count("*").alias("here")).where(F.col("here") >= CLUSTERED)
+    own = own.join(there, ["group", "component"], "left")
+    # A label is a component, or what is left of a group.
+    own = own.select("class", "n", "component", F.col("group").alias("first"), F.when(F.col("here").isNotNull(), F.col("component")).otherwise(F.xxhash64("group", F.lit("rest"))).alias("label"))
+    own = cut(own.withColumn("group", F.xxhash64("first", "label")))
+    far = _matrix(rows, own, n_tokens, percent)
+    asked = far.select("group", F.lit(_QUERY).alias("role"), "class", "component")
+    members = own.join(far.select("group").distinct(), "group", "left_semi").select("group", F.lit(_MEMBER).alias("role"), "class", "component")
+    return near.unionByName(cut(_dealt(members.unionByName(asked), carried, percent, False)))
+
+
+def _matrix(rows: DataFrame, own: DataFrame, n_tokens: int, percent: int) -> DataFrame:
+    """(class, component, group): the groups of other labels that have enough of a class's prefix tokens.
+
+    A class asks only labels of more members than its own, ties by name; the others' members ask its own.
+    """
+    held = rows.select("token", "class").join(own, "class")
+    mixed = held.groupBy("token").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("several")).where("one <> other")
+    held = cut(keyed(held, mixed.select("token", "several"), ["token"], "several", n_tokens))
+    weight = own.groupBy("label").agg(F.count("*").alias("weight"))
+    labels = held.select("token", "label").distinct().join(weight, "label")
+    a, b = labels.select("token", "label", "weight"), labels.select("token", F.col("label").alias("to"), F.col("weight").alias("to_weight"))
+    pairs = a.join(b, "token").where((F.col("to_weight") > F.col("weight")) | ((F.col("to_weight") == F.col("weight")) & (F.col("to") > F.col("label")))).select("token", "label", "to")
+    target = held.groupBy("token", F.col("label").alias("to"), F.col("group").alias("there"), F.col("first").alias("there_first")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    asked = held.select("token", "label", "class", "component", "n", "first").join(pairs, ["token", "label"]).join(target, ["token", "to"])
+    fits = (F.col("n") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("n") * 100) & (F.col("first") != F.col("there_first"))
+    asked = asked.where(fits).groupBy("class", "component", "n", F.col("there").alias("group")).agg(F.count("*").alias("k"))
+    return cut(asked.where(F.col("k") >= _shared_least(F.col("n"), percent)).select("class", "component", "group"))
+
+
+def _carried(source: DataFrame, classes: DataFrame, rows: int, shingle: int) -> DataFrame:
+    """(class, tokens): the whole token set of each of the ``rows`` classes, from the text of one of its rows."""
+    wanted = classes.select("class", F.col("text_key").alias("__key"), F.col("least_id").alias("__id"))
+    texts = source.join(small(wanted, rows, 200_000), source["doc_id"].eqNullSafe(F.col("__id")) & (source["text_key"] == F.col("__key"))).select("class", "t")
 
     def spread(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = [s.tobytes() for s in sets(part.columns[-1].to_pylist(), shingle)]
-        yield pa.RecordBatch.from_arrays([part.columns[0], part.columns[1], pa.array(own, pa.binary())], names=["class", "routes", "tokens"])
+        yield pa.RecordBatch.from_arrays([part.columns[0], pa.array(own, pa.binary())], names=["class", "tokens"])
 
-    carried = in_batches(texts, spread, "class long, routes array<struct<group:bigint,role:int>>, tokens binary")
-    dealt = carried.select(F.explode("routes").alias("r"), "class", "tokens").select("r.group", "r.role", "class", "tokens")
-    dealt = dealt.repartition("group").sortWithinPartitions("group", "role", "class")
-    links = cut(dealt.mapInArrow(lambda batches: _opened(batches, percent), "a long, b long").distinct())
+    # Several rows may have the least id and the text: one is enough, and repeats are passed over where groups are opened.
+    return in_batches(texts, spread, "class long, tokens binary")
 
-    components = connected(links)
-    labels = classes.select("class", "least_id").join(components, classes["class"] == components["node"], "left").select("class", "least_id", F.coalesce("component", "class").alias("component"))
-    smallest = labels.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = labels.join(smallest, "component").select("class", "component", "component_id")
-    found = classes.select(*key, "class", "class_size").join(named, "class").drop("class")
-    plain = described.drop("prefix")
-    f = found.select(*[F.col(c).alias(f"__{c}") for c in key], "class_size", "component", "component_id")
-    out = plain.join(f, [plain[c] == f[f"__{c}"] for c in key], "left")
-    return out.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("class_size", F.lit(1)).alias("class_size"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+def _dealt(routes: DataFrame, carried: DataFrame, percent: int, inner: bool) -> DataFrame:
+    """The links found by opening the groups of ``routes`` (group, role, class, component)."""
+    dealt = routes.join(carried, "class").select("group", "role", "class", "component", "tokens")
+    dealt = dealt.repartition("group").sortWithinPartitions("group", "role", "class")
+    return dealt.mapInArrow(lambda batches: _opened(batches, percent, inner), "a long, b long").distinct()
 
 
 def deduplicated(docs: DataFrame, percent: int = COPY_PERCENT, shingle: int = COPY_SHINGLE) -> DataFrame:
@@ -184,8 +236,9 @@ def deduplicated(docs: DataFrame, percent: int = COPY_PERCENT, shingle: int = CO
     repeated rows any one. Rows without words link with nothing and all stay.
     """
     found = cut(join(docs, percent, shingle).where("component is not null and class_size > 0").select("doc_id", "text_key", "component"))
-    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"))
-    told = found.join(first, "component")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best")
+    first = found.groupBy("component").agg(best, F.count("*").alias("members"))
+    told = keyed(found, first, ["component"], "members", found.count())
     lost = cut(told.where(~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key")))).select("doc_id", "text_key").distinct())
     again = cut(found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
     n_again = again.count()
@@ -200,19 +253,21 @@ def deduplicated(docs: DataFrame, percent: int = COPY_PERCENT, shingle: int = CO
 
 
 class _Group:
-    """The members of a group: an inverted index of their tokens, and a union-find forest of their links."""
+    """The members of a group: an inverted index of their tokens, and a union-find forest of their components."""
 
     def __init__(self, percent: int):
-        self.percent, self.names, self.sizes, self.tokens = percent, [], [], []
+        self.percent, self.names, self.components, self.tokens = percent, [], [], []
         self.closed = False
 
-    def add(self, name: int, tokens: np.ndarray) -> None:
+    def add(self, name: int, component: int, tokens: np.ndarray) -> None:
         if self.names and self.names[-1] == name:
             return
         self.names.append(name)
+        self.components.append(component)
         self.tokens.append(tokens)
 
-    def close(self) -> Iterator[tuple[int, int]]:
+    def close(self, inner: bool) -> Iterator[tuple[int, int]]:
+        """Index the members; if ``inner``, their links among themselves, as a spanning forest."""
         self.closed = True
         self.sizes = np.array([len(t) for t in self.tokens])
         every = np.concatenate(self.tokens)
@@ -220,8 +275,9 @@ class _Group:
         self.every, self.member = every[order], np.repeat(np.arange(len(self.names)), self.sizes)[order]
         self.union, self.start = np.unique(self.every, return_index=True)
         self.start = np.append(self.start, len(self.every))
-        self.up = list(range(len(self.names)))
-        for k, tokens in enumerate(self.tokens):
+        first: dict[int, int] = {}
+        self.up = [first.setdefault(c, k) for k, c in enumerate(self.components)]
+        for k, tokens in enumerate(self.tokens if inner else ()):
             for j in self.linked(tokens):
                 a, b = self.root(k), self.root(int(j))
                 if a != b:
@@ -247,38 +303,39 @@ class _Group:
         both = np.bincount(self.member[places], minlength=len(self.names))
         return np.flatnonzero(100 * both >= self.percent * (len(tokens) + self.sizes - both))
 
-    def ask(self, name: int, tokens: np.ndarray) -> Iterator[tuple[int, int]]:
-        """One link of the query for each tree of members that it links with."""
+    def ask(self, name: int, component: int, tokens: np.ndarray) -> Iterator[tuple[int, int]]:
+        """One link of the query for each other component of members that it links with."""
         seen = set()
         for j in self.linked(tokens):
             root = self.root(int(j))
-            if root not in seen:
+            if root not in seen and self.components[int(j)] != component:
                 seen.add(root)
                 yield name, self.names[int(j)]
 
 
-def _opened(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links from rows (group, role, class, tokens) sorted by group, members before queries."""
-    at, group, out = None, None, []
+def _opened(batches: Iterator[pa.RecordBatch], percent: int, inner: bool) -> Iterator[pa.RecordBatch]:
+    """Links from rows (group, role, class, component, tokens) sorted by group, members before queries."""
+    at, group, out, last = None, None, [], None
     for batch in batches:
-        for key, role, name, data in zip(*(c.to_pylist() for c in batch.columns)):
+        for key, role, name, component, data in zip(*(c.to_pylist() for c in batch.columns)):
             if key != at:
                 if group is not None and not group.closed and group.names:
-                    out += group.close()
-                at, group = key, _Group(percent)
+                    out += group.close(inner)
+                at, group, last = key, _Group(percent), None
             tokens = np.frombuffer(data, np.uint64)
             if role == _MEMBER:
-                group.add(name, tokens)
-            else:
+                group.add(name, component, tokens)
+            elif name != last:
+                last = name
                 if not group.closed and group.names:
-                    out += group.close()
+                    out += group.close(inner)
                 if group.names:
-                    out += group.ask(name, tokens)
+                    out += group.ask(name, component, tokens)
             if len(out) > 50_000:
                 yield _pairs(out)
                 out = []
     if group is not None and not group.closed and group.names:
-        out += group.close()
+        out += group.close(inner)
     yield _pairs(out)
 
 

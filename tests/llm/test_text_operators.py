@@ -267,11 +267,30 @@ def test_classes_of_differing_texts_keep_their_links(spark):
     assert {r.doc_id for r in jaccard_join.deduplicated(df).collect()} == {100 * g + (1 if g % 2 else 10) for g in range(8)}
 
 
+def test_clusters_over_split_groups(spark, monkeypatch):
+    """Clusters of similar, unequal sets over several parts, among sets that share tokens with them and link with few."""
+    monkeypatch.setattr(jaccard_join, "GROUP_MEMBERS", 6)
+    monkeypatch.setattr(jaccard_join, "CLUSTERED", 2)
+    for seed in range(2):
+        rng = np.random.default_rng(seed)
+        base = [f"w{j}" for j in range(80)]
+        texts = []
+        for i in range(90):
+            w = list(base)
+            for _ in range(rng.integers(0, 1 + i // 12)):
+                w[rng.integers(0, 80)] = f"x{rng.integers(0, 40)}"
+            texts.append((i, " ".join(w)))
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+        for how in ((), (80, 5)):
+            assert joined(df, *how) == components([(i, words_of(t)) for i, t in texts], *how)
+
+
 def test_a_group_without_members_is_passed_over():
     a, b = (np.arange(k, k + 40, dtype=np.uint64).tobytes() for k in (0, 1))
-    rows = [(1, 1, 7, a), (2, 0, 8, a), (2, 1, 9, b)]
-    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["group", "role", "class", "tokens"])
-    assert [x for out in jaccard_join._opened(iter([batch]), 90) for x in zip(*(c.to_pylist() for c in out.columns))] == [(9, 8)]
+    rows = [(1, 1, 7, 7, a), (2, 0, 8, 8, a), (2, 1, 9, 9, b), (2, 1, 10, 8, b)]
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["group", "role", "class", "component", "tokens"])
+    for inner in (True, False):
+        assert [x for out in jaccard_join._opened(iter([batch]), 90, inner) for x in zip(*(c.to_pylist() for c in out.columns))] == [(9, 8)]
 
 
 def test_connected_chain(spark):
