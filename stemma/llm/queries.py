@@ -92,9 +92,9 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Find the secrets of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    of = lambda k: F.size(F.filter("__spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
-    base = F.filter("__spans", lambda x: x["kind"] < 3)
-    return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("__spans")).alias("spans"))
+    of = lambda k: F.size(F.filter("secret_spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
+    base = F.filter("secret_spans", lambda x: x["kind"] < 3)
+    return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("secret_spans")).alias("spans"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op9_jaccard_join, op10_secrets)}

@@ -1,7 +1,8 @@
 """Secret scans with SQL functions alone: three patterns, and candidate strings of high sliding-window entropy.
 
 Places of a pattern: the text is split at its matches, and the lengths of the parts and of the matches, running summed,
-are the places. Entropy: candidates are runs of 20 or more token characters. The characters of a run are folded into the
+are the places. Running values are made in blocks, as an array that grows by one in a fold is copied each time, so a text
+costs in proportion to its length and matches. Entropy: candidates are runs of 20 or more token characters. The characters of a run are folded into the
 symbols of its class (hexadecimal or base 64); a window of WINDOW symbols slides over it, and the sum of c*log2(c) over
 the symbol counts c changes only by the entering and the leaving symbol, so counts are kept incrementally. A run is
 reported where a window reaches the class's threshold, unless the allow-list suppresses it.
@@ -9,6 +10,8 @@ reported where a window reaches the class's threshold, unless the allow-list sup
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,22 +36,44 @@ ALLOW = rf"^(?:[/_=+-]*+{_WORD}(?:[/_=+-]++{_WORD})*+[/_=+-]*+|[/_=+-]+|[0-9A-Fa
 _PART = rf"(?:{_WORD}[0-9]{{0,4}}+|[0-9]++)"
 NUMBERED, NUMBERED_BITS = rf"^[/_=+-]*+{_PART}(?:[/_=+-]++{_PART})*+[/_=+-]*+$", 3.9
 MASK = "<secret>"
+#: Elements of a block of running values; levels of blocks over blocks; characters of a block of text.
+_BLOCK, _LEVELS, _CHARS = 64, 3, 4096
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, step: Callable[[Column, Column], Column], levels: int = _LEVELS) -> Column:
+    """Running values of an array of int from 0 on: ``step`` is an associative sum or maximum of numbers not negative."""
+    if not levels:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        push = lambda acc, x: _let(step(acc["at"], x), lambda v: F.struct(v.alias("at"), F.concat(acc["out"], F.array(v)).alias("out")))
+        return F.aggregate(values, none, push, lambda acc: acc["out"])
+
+    def joined(blocks: Column) -> Column:
+        def carried(before: Column) -> Column:
+            return F.flatten(F.transform(blocks, lambda x, k: F.transform(x, lambda y: F.when(k == 0, y).otherwise(step(F.get(before, k - 1), y)))))
+
+        return _let(running(F.transform(blocks, lambda x: F.element_at(x, -1)), step, levels - 1), carried)
+
+    def whole(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(v) - 1, F.lit(_BLOCK)), lambda k: running(F.slice(v, k + 1, _BLOCK), step, 0))
+        return F.when(F.size(v) > 0, _let(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+    return _let(values, whole)
 
 
 def _places(text: Column, pattern: str) -> Column:
     """Array of struct(start, match) of the non-overlapping matches, leftmost first; the pattern never matches nothing."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    folded = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), found.alias("match")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"),
-            F.when(x["match"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), x["match"].alias("match"))))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), folded).otherwise(F.array().cast("array<struct<start:int,match:string>>"))
+
+    def ended(x: Column) -> Column:
+        steps = F.transform(x["found"], lambda m, k: F.get(x["gaps"], k) + F.length(m))
+        return _let(running(steps, lambda a, b: a + b), lambda ends: F.transform(x["found"], lambda m, k: F.struct((F.get(ends, k) - F.length(m)).alias("start"), m.alias("match"))))
+
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.transform(F.split(text, pattern, -1), F.length).alias("gaps"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), _let(both, ended)).otherwise(F.array().cast("array<struct<start:int,match:string>>"))
 
 
 def _spans(places: Column, kind: int) -> Column:
@@ -61,7 +86,10 @@ def _cell(count: Column) -> Column:
 
 
 def window_entropy(run: Column) -> Column:
-    """Highest Shannon entropy, in bits a symbol, of WINDOW neighbouring characters of ``run`` (the whole, if shorter)."""
+    """Highest Shannon entropy, in bits a symbol, of WINDOW neighbouring characters of ``run`` (the whole, if shorter).
+
+    Each character costs a pass over the counts of the run's symbols, 66 at most.
+    """
     return F.get(
         F.transform(F.array(F.struct(F.split(run, "").alias("all"))), lambda r: F.get(
             F.transform(F.array(F.struct(r["all"].alias("all"), F.array_distinct(r["all"]).alias("symbols"))), _slide), F.lit(0))),
@@ -94,12 +122,15 @@ def _secret_run(run: Column) -> Column:
     return F.when(F.regexp_like(run, F.lit(ALLOW)), F.lit(False)).otherwise(window_entropy(run) >= least)
 
 
-def scan(docs: DataFrame, text: str = "text", out: str = "__spans") -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", out: str = "secret_spans") -> DataFrame:
     """Add column ``out``: array of struct(start, kind, end) in code points, end exclusive, in order of start, then kind.
 
     ``kind`` numbers KINDS. Null and empty texts have no spans. Rows stand for themselves, so repeated rows, ties and
-    null ids don't matter; columns of ``docs`` are kept, and only one of the name ``out`` is replaced. Whole texts are read.
+    null ids don't matter; columns of ``docs`` are kept, and ValueError is raised if one has the name ``out``. Whole texts are
+    read, of any length and however many matches.
     """
+    if out.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {out} already")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     assign = F.filter(_places(t, ASSIGN), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= ASSIGN_LEAST)
     runs = F.filter(_places(t, CANDIDATE), lambda x: _secret_run(x["match"]))
@@ -114,17 +145,23 @@ def written(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """``text`` with MASK in place of every span; spans that overlap or touch become one mask."""
-    acc = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    folded = F.aggregate(
-        spans,
-        acc,
-        lambda a, x: F.when(x["start"] > a["at"], F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(MASK))).alias("out")))
-        .when((a["at"] == 0), F.struct(x["end"].alias("at"), F.array(F.lit(MASK)).alias("out")))
-        .otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out"))),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) == 0, text).otherwise(folded)
+    """``text`` with MASK in place of every span; spans that overlap or touch become one mask. ``spans`` are in order of their starts."""
+
+    def part(blocks: Column, a: Column, b: Column) -> Column:
+        """The characters from ``a`` to before ``b``; each block is read as far as needed, so a long text costs no more for its later parts."""
+        cut = lambda k: F.substring(F.get(blocks, k), F.greatest(a - k * _CHARS, F.lit(0)) + 1, F.least(b - k * _CHARS, F.lit(_CHARS)) - F.greatest(a - k * _CHARS, F.lit(0)))
+        return F.when(a < b, F.array_join(F.transform(F.sequence(F.floor(a / _CHARS).cast("int"), F.floor((b - 1) / _CHARS).cast("int")), cut), "")).otherwise(F.lit(""))
+
+    def joined(x: Column) -> Column:
+        def piece(s: Column, k: Column) -> Column:
+            before = F.when(k == 0, F.lit(0)).otherwise(F.get(x["ends"], k - 1))
+            return F.when((k > 0) & (s["start"] <= before), F.lit("")).otherwise(F.concat(part(x["blocks"], before, s["start"]), F.lit(MASK)))
+
+        return F.concat(F.array_join(F.transform(x["spans"], piece), ""), part(x["blocks"], F.element_at(x["ends"], -1), x["n"]))
+
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_CHARS}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(F.struct(spans.alias("spans"), ends.alias("ends"), blocks.alias("blocks"), F.char_length(text).alias("n")), joined))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
