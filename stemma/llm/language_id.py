@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm import textkit
-from stemma.llm.storage import cut, in_batches, small, text_bytes
+from stemma.llm.storage import cut, in_batches, private, small, text_bytes
 
 #: Bound on the documents that a model is fitted on, a documented parameter: all, or of each language those with the smallest id hashes.
 TRAIN_DOCS = 6_000
@@ -199,8 +199,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     to the first language in order. Whole texts are scored; repeated rows score alike; other columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.p, model.path))
-    source = docs.select(*keep, text_bytes().alias("__bytes"))
-    schema = source.drop("__bytes").schema.add("lang_pred", "string").add("score", "double")
+    data = private(docs, "bytes")
+    source = docs.select(*keep, text_bytes().alias(data))
+    schema = source.drop(data).schema.add("lang_pred", "string").add("score", "double")
     memory: dict[str, np.ndarray] = {}
 
     def scored(tokens: textkit.Tokens, first: np.ndarray, p: np.ndarray, vocabulary: dict[str, int]) -> np.ndarray:

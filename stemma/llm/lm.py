@@ -1,14 +1,17 @@
 """Scores by a log-bilinear neural language model trained in numpy with noise-contrastive estimation.
 
 Outcomes are the WORDS most frequent tokens and CLASSES surface classes (the last two bytes) for all others; a token of
-a class has, within it, its smoothed share of the class's training tokens, so every text has a probability. For each
-distance j = 1..REACH back there is a log-bilinear predictor: the context's vector, transformed for its distance, times
-the target's vector, plus a bias, normalised over all outcomes by one batched matrix product and softmax. The
-predictors are mixed evenly, and a mixture of normalised predictors is normalised.
-
-Training data are the counts of (distance, context, target) over every training text: each partition counts its own
-and the sums are folded in two rounds. Noise-contrastive estimation tells the counted targets from NOISE noise targets
-each, drawn from the unigram; as the counts are a matrix, the noise term is taken in expectation, without drawing.
+a class has, within it, its smoothed share of the class's training tokens, so every text has a probability. The vectors
+of the REACH tokens before a token, each times a vector for its distance, are summed into one prediction; an outcome's
+score is its own vector times the prediction, plus a bias. Outcomes are parted into groups of neighbouring frequency,
+and a probability is that of the group times that of the outcome within its group, both softmaxes over scores of this
+form; so batched matrix products give normalised log-probabilities.
+
+Noise-contrastive estimation tells each token from NOISE noise tokens drawn from the unigram of the groups, and of the
+words of its group; the noise term is taken in expectation, over all of them, without drawing. A first model is trained
+in one task on a bounded sample. From there, each partition goes once through all its training texts, and the partitions'
+vectors are averaged, each by how often its outcome occurred there; so every training text takes part, and what the
+partitions hand on has a fixed size.
 """
 
 from __future__ import annotations
@@ -25,11 +28,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stemma.llm import textkit
-from stemma.llm.storage import cut, in_batches, sliced, summed_vectors, text_bytes
+from stemma.llm.storage import cut, private, sliced, summed_vectors, text_bytes
 
-#: Outcomes of the model and size of its vectors; all fixed, so the model's size doesn't follow the input.
-WORDS, CLASSES, SIZE, REACH, NOISE = 960, 64, 40, 3, 8
+#: Outcomes in a group, groups of words, and size of vectors; all fixed, so the model's size doesn't follow the input.
+MEMBERS, GROUPS, SIZE, REACH, NOISE = 64, 64, 32, 3, 16
+WORDS, CLASSES = MEMBERS * GROUPS, MEMBERS
 OUTCOMES = WORDS + CLASSES
+#: Training tokens that the first model is trained on, about, and how often it goes through them.
+FIRST_TOKENS, FIRST_ROUNDS = 500_000, 3
+#: Tokens of a step, and its rate.
+STEP, RATE = 8192, 0.08
+#: Fixed-point places of averaged parameters, and their bound.
+_FIXED, _MOST = 1 << 16, 30.0
 #: Most tokens whose counts are sent to the executors; all others are looked up by a join.
 HEAD = 150_000
 #: Added to each count of the base.
@@ -37,17 +47,57 @@ SMOOTH = 0.1
 #: Distinct tokens that a worker counts before it hands them on.
 COUNTED = 400_000
 _END = np.uint64(0x5EED0FE2D0F7E875)
-_BLOCK = 32
+#: Numbers that are summed by one key.
+_BLOCK = 16_384
+
+
+@dataclass
+class Vectors:
+    """Parameters: vectors of contexts [outcome], outcomes [group, member] and groups, their biases, and vectors of distances."""
+
+    context: np.ndarray
+    word: np.ndarray
+    word_bias: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
+    distance: np.ndarray
+
+    @classmethod
+    def new(cls, unigram: np.ndarray, seed: int = 0) -> Vectors:
+        """The start: small random vectors, and biases that give the ``unigram`` [group, member]."""
+        rng = np.random.default_rng(seed)
+        draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
+        groups = unigram.sum(axis=1)
+        distance = np.repeat(1 / np.arange(1, REACH + 1, dtype=np.float32)[:, None], SIZE, axis=1)
+        return cls(draw(OUTCOMES, SIZE), draw(GROUPS + 1, MEMBERS, SIZE), _log(unigram / np.maximum(groups, 1e-30)[:, None]), draw(GROUPS + 1, SIZE), _log(groups), distance)
+
+    def arrays(self) -> list[np.ndarray]:
+        return [self.context, self.word, self.word_bias, self.group, self.group_bias, self.distance]
+
+    def copy(self) -> Vectors:
+        return Vectors(*(x.copy() for x in self.arrays()))
+
+    def predictions(self, contexts: np.ndarray) -> np.ndarray:
+        """[token, SIZE] of contexts [distance, token]."""
+        out = self.context[contexts[0]] * self.distance[0]
+        for j in range(1, REACH):
+            out += self.context[contexts[j]] * self.distance[j]
+        return out
+
+
+def _log(p: np.ndarray) -> np.ndarray:
+    """Logarithms; an outcome that doesn't exist has one so low that its softmax is 0."""
+    return np.where(p > 0, np.log(np.maximum(p, 1e-30)), -1e4).astype(np.float32)
 
 
 @dataclass
 class Model:
-    """``head``: sorted names of frequent tokens, their counts and outcomes; ``log_p`` [distance, context, outcome]; totals of tokens and of each class."""
+    """``head``: sorted names of frequent tokens, their counts and outcomes; the vectors; totals of tokens and of each class."""
 
     head: np.ndarray
     head_count: np.ndarray
     head_outcome: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    vectors: Vectors
     tokens: int
     types: int
     class_tokens: np.ndarray
@@ -109,12 +159,11 @@ def outcomes(name: np.ndarray, kind: np.ndarray, head: np.ndarray, head_outcome:
     return out, np.where(there, at, -1)
 
 
-def contexts(out: np.ndarray, doc: np.ndarray, distance: int) -> np.ndarray:
-    """The outcome ``distance`` back; the end's, where the text begins."""
-    back = np.full(len(out), _begin(), out.dtype)
-    if distance < len(out):
-        same = doc[distance:] == doc[:-distance]
-        back[distance:] = np.where(same, out[:-distance], back[distance:])
+def contexts(out: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """[distance, token]: the outcomes before each token; that of the beginning, where the text begins."""
+    back = np.full((REACH, len(out)), _begin(), np.int32)
+    for j in range(1, min(REACH, len(out) - 1) + 1):
+        back[j - 1, j:] = np.where(doc[j:] == doc[:-j], out[:-j], _begin())
     return back
 
 
@@ -123,36 +172,74 @@ def _begin() -> int:
     return WORDS
 
 
-def nce(counts: np.ndarray, noise: np.ndarray, rounds: int = 60, rate: float = 0.08, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fit context vectors, target vectors and biases to a matrix of counts [context, target] (Adam on the mean objective)."""
-    rng = np.random.default_rng(seed)
-    size = counts.shape[0]
-    weight = counts.sum(axis=1, keepdims=True)
-    log_kn = np.log(NOISE * noise)[None, :].astype(np.float32)
-    params = [rng.normal(0, 0.1, (size, SIZE)).astype(np.float32), rng.normal(0, 0.1, (size, SIZE)).astype(np.float32), np.log(noise).astype(np.float32)]
-    m, v = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
-    scale = 1 / np.maximum(weight, 1)
-    for step in range(1, rounds + 1):
-        c, r, b = params
-        right = 1 / (1 + np.exp(np.clip(log_kn - (c @ r.T + b), -30, 30)))
-        grad = (counts * (1 - right) - NOISE * weight * noise * right) * scale
-        grads = [grad @ r, (share := grad * (weight / max(weight.sum(), 1) * size)).T @ c / size * 8, share.sum(axis=0) / size * 8]
-        for k, g in enumerate(grads):
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.99 * v[k] + 0.01 * g * g
-            params[k] = params[k] + rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
-    return tuple(x.astype(np.float32) for x in params)
-
-
-def normalised(vectors: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Probabilities [distance, context, outcome]: a batched matrix product and a softmax for each distance."""
-    out = []
-    for c, r, b in vectors:
-        s = c @ r.T + b
-        s -= s.max(axis=1, keepdims=True)
-        np.exp(s, out=s)
-        out.append(s / s.sum(axis=1, keepdims=True))
-    return np.stack(out)
+def _contrast(score: np.ndarray, log_noise: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Gradient by the scores [token, outcome] of telling the targets from NOISE expected noise outcomes each."""
+    at = np.arange(len(target))
+    right = score - log_noise
+    np.clip(right, -30, 30, out=right)
+    np.negative(right, out=right)
+    np.exp(right, out=right)
+    right += 1
+    np.reciprocal(right, out=right)
+    own = 1 - right[at, target]
+    right *= -np.exp(log_noise)
+    right[at, target] += own
+    return right
+
+
+def _by_group(target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Group, places and members of the targets, for each group there is."""
+    group, member = np.divmod(target, MEMBERS)
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    edges = np.searchsorted(group[order], np.arange(GROUPS + 2))
+    for g in np.flatnonzero(np.diff(edges)):
+        own = order[edges[g] : edges[g + 1]]
+        yield int(g), own, member[own]
+
+
+def train(v: Vectors, squares: list[np.ndarray], unigram: np.ndarray, context: np.ndarray, target: np.ndarray) -> None:
+    """One step of noise-contrastive estimation in place, each coordinate at its own rate by its summed ``squares``."""
+    groups = unigram.sum(axis=1)
+    noise = np.log(NOISE) + _log(groups)
+    h = v.predictions(context)
+    grads = [np.zeros_like(x) for x in v.arrays()]
+    e = _contrast(h @ v.group.T + v.group_bias, noise, target // MEMBERS)
+    grads[3], grads[4], down = e.T @ h, e.sum(axis=0), e @ v.group
+    noise = np.log(NOISE) + _log(unigram / np.maximum(groups, 1e-30)[:, None])
+    for g, own, member in _by_group(target):
+        part = h[own]
+        e = _contrast(part @ v.word[g].T + v.word_bias[g], noise[g], member)
+        grads[1][g], grads[2][g] = e.T @ part, e.sum(axis=0)
+        down[own] += e @ v.word[g]
+    for j in range(REACH):
+        grads[5][j] = (down * v.context[context[j]]).sum(axis=0)
+        order = np.argsort(context[j].astype(np.int16), kind="stable")
+        at = context[j][order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        grads[0][at[first]] += np.add.reduceat(down[order], first) * v.distance[j]
+    for x, s, grad in zip(v.arrays(), squares, grads):
+        s += grad * grad
+        x += RATE * grad / (np.sqrt(s) + 1e-3)
+        np.minimum(x, _MOST, out=x)
+
+
+def log_probability(v: Vectors, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Normalised natural log-probabilities of the targets."""
+    out = np.empty(len(target))
+    for k in range(0, len(target), STEP):
+        h, own = v.predictions(context[:, k : k + STEP]), target[k : k + STEP]
+        score = h @ v.group.T + v.group_bias
+        part = score[np.arange(len(own)), own // MEMBERS] - _log_sum(score)
+        for g, at, member in _by_group(own):
+            score = h[at] @ v.word[g].T + v.word_bias[g]
+            part[at] += score[np.arange(len(at)), member] - _log_sum(score)
+        out[k : k + STEP] = part
+    return out
+
+
+def _log_sum(score: np.ndarray) -> np.ndarray:
+    top = score.max(axis=1)
+    return np.log(np.exp(score - top[:, None]).sum(axis=1)) + top
 
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
@@ -182,50 +269,112 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
         class_tokens[r["class"]], class_types[r["class"]] = r["n"], r["v"]
     np.subtract.at(class_tokens, top["class"].to_numpy(), top["n"].to_numpy())
     np.subtract.at(class_types, top["class"].to_numpy(), 1)
-    sent = spark.sparkContext.broadcast((head[head_outcome >= 0], head_outcome[head_outcome >= 0]))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, numbers = sent.value
-        sums = np.zeros((REACH, OUTCOMES, OUTCOMES), np.int64)
-        for part in sliced(batches):
-            name, doc, kind = named(part.columns[-1].to_pylist())
-            out, _ = outcomes(name, kind, words, numbers)
-            for j in range(REACH):
-                code, n = np.unique(contexts(out, doc, j + 1) * OUTCOMES + out, return_counts=True)
-                sums[j].reshape(-1)[code] += n
-        salt = TaskContext.get().partitionId() % 32
-        for j in range(REACH):
-            for k in range(0, OUTCOMES, _BLOCK):
-                block = sums[j, k : k + _BLOCK]
-                if block.any():
-                    yield pa.record_batch([pa.array([j * OUTCOMES + k], pa.int32()), pa.array([salt], pa.int32()), pa.array([zlib.compress(block.astype("<i8").tobytes(), 1)], pa.binary())], ["key", "salt", "data"])
-
-    summed = summed_vectors(docs.select(text_bytes().alias("t")).mapInArrow(pairs, "key int, salt int, data binary"), _BLOCK * OUTCOMES)
-    matrix = np.zeros((REACH, OUTCOMES, OUTCOMES), np.float32)
-    for key, block in summed.items():
-        j, k = divmod(key, OUTCOMES)
-        matrix[j, k : k + _BLOCK] = block.reshape(-1, OUTCOMES)
-    unigram = (matrix[0].sum(axis=0) + 0.5) / (matrix[0].sum() + 0.5 * OUTCOMES)
-    vectors = [nce(matrix[j], unigram.astype(np.float32)) for j in range(REACH)]
+    unigram = np.zeros(OUTCOMES)
+    unigram[: len(top)] = top["n"]
+    unigram[WORDS:] = class_tokens + 0.5
+    unigram = (unigram / unigram.sum()).reshape(GROUPS + 1, MEMBERS)
+    words = (head[head_outcome >= 0], head_outcome[head_outcome >= 0])
+    first, squares = _first(docs, words, unigram, int(tokens))
+    vectors = _averaged(docs, words, unigram, first, squares)
     return Model(head, head_count, head_outcome, vectors, int(tokens), int(types), class_tokens, class_types), counts.select("name", "n")
 
 
+def _steps(batches: Iterator[pa.RecordBatch], words: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Contexts and targets of all tokens, in steps."""
+    for part in sliced(batches):
+        name, doc, kind = named(part.columns[-1].to_pylist())
+        target, _ = outcomes(name, kind, *words)
+        context = contexts(target, doc)
+        for k in range(0, len(target), STEP):
+            yield context[:, k : k + STEP], target[k : k + STEP]
+
+
+def _first(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.ndarray, tokens: int) -> tuple[Vectors, list[np.ndarray]]:
+    """The first model and its summed squares, from texts with about FIRST_TOKENS tokens, chosen by the hash of their ids."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((words, unigram))
+    share = min(1.0, FIRST_TOKENS / max(tokens, 1))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, unigram = sent.value
+        v = Vectors.new(unigram)
+        squares = [np.full_like(x, 1e-2) for x in v.arrays()]
+        steps = sorted(_steps(batches, words), key=lambda x: (x[1].tobytes(), x[0].tobytes()))
+        for k in range(FIRST_ROUNDS):
+            for i in np.random.default_rng(k).permutation(len(steps)):
+                train(v, squares, unigram, *steps[i])
+        yield pa.record_batch([pa.array([x.astype("<f4").tobytes() for x in [*v.arrays(), *squares]], pa.binary())], ["x"])
+
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select(text_bytes().alias("t"))
+    got = chosen.repartition(1).mapInArrow(learn, "x binary").collect()
+    start = Vectors.new(unigram)
+    if not got:
+        return start, [np.full_like(x, 1e-2) for x in start.arrays()]
+    every = [np.frombuffer(r.x, "<f4").reshape(x.shape).copy() for r, x in zip(got, [*start.arrays()] * 2)]
+    return Vectors(*every[:6]), every[6:]
+
+
+def _averaged(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.ndarray, first: Vectors, squares: list[np.ndarray]) -> Vectors:
+    """One pass over all texts from the ``first`` model on, in every partition for itself, and the average of the partitions.
+
+    A context's vector weighs as often as the partition has it as a context, an outcome's as a target, a group's as its
+    targets; distances weigh by the tokens. Sums are of fixed-point numbers, so they don't hang on their order.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((words, unigram, first, squares))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, unigram, first, squares = sent.value
+        v, own = first.copy(), [x.copy() for x in squares]
+        before, uses = np.zeros(OUTCOMES, np.int64), np.zeros(OUTCOMES, np.int64)
+        for context, target in _steps(batches, words):
+            train(v, own, unigram, context, target)
+            before += np.bincount(context.reshape(-1), minlength=OUTCOMES)
+            uses += np.bincount(target, minlength=OUTCOMES)
+        if uses.any():
+            salt = TaskContext.get().partitionId() % 32
+            fixed = [np.rint(np.clip(x, -_MOST, _MOST) * _FIXED).astype(np.int64) * w for x, w in zip(v.arrays(), _weights(before, uses))]
+            rows = np.concatenate([x.reshape(-1) for x in [before, uses, *fixed]])
+            keys = range(0, len(rows), _BLOCK)
+            data = [zlib.compress(rows[k : k + _BLOCK].astype("<i8").tobytes(), 1) for k in keys]
+            yield pa.record_batch([pa.array([k // _BLOCK for k in keys], pa.int32()), pa.array([salt] * len(data), pa.int32()), pa.array(data, pa.binary())], ["key", "salt", "data"])
+
+    blocks = summed_vectors(docs.select(text_bytes().alias("t")).mapInArrow(learn, "key int, salt int, data binary"), _BLOCK)
+    if not blocks:
+        return first
+    rows = np.concatenate([blocks[k] for k in sorted(blocks)])
+    before, uses = rows[:OUTCOMES], rows[OUTCOMES : 2 * OUTCOMES]
+    out, at = [], 2 * OUTCOMES
+    for x, w in zip(first.arrays(), _weights(before, uses)):
+        sums = rows[at : at + x.size].reshape(x.shape)
+        at += x.size
+        # What never occurred stays as it was.
+        out.append(np.where(w > 0, sums / np.maximum(w, 1) / _FIXED, x).astype(np.float32))
+    return Vectors(*out)
+
+
+def _weights(before: np.ndarray, uses: np.ndarray) -> list[np.ndarray]:
+    """Weights of the arrays of ``Vectors``, in forms that go with theirs."""
+    by_group = uses.reshape(GROUPS + 1, MEMBERS)
+    groups = by_group.sum(axis=1)
+    return [before[:, None], by_group[:, :, None], by_group, groups[:, None], groups, groups.sum().reshape(1, 1)]
+
+
 def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` (their values may repeat) and n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    Every row is scored whole, null as empty. Tokens outside the head are joined with ``counts``, one row for each
+    The names of the results must not be in ``keep``. Every row is scored whole, null as empty. Tokens outside the head are joined with ``counts``, one row for each
     distinct such token of a text with its uses, so no token is without its count. Other columns aren't read.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    source = docs.select(*keep, text_bytes().alias("__bytes"))
-    schema = source.drop("__bytes").schema
-    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"), ("__rest", T.ArrayType(T.StructType().add("name", "long").add("uses", "integer")))):
+    data, row, tail, log, more = (private(docs, x) for x in ("bytes", "row", "rest", "log", "known"))
+    source = docs.select(*keep, text_bytes().alias(data))
+    schema = source.drop(data).schema
+    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"), (tail, T.ArrayType(T.StructType().add("name", "long").add("uses", "integer")))):
         schema = schema.add(name, kind)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        table = normalised(m.vectors).astype(np.float32)
         below = m.tokens + SMOOTH * (m.types + 1)
         inside = np.log10(np.maximum(m.class_tokens + SMOOTH * (m.class_types + 1), SMOOTH))
         for part in sliced(batches):
@@ -233,8 +382,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str]) ->
             n = len(texts)
             name, doc, kind = named(texts)
             out, at = outcomes(name, kind, m.head, m.head_outcome)
-            p = sum(table[j, contexts(out, doc, j + 1), out].astype(np.float64) for j in range(REACH)) / REACH
-            logs = np.log10(np.maximum(p, 1e-30))
+            logs = log_probability(m.vectors, contexts(out, doc), out) / np.log(10)
             headed = at >= 0
             share = np.log10((m.head_count[at] if len(m.head) else np.zeros(len(at))) + SMOOTH)
             classed = out >= WORDS
@@ -250,12 +398,12 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str]) ->
             columns = [pa.array(total(None), pa.int64()), pa.array(total(headed).astype(np.int64)), pa.array(total(base)), pa.array(total(logs)), pa.ListArray.from_arrays(pa.array(offsets), structs)]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
 
-    rows = cut(source.mapInArrow(work, schema).withColumn("__row", F.monotonically_increasing_id()))
-    rest = rows.select("__row", F.inline("__rest"))
-    looked = rest.join(counts, "name", "left").groupBy("__row").agg(
-        F.sum(F.col("uses") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH))).alias("__log"),
-        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("uses"))), F.lit(0)).alias("__known"),
+    rows = cut(source.mapInArrow(work, schema).withColumn(row, F.monotonically_increasing_id()))
+    rest = rows.select(row, F.inline(tail))
+    looked = rest.join(counts, "name", "left").groupBy(row).agg(
+        F.sum(F.col("uses") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH))).alias(log),
+        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("uses"))), F.lit(0)).alias(more),
     )
-    more, known = F.coalesce("__log", F.lit(0.0)), F.coalesce("__known", F.lit(0))
-    out = rows.drop("__rest").join(looked, "__row", "left")
-    return out.select(*keep, "n_tokens", (F.col("n_known") + known).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+    out = rows.drop(tail).join(looked, row, "left")
+    logs, known = F.coalesce(log, F.lit(0.0)), F.coalesce(more, F.lit(0))
+    return out.select(*keep, "n_tokens", (F.col("n_known") + known).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base_score") + logs).alias("base_score"), (F.col("score") + logs).alias("score"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.llm.bpe import encoder
-from stemma.llm.storage import in_batches, shared_folder, text_bytes
+from stemma.llm.storage import in_batches, private, shared_folder, text_bytes
 
 KEYS = ["source", "lang", "tokenizer_version"]
 
@@ -69,8 +69,9 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def counted(docs: DataFrame, versions: dict[str, str], keep: list[str]) -> DataFrame:
     """Columns ``keep`` and one ``n_<version>`` for each tokenizer (version -> vocabulary file), for every row; null text has 0 tokens."""
-    source = docs.select(*keep, text_bytes().alias("__bytes"))
-    schema = source.drop("__bytes").schema
+    data = private(docs, "bytes")
+    source = docs.select(*keep, text_bytes().alias(data))
+    schema = source.drop(data).schema
     for version in versions:
         schema = schema.add(f"n_{version}", "long")
 

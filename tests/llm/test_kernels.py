@@ -14,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from llm_plain import plain_probability
 from stemma.llm import bpe, fingerprint, jaccard_join, language_id, lm, packing, textkit, toxicity
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -144,16 +145,46 @@ def test_ftrl_finds_the_word():
 
 def test_language_model_is_normalised_and_learns():
     rng = np.random.default_rng(1)
-    counts = np.zeros((lm.OUTCOMES, lm.OUTCOMES), np.float32)
-    for k in range(0, 40, 2):
-        counts[k, k + 1] = 500
-        counts[k + 1, rng.integers(0, 40, 5)] += 50
-    noise = ((counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * lm.OUTCOMES)).astype(np.float32)
-    p = lm.normalised([lm.nce(counts, noise)])[0]
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
-    used = counts.sum(axis=1) > 0
-    model = (counts[used] * np.log(p[used])).sum() / counts.sum()
-    assert model > (counts[used] * np.log(noise)).sum() / counts.sum() + 0.5
+    # A word after the two before it: neither of them tells it alone.
+    first, second = rng.integers(0, 8, 20_000), rng.integers(8, 16, 20_000)
+    out = np.stack([first, second, 16 + 4 * (first // 2) + (second - 8) // 2, np.full(20_000, lm.WORDS)], axis=1).reshape(-1)
+    doc = np.repeat(np.arange(20_000), 4)
+    unigram = np.bincount(out, minlength=lm.OUTCOMES) / len(out)
+    unigram = unigram.reshape(lm.GROUPS + 1, lm.MEMBERS)
+    v = lm.Vectors.new(unigram)
+    squares = [np.full_like(x, 1e-2) for x in v.arrays()]
+    context = lm.contexts(out, doc)
+    start = lm.log_probability(v, context, out).reshape(-1, 4)
+    for _ in range(4):
+        for k in range(0, len(out), lm.STEP):
+            lm.train(v, squares, unigram, context[:, k : k + lm.STEP], out[k : k + lm.STEP])
+    got = lm.log_probability(v, context, out).reshape(-1, 4)
+    assert got[:, 2].mean() > -0.3 and got[:, 3].mean() > -0.1 and got.mean() > start.mean() + 0.5
+    assert got[:, 0].mean() < start[:, 0].mean() + 1.5
+    every = np.flatnonzero(unigram.reshape(-1))
+    for k in (0, 1, 2, 3, 40_001):
+        assert math.isclose(sum(plain_probability(v, context[:, k], int(x)) for x in every), 1, rel_tol=1e-4)
+        assert math.isclose(plain_probability(v, context[:, k], int(out[k])), math.exp(got.reshape(-1)[k]), rel_tol=1e-3)
+
+
+def test_noise_contrastive_gradient():
+    """The gradient is that of the objective written out, by differences."""
+    rng = np.random.default_rng(0)
+    unigram = rng.random((lm.GROUPS + 1, lm.MEMBERS))
+    unigram /= unigram.sum()
+    scores, target = rng.normal(0, 1, (3, lm.MEMBERS)), np.array([5, 9, 5])
+    noise = unigram[4] / unigram[4].sum()
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def objective(s):
+        d = s - np.log(lm.NOISE * noise)
+        return sum(math.log(sigmoid(d[k, t])) for k, t in enumerate(target)) + sum(lm.NOISE * noise[w] * math.log(1 - sigmoid(d[k, w])) for k in range(3) for w in range(lm.MEMBERS))
+
+    got = lm._contrast(scores, np.log(lm.NOISE * noise), target)
+    for k, w in ((0, 5), (0, 6), (1, 9), (2, 0)):
+        shift = np.zeros_like(scores)
+        shift[k, w] = 1e-5
+        assert math.isclose(got[k, w], (objective(scores + shift) - objective(scores - shift)) / 2e-5, rel_tol=1e-3, abs_tol=1e-6)
 
 
 def test_phrases_are_locally_consistent():
@@ -182,5 +213,7 @@ def test_named_tokens_and_contexts():
     name, doc, _ = lm.named([b"a b", b"", b"A"])
     assert doc.tolist() == [0, 0, 0, 1, 2, 2] and name[0] == name[4] and name[2] == name[3] == name[5]
     out = np.array([5, 6, 7, 8, 9, 3])
-    assert lm.contexts(out, doc, 1).tolist() == [lm.WORDS, 5, 6, lm.WORDS, lm.WORDS, 9]
+    b = lm.WORDS
+    assert lm.contexts(out, doc).tolist() == [[b, 5, 6, b, b, 9], [b, b, 5, b, b, b], [b] * 6]
+    assert lm.contexts(out[:1], doc[:1]).tolist() == [[b]] * 3 and lm.contexts(out[:0], doc[:0]).shape == (3, 0)
     assert Counter(doc.tolist()) == {0: 3, 1: 1, 2: 2} and zlib.crc32(b"") == 0

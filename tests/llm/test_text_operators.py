@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from llm_plain import plain_probability
 from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, queries, secrets, sharding, storage, token_counts, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -145,6 +146,20 @@ def test_language_model(odd, none):
         base = sum(math.log10((known[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(known[w] > 0 for w in tokens), n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0 and math.isfinite(r.score)
+    # The score, written out from the model's vectors and the counts.
+    outcome = dict(zip(model.head.tolist(), model.head_outcome.tolist()))
+    for r in out:
+        if len(r.text or "") < 1000:
+            name, _, kind = lm.named([(r.text or "").encode()])
+            own = [outcome.get(int(x), -1) if outcome.get(int(x), -1) >= 0 else lm.WORDS + int(k) for x, k in zip(name, kind)]
+            want = 0.0
+            for k, (o, w) in enumerate(zip(own, [*words_of(r.text), None])):
+                before = [own[k - j] if k >= j else lm.WORDS for j in range(1, lm.REACH + 1)]
+                want += math.log10(plain_probability(model.vectors, before, o))
+                if o >= lm.WORDS:
+                    c = o - lm.WORDS
+                    want += math.log10((known[w] + 0.1) / (model.class_tokens[c] + 0.1 * (model.class_types[c] + 1)))
+            assert math.isclose(r.score, want, rel_tol=1e-4)
     assert lm.score(none, model, counts, ["doc_id"]).count() == 0
     empty, nothing = lm.fit(none)
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score(odd, empty, nothing, ["doc_id"]).collect())
@@ -468,6 +483,6 @@ def test_held_out_quality(spark):
     out = queries.op3_language(spark, folder).where("held_out").collect()
     assert np.mean([docs.lang[r.doc_id] == r.lang_pred for r in out]) > 0.98
     scored = queries.op5_lm_scoring(spark, folder).where("held_out").collect()
-    assert sum(r.score for r in scored) > sum(r.base_score for r in scored)
+    assert sum(r.score for r in scored) > sum(r.base_score for r in scored) + 0.2 * sum(r.n_tokens for r in scored)
     found = queries.op7_fingerprints(spark, folder).collect()
     assert np.mean([r.near_edited > r.near_next for r in found]) > 0.97
