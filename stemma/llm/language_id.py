@@ -2,14 +2,15 @@
 
 Each language gives every piece of the vocabulary a probability. A word, led by the mark of a word's beginning, has as
 its probability the sum over all its segmentations into pieces of the product of the pieces' probabilities, computed by
-the forward algorithm; a text's is the product over its words. The piece probabilities of a language are fitted to its
-word counts by expectation-maximisation with the forward-backward algorithm. Single characters outside the vocabulary
-share one floor probability, so every text can be scored.
+the forward algorithm; a text's is the product over its words. Words are of any length: the recursion goes through them
+in windows, and carries the sums of the last characters, scaled, from one to the next, so no segmentation is left out. The
+piece probabilities of a language are fitted to its word counts by expectation-maximisation with the forward-backward
+algorithm. Single characters outside the vocabulary share one floor probability, so every text can be scored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,88 +25,150 @@ from stemma.llm.storage import cut, in_batches, private, small, text_bytes
 #: Bound on the documents that a model is fitted on, a documented parameter: all, or of each language those with the smallest id hashes.
 TRAIN_DOCS = 6_000
 ROUNDS = 2
-#: A word longer than this many characters is cut into words of this length.
-LONGEST = 24
+#: Characters of a window of the recursion; the sums in one stay within the range of doubles.
+WINDOW = 24
+#: Characters of words that are scored at once; one longer word is scored by itself.
+CELLS = 1 << 17
+#: Most languages of a model; there are probabilities of the whole vocabulary for each.
+LANGUAGES = 1_000
 #: Words whose scores a worker remembers.
 REMEMBERED = 200_000
 _HASHES = 1 << 20
 _MARK = "▁"
 _FLOOR = 1e-7
-_PIECES: dict[str, dict[str, int]] = {}
+_OPEN: dict[str, Vocabulary] = {}
 
 
-def pieces(path: str) -> dict[str, int]:
-    """Piece -> number, for the pieces of letters in the vocabulary file: lower-cased ASCII, others as they are."""
-    if path not in _PIECES:
+class Vocabulary:
+    """Pieces and their numbers, and for two characters the length of the longest piece that ends with them."""
+
+    def __init__(self, pieces: Iterable[str]):
+        self.numbers = {p: i for i, p in enumerate(sorted(pieces))}
+        self.longest: dict[str, int] = {}
+        for p in self.numbers:
+            self.longest[p[-2:]] = max(self.longest.get(p[-2:], 1), len(p))
+        self.reach = max(map(len, self.numbers), default=1)
+
+
+def vocabulary_of(path: str) -> Vocabulary:
+    """The pieces in the vocabulary file that can occur in a word: lower-cased, without ASCII other than letters."""
+    if path not in _OPEN:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        found = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))}
-        kept = sorted(p for p in {_lower(x) for x in found} if p.strip(_MARK) == "" or all(c.isalpha() or c == _MARK for c in p))
-        _PIECES[path] = {p: i for i, p in enumerate(p for p in kept if 0 < len(p) <= 12)}
-    return _PIECES[path]
+        found = {_lower(model.id_to_piece(i)) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))}
+        _OPEN[path] = Vocabulary(p for p in found if p and all(ord(c) >= 128 or c.isalpha() for c in p))
+    return _OPEN[path]
 
 
 def _lower(text: str) -> str:
     return text.translate({c: c + 32 for c in range(65, 91)})
 
 
-def spelled(word: bytes) -> list[str]:
-    """The words that are scored for one word of a text."""
-    text = _MARK + word.decode("utf-8", "replace")
-    return [text[k : k + LONGEST] for k in range(0, len(text), LONGEST)]
+def spelled(word: bytes) -> str:
+    """The characters that are scored for one word of a text."""
+    return _MARK + word.decode("utf-8", "replace")
+
+
+def in_groups(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of the words in order of their lengths, by groups of about CELLS characters."""
+    lengths = np.array([len(w) for w in words])
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        n = max(1, int(np.searchsorted(lengths[order[at:]] * np.arange(1, len(order) - at + 1), CELLS, "right")))
+        yield order[at : at + n]
+        at += n
 
 
 class Lattice:
-    """The pieces at all places of a batch of words, as an array [word, end, length] of piece numbers.
+    """The pieces at all places of some words, in order of their lengths.
 
-    Number 0 stands for no piece, 1 for a character outside the vocabulary, and piece i has the number i + 2.
+    Number 0 stands for no piece, 1 for a character outside the vocabulary, and piece i has the number i + 2. A window has
+    the pieces that end in it, as an array [end, length, word] for the words that reach into it.
     """
 
-    def __init__(self, words: list[str], vocabulary: dict[str, int]):
+    def __init__(self, words: list[str], vocabulary: Vocabulary):
+        self.words, self.vocabulary = words, vocabulary
         self.lengths = np.array([len(w) for w in words])
-        top, reach = max(map(len, words)), min(12, max(map(len, words)))
-        self.at = np.zeros((top + 1, reach + 1, len(words)), np.int32)
-        get = vocabulary.get
-        for k, w in enumerate(words):
-            for end in range(1, len(w) + 1):
-                for size in range(1, min(reach, end) + 1):
+        self.top = int(self.lengths[-1])
+        self.reach = min(vocabulary.reach, self.top)
+
+    def window(self, a: int) -> tuple[int, np.ndarray, list[tuple[int, int]]]:
+        """First word that has more than ``a`` characters, the pieces that end in the next WINDOW of it, and the (end, length) that there are."""
+        first = int(np.searchsorted(self.lengths, a, "right"))
+        rows = min(WINDOW, self.top - a) + 1
+        places, values = [], []
+        get, longest, n, reach = self.vocabulary.numbers.get, self.vocabulary.longest.get, len(self.words) - first, self.reach
+        for k, w in enumerate(self.words[first:]):
+            for end in range(a + 1, min(a + WINDOW, len(w)) + 1):
+                row = (end - a) * (reach + 1)
+                i = get(w[end - 1])
+                places.append((row + 1) * n + k)
+                values.append(1 if i is None else i + 2)
+                for size in range(2, min(longest(w[end - 2 : end], 1), end) + 1):
                     i = get(w[end - size : end])
                     if i is not None:
-                        self.at[end, size, k] = i + 2
-                    elif size == 1:
-                        self.at[end, 1, k] = 1
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """Sums of the products over all segmentations of the first ``end`` characters; ``p`` is [number, language]."""
-        top, reach = self.at.shape[0] - 1, self.at.shape[1] - 1
-        alpha = np.zeros((top + 1, self.at.shape[2], p.shape[1]))
-        alpha[0] = 1
-        for end in range(1, top + 1):
-            for size in range(1, min(reach, end) + 1):
-                alpha[end] += alpha[end - size] * p[self.at[end, size]]
-        return alpha
-
-    def log_probability(self, p: np.ndarray) -> np.ndarray:
-        alpha = self.forward(p)
-        return np.log(alpha[self.lengths, np.arange(len(self.lengths))])
+                        places.append((row + size) * n + k)
+                        values.append(i + 2)
+        at = np.zeros(rows * (reach + 1) * n, np.int32)
+        at[places] = values
+        at = at.reshape(rows, reach + 1, n)
+        used = at.any(axis=2)
+        return first, at, [(e, z) for e in range(1, rows) for z in range(1, reach + 1) if used[e, z]]
+
+    def forward(self, p: np.ndarray, every: bool = False) -> np.ndarray:
+        """Logarithms of the sums of the products over all segmentations: [word, language] of the whole words, or if ``every``, [characters, word] of their beginnings in the one language.
+
+        ``p`` is [number, language].
+        """
+        n, reach = len(self.words), self.reach
+        out = np.zeros((n, p.shape[1]))
+        kept = np.full((self.top + 1, n), -np.inf) if every else None
+        carried, scale = np.zeros((reach, n, p.shape[1])), np.zeros((n, p.shape[1]))
+        carried[-1] = 1
+        if every:
+            kept[0] = 0
+        before = 0
+        for a in range(0, self.top, WINDOW):
+            first, at, used = self.window(a)
+            carried, scale = carried[:, first - before :], scale[first - before :]
+            before = first
+            rows = at.shape[0] - 1
+            alpha = np.concatenate([carried, np.zeros((rows, *carried.shape[1:]))])
+            for end, size in used:
+                alpha[reach - 1 + end] += alpha[reach - 1 + end - size] * p[at[end, size]]
+            if every:
+                with np.errstate(divide="ignore"):
+                    kept[a + 1 : a + rows + 1, first:] = np.log(alpha[reach:, :, 0]) + scale[:, 0]
+            done = np.flatnonzero(self.lengths[first:] <= a + rows)
+            out[first + done] = np.log(alpha[reach - 1 + self.lengths[first + done] - a, done]) + scale[done]
+            last = np.where(alpha[-1] > 0, alpha[-1], 1)
+            carried, scale = alpha[rows:] / last, scale + np.log(last)
+        return kept if every else out
 
     def expected(self, p: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece number in the words, each word counted ``weights`` times."""
-        top, reach = self.at.shape[0] - 1, self.at.shape[1] - 1
-        p = p[:, None]
-        alpha = self.forward(p)[:, :, 0]
-        words = np.arange(len(self.lengths))
-        beta = np.zeros_like(alpha)
-        beta[self.lengths, words] = 1
+        """Expected uses of each piece number in the words, each word counted ``weights`` times; ``p`` is that of one language."""
+        n, reach = len(self.words), self.reach
+        alpha = self.forward(p[:, None], every=True)
+        total = alpha[self.lengths, np.arange(n)]
         out = np.zeros(len(p))
-        total = weights / alpha[self.lengths, words]
-        for end in range(top, 0, -1):
-            for size in range(1, min(reach, end) + 1):
-                at = self.at[end, size]
-                step = beta[end] * p[at, 0]
-                out += np.bincount(at, alpha[end - size] * step * total, minlength=len(out))
-                beta[end - size] += step
+        # Carried are the places from ``reach`` before a window's first to that one.
+        carried, scale = np.zeros((reach + 1, 0)), np.zeros(0)
+        for a in range((self.top - 1) // WINDOW * WINDOW, -1, -WINDOW):
+            first, at, used = self.window(a)
+            rows, more = at.shape[0] - 1, n - first - len(scale)
+            beta, scale = np.zeros((reach + rows + 1, n - first)), np.concatenate([np.zeros(more), scale])
+            beta[rows:, more:] = carried
+            here = np.flatnonzero(self.lengths[first:] <= a + rows)
+            beta[reach + self.lengths[first + here] - a, here] = 1
+            for end, size in sorted(used, reverse=True):
+                step = beta[reach + end] * p[at[end, size]]
+                share = np.exp(np.minimum(alpha[a + end - size, first:] + scale - total[first:], 700))
+                out += np.bincount(at[end, size], share * step * weights[first:], minlength=len(out))
+                beta[reach + end - size] += step
+            last = np.where(beta[reach] > 0, beta[reach], 1)
+            carried, scale = beta[: reach + 1] / last, scale + np.log(last)
         return out
 
 
@@ -132,13 +195,15 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
 
     At most about ``bound`` documents are used, chosen by the hash of their ids: languages have equal shares, and what one
     doesn't use is shared by the others. The documents of the least hash of a language are always used, so every language
-    is learnt, also beyond the bound. Words are counted by language and the counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
+    is learnt, also beyond the bound; more than LANGUAGES of them are a ValueError. Words are counted by language and the counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
     """
     spark = docs.sparkSession
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.where("lang is not null and text is not null")
     known = known.select(F.col("lang").cast("string").alias("lang"), text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("h"))
     found = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
+    if len(found) > LANGUAGES:
+        raise ValueError(f"{len(found)} languages; a model has {LANGUAGES} at most")
     share = equal_share([r.n for r in found], bound)
     below = [(r.lang, max(int(min(1.0, share / r.n) * _HASHES), r.least + 1)) for r in found]
     limits = small(spark.createDataFrame(below, "lang string, below long"), len(below))
@@ -157,7 +222,7 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
     counted = in_batches(chosen.select("lang", "t"), count, "lang string, word binary, n long")
     words = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
-    size = len(pieces(path)) + 2
+    size = len(vocabulary_of(path).numbers) + 2
     if not languages:
         return Model([], np.zeros((size, 0)), path)
     p = np.full((size, len(languages)), 1.0 / size)
@@ -167,14 +232,14 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, languages, path = sent.value
-            vocabulary, sums = pieces(path), np.zeros_like(p)
+            vocabulary, sums = vocabulary_of(path), np.zeros_like(p)
             for batch in batches:
                 lang, n = np.array(batch.columns[0].to_pylist()), np.array(batch.columns[2].to_pylist(), float)
                 for j, name in enumerate(languages):
                     own = np.flatnonzero(lang == name)
-                    found = [(s, n[k]) for k in own for s in spelled(batch.columns[1][k].as_py())]
-                    if found:
-                        sums[:, j] += Lattice([s for s, _ in found], vocabulary).expected(p[:, j], np.array([c for _, c in found]))
+                    words = [spelled(batch.columns[1][k].as_py()) for k in own]
+                    for at in in_groups(words):
+                        sums[:, j] += Lattice([words[i] for i in at], vocabulary).expected(p[:, j], n[own[at]])
             i, j = np.nonzero(sums)
             yield pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(sums[i, j])], ["i", "j", "n"])
 
@@ -204,18 +269,12 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     schema = source.drop(data).schema.add("lang_pred", "string").add("score", "double")
     memory: dict[str, np.ndarray] = {}
 
-    def scored(tokens: textkit.Tokens, first: np.ndarray, p: np.ndarray, vocabulary: dict[str, int]) -> np.ndarray:
+    def scored(tokens: textkit.Tokens, first: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
         """Log-probabilities [token, language] of the tokens at ``first``."""
-        spelt, owner = [], []
-        for row, k in enumerate(first):
-            for part in spelled(tokens.data[tokens.start[k] : tokens.end[k]]):
-                spelt.append(part)
-                owner.append(row)
-        order = np.argsort([len(x) for x in spelt], kind="stable")
+        words = [spelled(tokens.data[tokens.start[k] : tokens.end[k]]) for k in first]
         out = np.zeros((len(first), p.shape[1]))
-        for k in range(0, len(order), 4096):
-            own = order[k : k + 4096]
-            np.add.at(out, np.asarray(owner)[own], Lattice([spelt[i] for i in own], vocabulary).log_probability(p))
+        for at in in_groups(words):
+            out[at] = Lattice([words[i] for i in at], vocabulary).forward(p)
         return out
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -224,7 +283,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         lettered = np.array([any(map(str.isalpha, x.decode())) for x in texts], bool)
         best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
         if languages:
-            vocabulary = pieces(path)
+            vocabulary = vocabulary_of(path)
             t = textkit.tokenise(texts, textkit.LETTER)
             name, first, inverse = np.unique(t.name, return_index=True, return_inverse=True)
             known = memory.get("name", np.zeros(0, np.uint64))

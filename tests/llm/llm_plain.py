@@ -14,3 +14,18 @@ def plain_probability(v, before, outcome):
     g, m = divmod(outcome, lm.MEMBERS)
     words = [math.exp(float(r @ w + b)) for w, b in zip(v.word[g], v.word_bias[g])]
     return groups[g] / sum(groups) * words[m] / sum(words)
+
+
+def plain_segmentation(word, numbers, p):
+    """Logarithm of the sum over all segmentations, by a plain sum in logarithms for each character."""
+    longest = max(map(len, numbers))
+    at = [0.0]
+    for end in range(1, len(word) + 1):
+        terms = []
+        for size in range(1, min(longest, end) + 1):
+            i = numbers.get(word[end - size : end])
+            if i is not None or size == 1:
+                terms.append(at[end - size] + math.log(p[1 if i is None else i + 2]))
+        top = max(terms)
+        at.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return at[-1]

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from llm_plain import plain_probability
+from llm_plain import plain_probability, plain_segmentation
 from stemma.llm import bpe, fingerprint, jaccard_join, language_id, lm, packing, textkit, toxicity
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,35 +94,68 @@ def test_unordered_vocabularies_are_refused():
         bpe.encoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def brute_segmentation(word, vocabulary, p):
-    if not word:
-        return 1.0
-    total = 0.0
-    for k in range(1, min(len(word), 12) + 1):
-        piece = word[:k]
-        if piece in vocabulary:
-            total += p[vocabulary[piece] + 2] * brute_segmentation(word[k:], vocabulary, p)
-        elif k == 1:
-            total += p[1] * brute_segmentation(word[1:], vocabulary, p)
-    return total
-
-
-@given(st.lists(st.text(alphabet="abx", min_size=1, max_size=7), min_size=1, max_size=5))
-@settings(max_examples=40, deadline=None)
-def test_forward_sums_all_segmentations(words):
-    vocabulary = {"a": 0, "b": 1, "ab": 2, "ba": 3, "aba": 4}
-    p = np.array([[0, 0], [0.1, 0.2], [0.2, 0.1], [0.3, 0.3], [0.1, 0.1], [0.2, 0.2], [0.1, 0.1]])
-    got = np.exp(language_id.Lattice(words, vocabulary).log_probability(p))
-    want = [[brute_segmentation(w, vocabulary, p[:, j]) for j in range(2)] for w in words]
+PIECES = ["a", "b", "ab", "ba", "aba", "abababababababa"]
+
+
+def some_probabilities(languages=2):
+    p = np.random.default_rng(0).random((len(PIECES) + 2, languages)) * 0.2
+    p[0] = 0
+    return p
+
+
+@given(st.lists(st.text(alphabet="abx", min_size=1, max_size=70), min_size=1, max_size=5), st.sampled_from([3, 5, 24]))
+@settings(max_examples=60, deadline=None)
+def test_forward_sums_all_segmentations(words, window):
+    vocabulary, p = language_id.Vocabulary(PIECES), some_probabilities()
+    words = sorted(words, key=len)
+    old, language_id.WINDOW = language_id.WINDOW, window
+    try:
+        lattice = language_id.Lattice(words, vocabulary)
+        assert np.allclose(lattice.forward(p), [[plain_segmentation(w, vocabulary.numbers, p[:, j]) for j in range(2)] for w in words])
+        got = lattice.expected(p[:, 0], np.arange(1.0, len(words) + 1))
+    finally:
+        language_id.WINDOW = old
+    want = np.zeros(len(p))
+    for k, w in enumerate(words):
+        want += (k + 1) * plain_uses(w, vocabulary.numbers, p[:, 0])
     assert np.allclose(got, want)
 
 
+def plain_uses(word, numbers, p):
+    """Expected uses: the derivative of the log-probability by the logarithms of the probabilities."""
+    out = np.zeros(len(p))
+    for k in range(1, len(p)):
+        up, down = p.copy(), p.copy()
+        up[k] *= 1 + 1e-5
+        down[k] *= 1 - 1e-5
+        out[k] = (plain_segmentation(word, numbers, up) - plain_segmentation(word, numbers, down)) / 2e-5
+    return out
+
+
+def test_words_of_any_length():
+    """No segmentation across a window is lost, nothing underflows, and groups of words score like words alone."""
+    vocabulary = language_id.vocabulary_of(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(2)
+    p = rng.random((len(vocabulary.numbers) + 2, 3)) / len(vocabulary.numbers)
+    p[0] = 0
+    words = ["\u2581" + "".join(rng.choice(list("abcdefgino"), n)) for n in (1, 5, 23, 24, 25, 1_000, 30_000)] + ["\u2581" + "日本語の文章は分かち書きをしない" * 60]
+    got = np.zeros((len(words), 3))
+    for at in language_id.in_groups(words):
+        got[at] = language_id.Lattice([words[i] for i in at], vocabulary).forward(p)
+    assert np.isfinite(got).all()
+    assert np.allclose(got, [[plain_segmentation(w, vocabulary.numbers, p[:, j]) for j in range(3)] for w in words])
+    assert max(map(len, vocabulary.numbers)) > 12 and language_id.spelled(("x" * 1000).encode()) == "\u2581" + "x" * 1000
+
+
 def test_expected_counts():
-    vocabulary = {"a": 0, "b": 1, "ab": 2}
+    vocabulary = language_id.Vocabulary(["a", "b", "ab"])
     p = np.array([0, 0.1, 0.3, 0.3, 0.3])
     got = language_id.Lattice(["ab"], vocabulary).expected(p, np.array([2.0]))
     split, whole = 0.09 / 0.39, 0.3 / 0.39
-    assert np.allclose(got, [0, 0, 2 * split, 2 * split, 2 * whole])
+    number = {w: i + 2 for w, i in vocabulary.numbers.items()}
+    want = np.zeros(5)
+    want[[number["a"], number["b"], number["ab"]]] = 2 * split, 2 * split, 2 * whole
+    assert np.allclose(got, want)
 
 
 def test_ftrl_finds_the_word():

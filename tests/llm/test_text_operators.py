@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from llm_plain import plain_probability
+from llm_plain import plain_probability, plain_segmentation
 from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, queries, secrets, sharding, storage, token_counts, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -93,6 +93,25 @@ def test_language(odd, none):
     assert {r.lang_pred for r in language_id.predict(odd, language_id.fit(none), ["doc_id"]).collect()} == {"und"}
 
 
+def test_languages_of_whole_texts(spark):
+    """Predictions and scores against plain sums over all words of whole texts, of long words and unspaced scripts too."""
+    rng = np.random.default_rng(5)
+    draw = lambda letters, n: " ".join("".join(rng.choice(list(letters), rng.integers(1, 9))) for _ in range(n))
+    rows = [(i, draw(letters, 40), lang) for i in range(20) for lang, letters in (("a", "abcdeé"), ("b", "defghiß"))]
+    rows += [(100, "これは長い文です" * 200, "c"), (101, "ab" * 700 + " 12 de!fg", None), (102, "défg" * 300 + "。" + "hi", None), (103, "", None), (104, "1 2", None), (105, "は長い" * 9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    numbers = language_id.vocabulary_of(model.path).numbers
+    for r in language_id.predict(df, model, ["doc_id", "text"]).collect():
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r.text.translate(LOW))
+        if not any(map(str.isalpha, r.text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        total = np.array([sum(plain_segmentation(language_id.spelled(w.encode()), numbers, model.p[:, j]) for w in words) for j in range(3)])
+        assert r.lang_pred == model.languages[total.argmax()]
+        assert math.isclose(r.score, 1 / np.exp(total - total.max()).sum(), rel_tol=1e-6)
+
+
 def test_rare_languages_are_learnt(spark):
     rows = [(i, "some words that are common here", "en") for i in range(2000)] + [(5000 + i, f"rare {'abcdefghijklmnopqrst'[i] * 4}", f"x{i:02}") for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
