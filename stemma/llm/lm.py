@@ -37,7 +37,7 @@ OUTCOMES = WORDS + CLASSES
 #: Training tokens that the first model is trained on, about, and how often it goes through them.
 FIRST_TOKENS, FIRST_ROUNDS = 500_000, 3
 #: Tokens of a step, and its rate.
-STEP, RATE = 8192, 0.08
+STEP, RATE = 16_384, 0.08
 #: Fixed-point places of averaged parameters, and their bound.
 _FIXED, _MOST = 1 << 16, 30.0
 #: Most tokens whose counts are sent to the executors; all others are looked up by a join.
@@ -53,13 +53,11 @@ _BLOCK = 16_384
 
 @dataclass
 class Vectors:
-    """Parameters: vectors of contexts [outcome], outcomes [group, member] and groups, their biases, and vectors of distances."""
+    """Parameters: vectors of contexts [outcome], of outcomes [group, member] and groups, both with their bias as a last number, and vectors of distances."""
 
     context: np.ndarray
     word: np.ndarray
-    word_bias: np.ndarray
     group: np.ndarray
-    group_bias: np.ndarray
     distance: np.ndarray
 
     @classmethod
@@ -69,19 +67,23 @@ class Vectors:
         draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
         groups = unigram.sum(axis=1)
         distance = np.repeat(1 / np.arange(1, REACH + 1, dtype=np.float32)[:, None], SIZE, axis=1)
-        return cls(draw(OUTCOMES, SIZE), draw(GROUPS + 1, MEMBERS, SIZE), _log(unigram / np.maximum(groups, 1e-30)[:, None]), draw(GROUPS + 1, SIZE), _log(groups), distance)
+        word, group = draw(GROUPS + 1, MEMBERS, SIZE + 1), draw(GROUPS + 1, SIZE + 1)
+        word[:, :, -1], group[:, -1] = _log(unigram / np.maximum(groups, 1e-30)[:, None]), _log(groups)
+        return cls(draw(OUTCOMES, SIZE), word, group, distance)
 
     def arrays(self) -> list[np.ndarray]:
-        return [self.context, self.word, self.word_bias, self.group, self.group_bias, self.distance]
+        return [self.context, self.word, self.group, self.distance]
 
     def copy(self) -> Vectors:
         return Vectors(*(x.copy() for x in self.arrays()))
 
     def predictions(self, contexts: np.ndarray) -> np.ndarray:
-        """[token, SIZE] of contexts [distance, token]."""
-        out = self.context[contexts[0]] * self.distance[0]
+        """[token, SIZE + 1] of contexts [distance, token]; the last number is 1, for the biases."""
+        out = np.ones((contexts.shape[1], SIZE + 1), np.float32)
+        part = self.context[contexts[0]] * self.distance[0]
         for j in range(1, REACH):
-            out += self.context[contexts[j]] * self.distance[j]
+            part += self.context[contexts[j]] * self.distance[j]
+        out[:, :SIZE] = part
         return out
 
 
@@ -172,19 +174,20 @@ def _begin() -> int:
     return WORDS
 
 
-def _contrast(score: np.ndarray, log_noise: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Gradient by the scores [token, outcome] of telling the targets from NOISE expected noise outcomes each."""
+def _contrast(minus_score: np.ndarray, noise: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Gradient, its sign turned, by the scores [token, outcome] of telling the targets from expected ``noise`` [outcome], NOISE outcomes each.
+
+    It is noise * right, where right = 1 / (1 + noise * exp(-score)) tells an outcome's odds of being no noise; at the
+    target, 1 - right is taken away. ``minus_score`` is written over.
+    """
     at = np.arange(len(target))
-    right = score - log_noise
-    np.clip(right, -30, 30, out=right)
-    np.negative(right, out=right)
-    np.exp(right, out=right)
-    right += 1
-    np.reciprocal(right, out=right)
-    own = 1 - right[at, target]
-    right *= -np.exp(log_noise)
-    right[at, target] += own
-    return right
+    with np.errstate(over="ignore", divide="ignore"):
+        # An outcome that doesn't exist is no noise, and has no gradient.
+        out = np.exp(minus_score, out=minus_score)
+        out += 1 / noise
+        np.reciprocal(out, out=out)
+    out[at, target] -= 1 - out[at, target] / noise[target]
+    return out
 
 
 def _by_group(target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -200,26 +203,26 @@ def _by_group(target: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]
 def train(v: Vectors, squares: list[np.ndarray], unigram: np.ndarray, context: np.ndarray, target: np.ndarray) -> None:
     """One step of noise-contrastive estimation in place, each coordinate at its own rate by its summed ``squares``."""
     groups = unigram.sum(axis=1)
-    noise = np.log(NOISE) + _log(groups)
+    noise = (NOISE * groups).astype(np.float32)
+    within = (NOISE * unigram / np.maximum(groups, 1e-30)[:, None]).astype(np.float32)
     h = v.predictions(context)
     grads = [np.zeros_like(x) for x in v.arrays()]
-    e = _contrast(h @ v.group.T + v.group_bias, noise, target // MEMBERS)
-    grads[3], grads[4], down = e.T @ h, e.sum(axis=0), e @ v.group
-    noise = np.log(NOISE) + _log(unigram / np.maximum(groups, 1e-30)[:, None])
+    e = _contrast(h @ -v.group.T, noise, target // MEMBERS)
+    grads[2], down = e.T @ h, e @ v.group[:, :SIZE]
     for g, own, member in _by_group(target):
         part = h[own]
-        e = _contrast(part @ v.word[g].T + v.word_bias[g], noise[g], member)
-        grads[1][g], grads[2][g] = e.T @ part, e.sum(axis=0)
-        down[own] += e @ v.word[g]
+        e = _contrast(part @ -v.word[g].T, within[g], member)
+        grads[1][g] = e.T @ part
+        down[own] += e @ v.word[g][:, :SIZE]
     for j in range(REACH):
-        grads[5][j] = (down * v.context[context[j]]).sum(axis=0)
+        grads[3][j] = (down * v.context[context[j]]).sum(axis=0)
         order = np.argsort(context[j].astype(np.int16), kind="stable")
         at = context[j][order]
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         grads[0][at[first]] += np.add.reduceat(down[order], first) * v.distance[j]
     for x, s, grad in zip(v.arrays(), squares, grads):
         s += grad * grad
-        x += RATE * grad / (np.sqrt(s) + 1e-3)
+        x -= RATE * grad / (np.sqrt(s) + np.float32(1e-3))
         np.minimum(x, _MOST, out=x)
 
 
@@ -228,18 +231,25 @@ def log_probability(v: Vectors, context: np.ndarray, target: np.ndarray) -> np.n
     out = np.empty(len(target))
     for k in range(0, len(target), STEP):
         h, own = v.predictions(context[:, k : k + STEP]), target[k : k + STEP]
-        score = h @ v.group.T + v.group_bias
+        score = h @ v.group.T
         part = score[np.arange(len(own)), own // MEMBERS] - _log_sum(score)
         for g, at, member in _by_group(own):
-            score = h[at] @ v.word[g].T + v.word_bias[g]
+            score = h[at] @ v.word[g].T
             part[at] += score[np.arange(len(at)), member] - _log_sum(score)
         out[k : k + STEP] = part
     return out
 
 
 def _log_sum(score: np.ndarray) -> np.ndarray:
-    top = score.max(axis=1)
-    return np.log(np.exp(score - top[:, None]).sum(axis=1)) + top
+    """Logarithms of the sums of the rows' exponentials."""
+    ones = np.ones(score.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        sums = np.exp(score) @ ones
+    # Scores are next to log-probabilities, so they hardly ever need to be moved to be summed.
+    if sums.min() < 1e-25 or sums.max() > 1e25:
+        top = score.max(axis=1)
+        return np.log(np.exp(score - top[:, None]) @ ones) + top
+    return np.log(sums)
 
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
@@ -311,7 +321,7 @@ def _first(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.nd
     if not got:
         return start, [np.full_like(x, 1e-2) for x in start.arrays()]
     every = [np.frombuffer(r.x, "<f4").reshape(x.shape).copy() for r, x in zip(got, [*start.arrays()] * 2)]
-    return Vectors(*every[:6]), every[6:]
+    return Vectors(*every[:4]), every[4:]
 
 
 def _averaged(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.ndarray, first: Vectors, squares: list[np.ndarray]) -> Vectors:
@@ -356,7 +366,7 @@ def _weights(before: np.ndarray, uses: np.ndarray) -> list[np.ndarray]:
     """Weights of the arrays of ``Vectors``, in forms that go with theirs."""
     by_group = uses.reshape(GROUPS + 1, MEMBERS)
     groups = by_group.sum(axis=1)
-    return [before[:, None], by_group[:, :, None], by_group, groups[:, None], groups, groups.sum().reshape(1, 1)]
+    return [before[:, None], by_group[:, :, None], groups[:, None], groups.sum().reshape(1, 1)]
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str]) -> DataFrame:

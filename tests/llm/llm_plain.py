@@ -10,9 +10,9 @@ from stemma.llm import lm
 def plain_probability(v, before, outcome):
     """The model's probability of an outcome after others, nearest first, written out."""
     r = sum(np.float64(v.distance[j]) * v.context[c] for j, c in enumerate(before))
-    groups = [math.exp(float(r @ g + b)) for g, b in zip(v.group, v.group_bias)]
+    groups = [math.exp(float(r @ g[:-1] + g[-1])) for g in v.group]
     g, m = divmod(outcome, lm.MEMBERS)
-    words = [math.exp(float(r @ w + b)) for w, b in zip(v.word[g], v.word_bias[g])]
+    words = [math.exp(float(r @ w[:-1] + w[-1])) for w in v.word[g]]
     return groups[g] / sum(groups) * words[m] / sum(words)
 
 

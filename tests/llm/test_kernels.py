@@ -188,7 +188,7 @@ def test_language_model_is_normalised_and_learns():
     squares = [np.full_like(x, 1e-2) for x in v.arrays()]
     context = lm.contexts(out, doc)
     start = lm.log_probability(v, context, out).reshape(-1, 4)
-    for _ in range(4):
+    for _ in range(12):
         for k in range(0, len(out), lm.STEP):
             lm.train(v, squares, unigram, context[:, k : k + lm.STEP], out[k : k + lm.STEP])
     got = lm.log_probability(v, context, out).reshape(-1, 4)
@@ -200,6 +200,12 @@ def test_language_model_is_normalised_and_learns():
         assert math.isclose(plain_probability(v, context[:, k], int(out[k])), math.exp(got.reshape(-1)[k]), rel_tol=1e-3)
 
 
+def test_sums_of_extreme_scores():
+    score = np.array([[-200, -201], [90, 95], [0, -1e4]], np.float32)
+    for rows in (score, score[:1], score[2:]):
+        assert np.allclose(lm._log_sum(rows), np.logaddexp.reduce(rows.astype(float), axis=1), rtol=1e-5, atol=1e-5)
+
+
 def test_noise_contrastive_gradient():
     """The gradient is that of the objective written out, by differences."""
     rng = np.random.default_rng(0)
@@ -213,7 +219,7 @@ def test_noise_contrastive_gradient():
         d = s - np.log(lm.NOISE * noise)
         return sum(math.log(sigmoid(d[k, t])) for k, t in enumerate(target)) + sum(lm.NOISE * noise[w] * math.log(1 - sigmoid(d[k, w])) for k in range(3) for w in range(lm.MEMBERS))
 
-    got = lm._contrast(scores, np.log(lm.NOISE * noise), target)
+    got = -lm._contrast(-scores, lm.NOISE * noise, target)
     for k, w in ((0, 5), (0, 6), (1, 9), (2, 0)):
         shift = np.zeros_like(scores)
         shift[k, w] = 1e-5
