@@ -11,6 +11,7 @@ the names of all phrases from level FIRST on: the KEPT smallest by a second hash
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -124,41 +125,51 @@ def scan(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For every row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     Null texts are empty, and an empty text has a fingerprint of its own. The next document is the next row by
-    descending doc_id, after the last one the first; rows of equal doc_id follow one another by their text, null ids
-    come last. A single row is its own next. Other columns are not read.
+    descending doc_id (of any type that has an order), after the last one the first; rows of equal doc_id follow one
+    another by a hash of their text, null ids come last. A single row is its own next. Other columns are not read.
 
-    Rows go to blocks of neighbouring doc_ids, borders being ids picked by their hash (one in ``block_rows``, or fewer,
-    so that there are about BLOCKS at most), and the rows of a border id go to the block before as well, so each block
-    knows its last row's next. So texts are shuffled once, and a block is read as a sorted stream, not as a group in
-    memory.
+    Rows go to blocks of neighbours in that order, borders being rows picked by their hash (one in ``block_rows``, or
+    fewer, so that there are about BLOCKS at most), and the rows of a border go to the block before as well, so each block
+    knows its last row's next. So texts are shuffled once, a block is read as a sorted stream, not as a group in memory,
+    and neither null ids nor one id with many texts meet in one task.
     """
     spark = docs.sparkSession
-    ids = docs.where("doc_id is not null").select("doc_id")
-    top = ids.agg(F.max("doc_id").alias("top"), F.count("*").alias("n")).first()
-    one_in = max(block_rows, top.n // BLOCKS)
-    picked = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).distinct().collect()
-    borders = sorted({r.doc_id for r in picked} | ({top.top} if top.n else set()), reverse=True)
-    sent = spark.sparkContext.broadcast(-np.array(borders, dtype=np.int64))
+    keys = docs.select("doc_id", F.xxhash64(text_bytes()).alias("key"))
+    n = docs.count()
+    one_in = max(block_rows, n // BLOCKS)
+    picked = keys.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(one_in)) == 0).distinct().collect()
+    top = keys.orderBy(F.desc_nulls_last("doc_id"), "key").limit(1).collect()
+    # In ascending order, the reverse of that of the rows; nulls are first.
+    borders = sorted({(r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, -r.key) for r in [*picked, *top]})
+    nulls = sum(not b[0] for b in borders)
+    sent = spark.sparkContext.broadcast((borders, nulls, pd.Series([b[1] for b in borders[nulls:]], dtype=None if borders[nulls:] else object).to_numpy()))
 
     @F.pandas_udf("long")
-    def block_of(doc_id: pd.Series) -> pd.Series:
-        """Twice the number of the id's block, plus 1 if it is the block's border."""
-        lows = sent.value
-        last = max(len(lows) - 1, 0)
+    def block_of(doc_id: pd.Series, key: pd.Series) -> pd.Series:
+        """Twice the number of the row's block, plus 1 if it is the block's border."""
+        borders, nulls, ids = sent.value
         known = doc_id.notna().to_numpy()
-        x = -doc_id.fillna(0).to_numpy().astype(np.int64)
-        at = np.clip(np.searchsorted(lows, x, "right") - 1, 0, last)
-        border = known & (lows[at] == x) if len(lows) else np.zeros(len(x), bool)
-        return pd.Series(np.where(known, 2 * at + border, 2 * last))
+        low, high = np.zeros(len(key), np.int64), np.full(len(key), nulls)
+        if known.any():
+            own = doc_id[known].to_numpy(ids.dtype)
+            low[known], high[known] = nulls + np.searchsorted(ids, own, "left"), nulls + np.searchsorted(ids, own, "right")
+        out = 2 * (len(borders) - 1 - low)
+        # Borders of the row's own id: its place among them is told by the hash of its text.
+        for k in np.flatnonzero(high > low):
+            row = (bool(known[k]), doc_id.iat[k] if known[k] else 0, -int(key.iat[k]))
+            at = bisect_left(borders, row, int(low[k]), int(high[k]))
+            out[k] = 2 * (len(borders) - 1 - at) + (at < len(borders) and borders[at] == row)
+        return pd.Series(out)
 
     blocks = max(len(borders), 1)
-    code = F.col("__code")
+    code = F.col("code")
     own = F.struct(F.floor(code / 2).alias("block"), F.lit(0).alias("ahead"))
     before = F.struct(F.floor((F.floor(code / 2) + blocks - 1) % blocks).alias("block"), F.lit(1).alias("ahead"))
     sides = F.when((code % 2 == 1) & F.lit(blocks > 1), F.array(own, before)).otherwise(F.array(own))
-    rows = docs.select("doc_id", text_bytes().alias("text"), block_of(F.col("doc_id").cast("long")).alias("__code"))
-    rows = rows.select("doc_id", F.explode(sides).alias("x"), "text").select("doc_id", "x.block", "x.ahead", "text")
-    dealt = rows.repartition("block").sortWithinPartitions("block", "ahead", F.desc_nulls_last("doc_id"), "text")
+    rows = docs.select("doc_id", text_bytes().alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = rows.withColumn("code", block_of("doc_id", "key"))
+    rows = rows.select("doc_id", "key", F.explode(sides).alias("x"), "text").select("doc_id", "key", "x.block", "x.ahead", "text")
+    dealt = rows.repartition("block").sortWithinPartitions("block", "ahead", F.desc_nulls_last("doc_id"), "key")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return dealt.select("doc_id", "block", "ahead", "text").mapInArrow(_marked, schema)

@@ -12,11 +12,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from llm_plain import plain_probability, plain_segmentation
+from llm_plain import plain_features, plain_ftrl, plain_phrases, plain_probability, plain_segmentation
 from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, queries, secrets, sharding, storage, token_counts, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
@@ -65,6 +66,22 @@ def test_toxicity(odd, none, labels):
     assert toxicity.fit(odd, labels.limit(0)).bias == toxicity.UNLABELLED
 
 
+def test_toxicity_is_plain_regression(spark):
+    """The fitted weights and all scores against FTRL-proximal written out, over words, pairs and skip pairs."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join([*rng.choice(list("abcdefgh"), rng.integers(0, 12)), *(["very", "vile"] if k % 3 == 0 else [])]) for k in range(150)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(200, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    grams = [plain_features(t) for t in texts]
+    weights, bias = plain_ftrl(grams[:120], [int(k % 3 == 0) for k in range(120)])
+    assert dict(zip(model.index.tolist(), model.weight)) == pytest.approx({k: w for k, w in weights.items() if w}, rel=1e-4)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    for k, own in enumerate([*grams, set()]):
+        assert got[k if k < 150 else 200] == pytest.approx(1 / (1 + math.exp(-bias - sum(weights.get(x, 0.0) for x in own))), rel=1e-4)
+    assert all((got[k] >= toxicity.THRESHOLD) == (k % 3 == 0) for k in range(120, 150))
+
+
 def test_decontamination(spark, odd, none, items):
     out = {(r.doc_id, r.n_words): r for r in decontaminate.scan(odd, items).collect()}
     assert decontaminate.scan(odd, items).count() == len(ROWS)
@@ -199,10 +216,48 @@ def test_packing(odd, none):
     assert packing.pack(none).count() == 0
 
 
+def text_hash(text):
+    x = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return x - (x >> 63 << 64)
+
+
+def test_fingerprints_are_those_of_a_plain_parser(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").toPandas().sort_values("doc_id", ascending=False)
+    texts = [t or "" for t in docs.text]
+    following = dict(zip(docs.doc_id, [*texts[1:], texts[0]]))
+    own = dict(zip(docs.doc_id, texts))
+    out = queries.op7_fingerprints(spark, FOLDER).collect()
+    assert len(out) == len(docs)
+    error = []
+    for r in out:
+        a, b, c = (plain_phrases(t) for t in (own[r.doc_id], fingerprint.edited(own[r.doc_id], following[r.doc_id]), following[r.doc_id]))
+        assert r.fingerprint == "".join(f"{x:08x}" for x in sorted(a)[: fingerprint.KEPT])
+        assert r.edited_fingerprint == "".join(f"{x:08x}" for x in sorted(b)[: fingerprint.KEPT])
+        for got, other in ((r.near_edited, b), (r.near_next, c)):
+            error.append(got - 2 * len(a & other) / (len(a) + len(other)))
+    # An estimate from 64 names: its error is that of a sample.
+    assert abs(np.mean(error)) < 0.02 and np.std(error) < 0.07
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "int"])
+def test_fingerprints_of_null_and_repeated_ids(spark, kind):
+    """Blocks are of rows in order, whatever their ids."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text {k} " + "words " * (k % 5)) for k in range(60)] + [(7, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    first = str if kind == "string" else int
+    order = sorted((r for r in rows if r[0] is not None), key=lambda r: text_hash(r[1]))
+    order.sort(key=lambda r: first(r[0]), reverse=True)
+    order += sorted((r for r in rows if r[0] is None), key=lambda r: text_hash(r[1]))
+    texts = [r[1] or "" for r in order]
+    want = Counter((r[0] if r[0] is None else first(r[0]), hashlib.sha256(fingerprint.edited(t, n).encode()).hexdigest()) for r, t, n in zip(order, texts, [*texts[1:], texts[0]]))
+    for block_rows in (3, 1000):
+        assert Counter((r.doc_id, r.edited_sha256) for r in fingerprint.scan(df, block_rows).collect()) == want
+
+
 def test_fingerprints(spark, odd, none):
     out = fingerprint.scan(odd).collect()
     assert len(out) == len(ROWS) and all(0 <= x <= 1 for r in out for x in (r.near_edited, r.near_next))
-    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), text_hash(r[1])))
     texts = [r[1] or "" for r in order]
     want = Counter((r[0], len(t), hashlib.sha256(fingerprint.edited(t, n).encode()).hexdigest()) for r, t, n in zip(order, texts, [*texts[1:], texts[0]]))
     assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in out) == want
@@ -479,9 +534,23 @@ def test_queries_of_whole_tables(spark):
         assert r.base_sha256 == hashlib.sha256(write(base).encode()).hexdigest() and r.spans == write(every)
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(x[1] == k for x in base) for k in range(3)]
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in queries.op9_jaccard_join(spark, FOLDER).collect()) == components([(i, words_of(t)) for i, t in texts.items()])
-    check_shards(queries.op4_sharding(spark, FOLDER).collect(), len(docs))
+    out = queries.op4_sharding(spark, FOLDER).collect()
+    check_shards(out, len(docs))
+    shards = defaultdict(list)
+    for r in out:
+        shards[texts[r.doc_id]].append(r.shard)
+    linked = [x for x in shards.values() if 1 < len(x) <= len(docs) / 16]
+    assert sum(len(set(x)) > 1 for x in linked) <= 0.05 * len(linked)
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for i, text in texts.items():
+        ids, start = [*t.encode(text, add_special_tokens=False).ids, 0], 0
+        for n in packing.lengths(len(ids)):
+            want[i, start, n, zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes()), len(ids), 0] += 1
+            start += n
     out = queries.op6_packing(spark, FOLDER).collect()
-    assert sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.offset) for r in out) == want
+    assert len({r.sequence_id for r in out}) == len(out)
 
 
 @small_tables
