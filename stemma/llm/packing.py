@@ -59,5 +59,5 @@ def pack(docs: DataFrame, path: str | None = None, most: int = SEQUENCE) -> Data
 
 
 def digest(packed: DataFrame) -> DataFrame:
-    """The pieces with the crc32 of their ids instead of the ids."""
+    """The pieces with the crc32 of their ids instead of the ids; a row for each piece, so repeats and null doc_ids stay."""
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

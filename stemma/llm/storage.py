@@ -75,7 +75,10 @@ def keyed(left: DataFrame, right: DataFrame, key: list[str], size: str, rows: in
 
 
 def without(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
-    """The rows of ``docs`` whose (doc_id, hash of the text) isn't among the ``rows`` rows of ``keys`` (doc_id, text_key), with the columns of ``docs``."""
+    """The rows of ``docs`` whose (doc_id, hash of the text) isn't among the ``rows`` rows of ``keys`` (doc_id, text_key), with the columns of ``docs``.
+
+    Nulls are equal to nulls. Two texts of one doc_id and one 64-bit hash are the same row here.
+    """
     k = small(keys.select(F.col("doc_id").alias("__lost_id"), F.col("text_key").alias("__lost_key")), rows)
     return docs.join(k, docs["doc_id"].eqNullSafe(k["__lost_id"]) & (F.xxhash64(docs["text"]) == k["__lost_key"]), "left_anti")
 

@@ -74,7 +74,11 @@ class Tokens:
 
 
 def tokenise(texts: list[bytes], separator: np.ndarray) -> Tokens:
-    """Split texts, ASCII letters lower-cased, at separator bytes and name each token by its bytes."""
+    """Split texts, ASCII letters lower-cased, at separator bytes and name each token by its bytes.
+
+    Names are 64-bit hashes with a fixed seed: tokens of natural text don't share one, while long tokens made by someone
+    who knows the seed could.
+    """
     data = b" " + b" ".join(texts).lower() + b" "
     raw = np.frombuffer(data, np.uint8)
     keep = ~separator[raw]

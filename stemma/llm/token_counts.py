@@ -37,7 +37,8 @@ class Rollup:
         """Add changes (``sign`` 1 or -1, the keys, ``n_tokens``) once; False if this batch was there already.
 
         Null keys are a group of their own; a null count is 0 tokens, a null sign no change. An empty batch is
-        committed and adds nothing.
+        committed and adds nothing. A batch is known by its id alone, so an id must not be used for other changes, and one
+        batch has one writer at a time: of two at once, both write the same sums to the same folder.
         """
         if self.committed(batch):
             return False
@@ -55,15 +56,20 @@ class Rollup:
 
 
 def inserts(counts: DataFrame) -> DataFrame:
+    """The counts as additions, a row for each row: repeated rows, nulls and an empty table stay as they are."""
     return counts.withColumn("sign", F.lit(1))
 
 
 def deletes(counts: DataFrame) -> DataFrame:
+    """The counts as removals, a row for each row: repeated rows, nulls and an empty table stay as they are."""
     return counts.withColumn("sign", F.lit(-1))
 
 
 def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Counts that take the place of others: the old ones with sign -1, the new ones with sign 1."""
+    """Counts that take the place of others: the old ones with sign -1, the new ones with sign 1.
+
+    Both are counts of rows: a document that is only in one of them is removed or added. The columns must be the same.
+    """
     return deletes(old).unionByName(inserts(new))
 
 
@@ -84,7 +90,7 @@ def counted(docs: DataFrame, versions: dict[str, str], keep: list[str]) -> DataF
 
 
 def long_counts(counts: DataFrame, versions: dict[str, str]) -> DataFrame:
-    """One row for each document and tokenizer version: the keys and n_tokens."""
+    """One row for each document and tokenizer version: the keys and n_tokens; repeated rows and nulls stay, other columns go."""
     rows = F.explode(F.array(*[F.struct(F.lit(v).alias("tokenizer_version"), F.col(f"n_{v}").alias("n_tokens")) for v in versions]))
     return counts.select("doc_id", "source", "lang", rows.alias("__x")).select("doc_id", "source", "lang", "__x.*")
 

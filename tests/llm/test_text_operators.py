@@ -24,7 +24,7 @@ FOLDER = "/root/testdata/sf0.001"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
 PASSAGE = " ".join(f"bench{i}" for i in range(20))
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, pos int, `group` string, words array<string>"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, pos int, `group` string, words array<string>, component string, text_key string, `same` string, __bytes string, __row string, __id string, __key string"
 ROWS = [
     (1, "Some words of a text that is short.", "en", "s"), (2, None, "en", "s"), (3, "", None, None), (4, "Some words of a text that is short.", "en", "s"),
     (4, "Some words of a text that is short.", "en", "s"), (None, "A row without an id, and words.", "en", "s"), (None, None, None, None), (5, LONG, "en", "s"), (6, LONG + " end", "en", "s"),
@@ -34,7 +34,7 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    return spark.createDataFrame([(i, t, lang, s, None if t is None else len(t), 0.5, 1, "g", ["x"]) for i, t, lang, s in ROWS], SCHEMA)
+    return spark.createDataFrame([(i, t, lang, s, None if t is None else len(t), 0.5, 1, "g", ["x"], *"abcdefg") for i, t, lang, s in ROWS], SCHEMA)
 
 
 @pytest.fixture(scope="module")
