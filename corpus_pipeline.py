@@ -15,7 +15,10 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under the threshold; the model is learnt as in the operator's query, from the rows that came."""
+    """Documents that score under the threshold; the model is learnt as in the operator's query, from the rows that came.
+
+    Null and empty texts score as the model's bias; without labels nothing goes. Repeated rows stay or go together.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels.where(F.pmod(crc_of_id(), F.lit(4)) != 2))
     score = private(docs, "toxicity")
@@ -24,22 +27,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar documents."""
+    """One document of each group of similar documents, the one with the smallest doc_id, null being the largest.
+
+    Rows without words are similar to nothing and stay; of repeated rows one stays.
+    """
     return jaccard_join.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold too little of the benchmark to be contaminated."""
+    """Documents that hold too little of the benchmark to be contaminated.
+
+    Null and empty texts stay, as all do without benchmark items; repeated rows stay or go together.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets masked."""
+    """All documents, with their secrets masked; null and empty texts and repeated rows stay as they are."""
     return secrets.redacted(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents."""
+    """The pieces of all documents; null and empty texts are the end id alone, repeated rows are packed each for itself."""
     return packing.digest(packing.pack(docs))
 
 
