@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the folder in ``spark.checkpoint.dir``, which all executors share, and read it from there.
 
-    Only where the session names no folder, as in tests, a temporary one is used.
+    Only where a local session names no folder, a temporary one is used; on a cluster that is a RuntimeError.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stemma.joins import told
 from stemma.lineage import cut
 
 KEY = ["filename", "bibkey"]
@@ -52,7 +53,8 @@ def numbered_by(values: DataFrame, column: str, first: int, partitions: int = 0)
     distinct = values.select(column).distinct()
     ranged = distinct.repartitionByRange(partitions, column) if partitions else distinct.repartitionByRange(column)
     ranged = ranged.sortWithinPartitions(column).withColumn("__at", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("__part", F.shiftright("__at", 33)).withColumn("__place", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+    # Read twice, so it is cut: both readings must have the same ranges.
+    ranged = cut(ranged).withColumn("__part", F.shiftright("__at", 33)).withColumn("__place", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
     # Counts by range are as few as the ranges, so their running sum is a small window.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
@@ -80,23 +82,25 @@ def assign_ids(entries: DataFrame, pick_hash: Pick = least_hash, pick_ref: Pick
     another get it. 3. Rows with a srefid keep it. 4. Rows without any earlier id get the id of their hash, if it has
     one. 5. Each hash with a row that still has no id, as separated rows of step 1 have, gets a new number for all its
     rows, in order of the hashes, after the largest earlier id.
+
+    Rows without a hash match nothing, not even one another: they keep what step 1 leaves of their earlier id, or get none.
     """
     pairs = cut(splits(entries).select("refid", "hash").distinct())
     chosen = pick_hash(pairs).select("refid", F.col("hash").alias("__stays"))
-    e = entries.join(chosen, "refid", "left")
+    e = told(entries.select(*KEY, "refid", "hash"), chosen, "refid")
     e = e.withColumn("srefid", F.when(F.col("__stays").isNull() | (F.col("hash") == F.col("__stays")), F.col("refid"))).drop("__stays")
     e = cut(e)
     left = cut(merges(e, "srefid").select("hash", "srefid").distinct())
     stays = pick_ref(left).select("hash", F.col("srefid").alias("__stays"))
-    e = e.join(stays, "hash", "left")
+    e = told(e, stays, "hash")
     e = e.withColumn("id", F.when(F.col("srefid").isNotNull(), F.coalesce("__stays", "srefid"))).drop("__stays")
     e = cut(e)
-    groups = e.groupBy("hash").agg(F.max("id").alias("__known"), F.count_if(F.col("id").isNull() & F.col("refid").isNotNull()).alias("__apart"))
-    e = e.join(groups, "hash")
-    known = F.when((F.col("__apart") == 0) & F.col("__known").isNotNull(), F.coalesce("id", "__known"))
+    groups = e.where("hash is not null").groupBy("hash").agg(F.max("id").alias("__known"), F.count_if(F.col("id").isNull() & F.col("refid").isNotNull()).alias("__apart"))
+    e = told(e, groups, "hash")
+    known = F.when(F.col("hash").isNull(), F.col("id")).when((F.col("__apart") == 0) & F.col("__known").isNotNull(), F.coalesce("id", "__known"))
     first = entries.agg(F.coalesce(F.max("refid"), F.lit(0)) + 1).first()[0]
     new = numbered_by(groups.where((F.col("__apart") > 0) | F.col("__known").isNull()), "hash", first)
-    out = e.join(new, "hash", "left").withColumn("id", F.coalesce("number", known))
+    out = told(e, new, "hash").withColumn("id", F.coalesce("number", known))
     return out.select(*KEY, "refid", "hash", "srefid", "id")
 
 
