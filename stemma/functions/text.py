@@ -13,7 +13,9 @@ _PLAIN = "aaaaaaaaacccdeeeeeeeeiiiiiinnnoooooooorsstuuuuuuuyyzzz"
 _LONG = {"ß": "ss", "æ": "ae", "œ": "oe"}
 #: What parts words of a title. Fixed value.
 WORD_BREAK = r"[()\[\]:,.\s\-?!;/~=]+"
+#: What parts the years of a range, and a reference to a key. Fixed values.
 _YEAR_BREAK = r"[,\-/\s\[\]]+"
+REFERENCE = r"\*\*([^*]+)\*\*"
 _ROMAN = {"m": 1000, "d": 500, "c": 100, "l": 50, "x": 10, "v": 5, "i": 1}
 
 
@@ -98,7 +100,7 @@ def type_names(text: Column) -> Column:
 
 def reference_keys(text: Column) -> Column:
     """Array of struct(key, pages) of the references ``**key**:pages`` in a text."""
-    pattern = F.lit(r"\*\*([^*]+)\*\*(:[\d,\s\-]+)?")
+    pattern = F.lit(REFERENCE + r"(:[\d,\s\-]+)?")
     return F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(1)).alias("key"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("pages"))
 
 

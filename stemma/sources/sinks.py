@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stemma.operators import references
 from stemma.operators.languoids import group_heading, language_line
 from stemma.sources import bibtex
 
@@ -113,3 +114,10 @@ def write_files(files: DataFrame, root: str) -> None:
         out = path.getFileSystem(conf).create(path, True)
         out.write(bytearray(row.value.encode()))
         out.close()
+
+
+def translated_table(rows: DataFrame, text: str, ids: DataFrame, path: str, order: list[str]) -> None:
+    """A table of justifications with ids in place of the keys of its references, as TSV beside the original: ``x.tab`` becomes ``x-ids.tab``. Unknown keys raise."""
+    stem, dot, end = path.rpartition(".")
+    out = references.translated(rows, text, ids, strict=True).orderBy(*order)
+    out.write.option("sep", "\t").option("header", "false").csv(f"{stem}-ids{dot}{end}" if dot else f"{path}-ids")

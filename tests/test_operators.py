@@ -98,7 +98,7 @@ def test_references(spark):
     rows = spark.createDataFrame([(1, "see **a:b**:12-13 and **c** or none"), (2, "nothing")], "k int, text string")
     ids_ = spark.createDataFrame([("a:b", 7)], "ref string, id long")
     assert [(r.ref, r.pages) for r in references.extracted(rows, "k", "text").orderBy("place").collect()] == [("a:b", ":12-13 "), ("c", "")]
-    assert {r.k: r.text for r in references.translated(rows, "k", "text", ids_).collect()} == {1: "see **7**:12-13 and **c** or none", 2: "nothing"}
+    assert {r.k: r.text for r in references.translated(rows, "text", ids_).collect()} == {1: "see **7**:12-13 and **c** or none", 2: "nothing"}
 
 
 def test_languoids(spark):
