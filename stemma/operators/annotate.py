@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rules as rows: class, label, rank, rule, word, positive.
 RULES = "class string, label string, rank int, rule string, word string, positive boolean"
+#: Most terms of rules, and words of a dictionary, that there may be.
+RULE_TERMS = 20_000
 
 
 def rule_text(terms: list[tuple[bool, str]]) -> str:
@@ -23,24 +27,37 @@ def rule_index(rules: DataFrame) -> DataFrame:
     return rules.groupBy("rule").agg(F.array_join(F.array_sort(F.collect_set("label")), ", ").alias("labels"))
 
 
+def _among(words: str, dictionary: list[str]) -> Column:
+    """The distinct words of an array that are in a small list, found before any row is made of them."""
+    return F.array_distinct(F.filter(words, lambda w: w.isin(dictionary)))
+
+
 def fired(records: DataFrame, key: str, words: str, rules: DataFrame) -> DataFrame:
     """The labels whose rules fire on a record's words (an array): key, class, label, rank, rule.
 
-    Rules are joined word by word with the distinct words of a record, and fire if all positive words are there and no
-    negative one; a rule without positive words is held against all records that have none of its words.
+    Rules are configuration, RULE_TERMS at most. Only a record's words that rules have become rows, and a rule fires if
+    all its positive words are there and no negative one. A rule without positive words is decided in the record's row,
+    as it fires on all that have none of its words, also on records without words.
     """
-    rules = F.broadcast(rules)
-    needed = rules.groupBy("class", "label", "rank", "rule").agg(F.count_if("positive").alias("needed"))
-    hits = records.select(key, F.explode(F.array_distinct(words)).alias("word")).join(rules, "word")
+    terms = rules.limit(RULE_TERMS + 1).collect()
+    if len(terms) > RULE_TERMS:
+        raise ValueError(f"more than {RULE_TERMS} terms of rules")
+    every: dict[tuple, list] = {}
+    for t in terms:
+        every.setdefault((t["class"], t.label, t["rank"], t.rule), []).append(t)
+    bare = {k: [t.word for t in ts] for k, ts in every.items() if not any(t.positive for t in ts)}
+    spark = records.sparkSession
+    needed = spark.createDataFrame([(*k, sum(t.positive for t in ts)) for k, ts in every.items() if k not in bare], "class string, label string, rank int, rule string, needed int")
+    held = records.select(key, _among(words, sorted({t.word for t in terms})).alias("ws"))
+    hits = held.select(key, F.explode("ws").alias("word")).join(F.broadcast(rules), "word")
     found = hits.groupBy(key, "class", "label", "rank", "rule").agg(F.count_if("positive").alias("n"), F.count_if(~F.col("positive")).alias("bad"))
-    out = found.join(F.broadcast(needed), ["class", "label", "rank", "rule"]).where("bad = 0 and n = needed and needed > 0").select(key, "class", "label", "rank", "rule")
-    bare = needed.where("needed = 0")
-    if bare.isEmpty():
+    out = found.join(F.broadcast(needed), ["class", "label", "rank", "rule"]).where("bad = 0 and n = needed").select(key, "class", "label", "rank", "rule")
+    if not bare:
         return out
-    against = rules.join(bare, ["class", "label", "rank", "rule"]).select("class", "label", "rank", "rule", "word")
-    hit = records.select(key, F.explode(F.array_distinct(words)).alias("word")).join(F.broadcast(against), "word").select(key, "class", "label", "rank", "rule").distinct()
-    every = records.select(key, F.explode(F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("class", "label", "rank", "rule")]) for r in bare.collect()])).alias("x")).select(key, "x.*")
-    return out.unionByName(every.join(hit, [key, "class", "label", "rank", "rule"], "left_anti"))
+    own = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(label).alias("label"), F.lit(rank).cast("int").alias("rank"), F.lit(rule).alias("rule"), F.array(*map(F.lit, ws)).alias("ws")) for (c, label, rank, rule), ws in bare.items()])
+    ws = F.coalesce("ws", F.array().cast("array<string>"))
+    apart = held.select(key, F.explode(F.filter(own, lambda x: ~F.arrays_overlap(x["ws"], ws))).alias("x"))
+    return out.unionByName(apart.select(key, "x.class", "x.label", "x.rank", "x.rule"))
 
 
 def annotated(found: DataFrame, key: str) -> DataFrame:
@@ -57,9 +74,21 @@ def looked_up(records: DataFrame, key: str, codes: str, areas: DataFrame, code:
 
 
 def unique_label(records: DataFrame, key: str, words: str, dictionary: DataFrame) -> DataFrame:
-    """The label of a record's words, where all that have one have the same: key, label."""
-    hits = records.select(key, F.explode(F.array_distinct(words)).alias("word")).join(F.broadcast(dictionary), "word")
-    return hits.groupBy(key).agg(F.min("label").alias("label"), F.max("label").alias("__other")).where("label = __other").drop("__other")
+    """The label of a record's words, where all that have one have the same: key, label.
+
+    The dictionary (word, label) is configuration, RULE_TERMS words at most, and records are decided in their rows.
+    """
+    pairs = dictionary.limit(RULE_TERMS + 1).collect()
+    if len(pairs) > RULE_TERMS:
+        raise ValueError(f"more than {RULE_TERMS} words of a dictionary")
+    if not pairs:
+        return records.select(key, F.lit(None).cast("string").alias("label")).limit(0)
+    labels: dict[str, set] = {}
+    for r in pairs:
+        labels.setdefault(r.word, set()).add(r.label)
+    named = F.create_map(*[x for w, found in sorted(labels.items()) for x in (F.lit(w), F.array(*map(F.lit, sorted(found))))])
+    found = F.array_distinct(F.flatten(F.transform(_among(words, sorted(labels)), lambda w: F.element_at(named, w))))
+    return records.select(key, found.alias("found")).where(F.size("found") == 1).select(key, F.get("found", F.lit(0)).alias("label"))
 
 
 def ranks(names: DataFrame, column: str, rank: str) -> DataFrame:
@@ -76,7 +105,7 @@ def status(records: DataFrame, language: str, kind: str, types: DataFrame) -> Da
 def witnesses(records: DataFrame, language: str, kind: str, types: DataFrame) -> DataFrame:
     """The records that have the highest type of their language."""
     top = status(records, language, kind, types)
-    return records.join(F.broadcast(top.select(language, kind)), [language, kind], "left_semi")
+    return records.join(top.select(language, kind), [language, kind], "left_semi")
 
 
 def guarded(before: DataFrame, after: DataFrame, language: str, kind: str, types: DataFrame) -> DataFrame:
@@ -97,6 +126,52 @@ def best_material(records: DataFrame, by: list[str], pages: Column, year: Column
     return records.withColumn("place", F.row_number().over(order))
 
 
+def descriptive_material(records: DataFrame, types: DataFrame, unsorted: str | None = "!Unsorted") -> DataFrame:
+    """The material of each language, best first: language, place, kind, rank, pages, year, key.
+
+    ``records`` are (key, languages, kinds, pages, year), both arrays; ``types`` are (kind, place), the highest with the
+    largest. A record's pages are divided by the number of its types, and it counts once for each; types without a rank
+    are skipped. Records without languages belong to ``unsorted``, or go if that is null.
+    """
+    lost = F.array(F.lit(unsorted)) if unsorted is not None else F.array().cast("array<string>")
+    languages = F.when(F.size(F.coalesce("languages", F.array().cast("array<string>"))) > 0, F.array_distinct("languages")).otherwise(lost)
+    shared = F.coalesce(F.col("pages"), F.lit(0)) / F.size("kinds")
+    each = records.where(F.size("kinds") > 0).select("key", "year", shared.alias("pages"), F.explode(languages).alias("language"), "kinds")
+    ranked = each.withColumn("kind", F.explode(F.array_distinct("kinds"))).join(F.broadcast(types.select("kind", F.col("place").alias("rank"))), "kind")
+    order = Window.partitionBy("language").orderBy(F.desc("rank"), F.desc("pages"), F.desc("year"), F.desc("key"))
+    return ranked.select("language", F.row_number().over(order).alias("place"), "kind", "rank", "pages", "year", "key")
+
+
+def marked(records: DataFrame, rules: DataFrame, words: Callable[[Column], Column]) -> DataFrame:
+    """``records`` (key, fields) with the labels of the rules that fire on the title, in the fields named by the classes.
+
+    Records that have a field for each class already stay as they are; of the others, all classes with a label get it.
+    """
+    classes = sorted(r["class"] for r in rules.select("class").distinct().collect())
+    free = records.where(F.exists(F.array(*map(F.lit, classes)), lambda c: ~F.map_contains_key("fields", c))) if classes else records.limit(0)
+    title = F.coalesce(F.try_element_at("fields", F.lit("title")), F.lit(""))
+    found = annotated(fired(free.select("key", words(title).alias("ws")), "key", "ws", rules), "key")
+    new = found.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("class", "value"))).alias("new"))
+    kept = F.map_filter("fields", lambda k, _: ~F.map_contains_key("new", k))
+    return records.join(new, "key", "left").withColumn("fields", F.when(F.col("new").isNull(), F.col("fields")).otherwise(F.map_concat(kept, "new"))).drop("new")
+
+
+def conservative(marked_: DataFrame, reference: DataFrame, languages: Callable[[Column], Column], kinds: Callable[[Column], Column], types: DataFrame, blamed: str) -> tuple[DataFrame, DataFrame]:
+    """Marked records (key, fields) without the ``blamed`` field where it would raise a language over its status in ``reference`` (key, fields).
+
+    ``languages`` and ``kinds`` are the arrays of a record's fields. The second table logs the witnesses: language,
+    before, after, value, key. Languages that the reference has no status for are left alone.
+    """
+    each = lambda df: df.select("key", F.explode(languages(F.col("fields"))).alias("language"), kinds(F.col("fields")).alias("ks")).select("key", "language", F.explode("ks").alias("kind"))
+    after = each(marked_)
+    risen = guarded(each(reference), after, "language", "kind", types)
+    seen = after.join(risen.withColumn("kind", F.col("after")), ["language", "kind"]).select("key", "language", "before", "after").distinct()
+    lost = seen.select("key").distinct().withColumn("lost", F.lit(True))
+    out = marked_.join(lost, "key", "left").withColumn("fields", F.when(F.col("lost"), F.map_filter("fields", lambda k, _: k != blamed)).otherwise(F.col("fields"))).drop("lost")
+    log = marked_.join(seen, "key").select("language", "before", "after", F.try_element_at("fields", F.lit(blamed)).alias("value"), "key")
+    return out, log
+
+
 def specificity(pairs: DataFrame, label: str, word: str, least: int = 9) -> DataFrame:
     """How much a word speaks for a label: (1 + f) / (1 - f + sum of f over labels), for f over ``least``."""
     counts = pairs.groupBy(label, word).agg(F.count("*").alias("f"))

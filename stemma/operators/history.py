@@ -39,3 +39,9 @@ def without_specials(rows: DataFrame, special: str) -> DataFrame:
     each = rows.where("id is not null").select("id", F.explode(F.split("srctrickle", ", ")).alias("o"))
     parts = each.select(F.substring_index("o", "#", 1).alias("filename"), F.substring_index("o", "#", -1).alias("bibkey"), "id")
     return parts.where(F.col("filename") != special)
+
+
+def key_ids(entries: DataFrame, id_field: str) -> DataFrame:
+    """bibkey and id of the entries (bibkey, fields) of a file that have a number in ``id_field``."""
+    number = F.try_element_at("fields", F.lit(id_field)).try_cast("long")
+    return entries.select("bibkey", number.alias("id")).where("id is not null")

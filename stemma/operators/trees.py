@@ -25,6 +25,11 @@ def member_paths(members: DataFrame) -> DataFrame:
     return members.select("path", "name", "code").distinct().groupBy("name", "code").agg(F.count("*").alias("paths"))
 
 
+def paths_of(members: DataFrame) -> DataFrame:
+    """name, code, and the sorted paths that a member is under: as many as the classification has places for it."""
+    return members.select("path", "name", "code").distinct().groupBy("name", "code").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+
+
 def is_tree(members: DataFrame) -> DataFrame:
     """One row: whether no route is ambiguous and no member has two paths, with the counts of both."""
     routes = ambiguous_routes(members).agg(F.count("*").alias("ambiguous"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import MapType, StringType
 
 from stemma.functions import scalar
 from stemma.operators.keyid import FIELD_ORDER
@@ -218,6 +220,13 @@ def entry_text(entrytype: Column, bibkey: Column, fields: Column) -> Column:
     return F.concat(F.lit("@"), entrytype, F.lit("{"), bibkey, F.lit(",\n"), F.array_join(lines, ",\n"), F.lit("\n}\n"))
 
 
+@F.pandas_udf(MapType(StringType(), StringType()))
+def latex_fields(fields: pd.Series) -> pd.Series:
+    """Values with LaTeX commands for letters that aren't ASCII, but for verbatim fields."""
+    one = lambda k, v: v if v is None or k in VERBATIM else scalar.to_latex(v)
+    return fields.map(lambda m: None if m is None else {k: one(k, v) for k, v in dict(m).items()})
+
+
 def escaped(fields: Column, encoding: str) -> Column:
     """Field values for a source's encoding; verbatim fields stay as they are."""
     if encoding in ("utf-8", ""):
@@ -225,6 +234,8 @@ def escaped(fields: Column, encoding: str) -> Column:
     if encoding == "u_escape":
         one = lambda v: F.array_join(F.transform(F.split(v, ""), lambda c: F.when(F.ascii(c) > 127, F.concat(F.lit("?[\\u"), F.ascii(c), F.lit("]"))).otherwise(c)), "")
         return F.transform_values(fields, lambda k, v: F.when(k.isin(VERBATIM), v).otherwise(one(v)))
+    if encoding == "latex":
+        return latex_fields(fields)
     raise ValueError(f"no writer for {encoding}")
 
 
