@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stemma.functions import text as fn
 from stemma.operators import compare, history, languoids, references, trees
 from stemma.plans.registry import query, table
+from stemma.sources import bibtex
 
 _VERSIONS = """v AS (SELECT 'orders' AS filename, CAST(o_custkey AS VARCHAR) AS bibkey, year(o_orderdate) AS version, max(o_orderkey) // 50 AS id FROM orders GROUP BY ALL)"""
 
@@ -30,11 +31,11 @@ def version_replacements(spark: SparkSession, folder: str) -> DataFrame:
     return history.replaced(versions(spark, folder), 1995, 1996)
 
 
-@query("""WITH r AS (SELECT year(o_orderdate) AS version, o_custkey AS k FROM orders), bad AS (SELECT DISTINCT version FROM r GROUP BY version, k HAVING count(*) > 1)
-SELECT version, count(*) AS n FROM r WHERE version NOT IN (SELECT version FROM bad) GROUP BY version""")
+@query("""WITH r AS (SELECT CAST(o_orderdate AS DATE) AS version, o_custkey AS k FROM orders), bad AS (SELECT DISTINCT version FROM r GROUP BY version, k HAVING count(*) > 1)
+SELECT CAST(version AS VARCHAR) AS version, count(*) AS n FROM r WHERE version NOT IN (SELECT version FROM bad) GROUP BY version""")
 def accepted_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Versions whose keys are unique."""
-    rows = table(spark, folder, "orders").select(F.lit("orders").alias("filename"), F.col("o_custkey").alias("bibkey"), F.year("o_orderdate").alias("version"))
+    """Versions, each a day, whose keys are unique; on some days a customer orders twice."""
+    rows = table(spark, folder, "orders").select(F.lit("orders").alias("filename"), F.col("o_custkey").alias("bibkey"), F.to_date("o_orderdate").cast("string").alias("version"))
     good, _ = history.accepted(rows)
     return good.groupBy("version").agg(F.count("*").alias("n"))
 
@@ -61,6 +62,14 @@ def member_paths(spark: SparkSession, folder: str) -> DataFrame:
     return trees.member_paths(members(spark, folder))
 
 
+@query("""WITH m AS (SELECT l_returnflag || '>' || l_linestatus AS path, l_suppkey AS code FROM lineitem)
+SELECT code, string_agg(DISTINCT path, ', ' ORDER BY path) AS paths FROM m GROUP BY code""")
+def member_path_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The paths that a member of several is under."""
+    rows = table(spark, folder, "lineitem").select(F.array("l_returnflag", "l_linestatus").alias("path"), F.lit("").alias("name"), F.col("l_suppkey").alias("code"))
+    return trees.paths_of(rows).select("code", F.array_join(F.transform("paths", lambda p: F.array_join(p, ">")), ", ").alias("paths"))
+
+
 @query(f"""WITH {_MEMBERS}, {_ROUTES}, a AS (SELECT count(*) AS ambiguous FROM (SELECT 1 FROM w GROUP BY frm, "to" HAVING count(*) > 1)),
 b AS (SELECT count(*) AS multiple FROM (SELECT 1 FROM m GROUP BY name, code HAVING count(DISTINCT path) > 1)) SELECT ambiguous, multiple, ambiguous = 0 AND multiple = 0 AS is_tree FROM a, b""")
 def is_tree(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,10 +131,10 @@ def char_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return chars.groupBy("c").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT conv_id, turn, i AS "index", parts[i] AS part FROM (SELECT conv_id, turn, string_split(split_part(text, '.', 1), ' and ') AS parts FROM conversations), range(1, 100) t(i) WHERE i <= len(parts)""")
+@query("""SELECT conv_id, turn, i AS "index", parts[i] AS part FROM (SELECT conv_id, turn, string_split(text, ' and ') AS parts FROM conversations), range(1, 100000) t(i) WHERE i <= len(parts)""")
 def contributors(spark: SparkSession, folder: str) -> DataFrame:
     """The names in a list, numbered from 1."""
-    parts = F.split(F.substring_index("text", ".", 1), " and ")
+    parts = F.split("text", " and ")
     return table(spark, folder, "conversations").select("conv_id", "turn", F.posexplode(parts).alias("i", "part")).select("conv_id", "turn", (F.col("i") + 1).alias("index"), "part")
 
 
@@ -153,7 +162,17 @@ def ref_unknown(spark: SparkSession, folder: str) -> DataFrame:
 SELECT p_partkey AS key, 'see **' || id || '**:' || p_size || ' and **' || p_type || '**, ' || p_name AS text FROM part JOIN ids ON ref = p_brand""")
 def ref_translate(spark: SparkSession, folder: str) -> DataFrame:
     ids = table(spark, folder, "part").groupBy(F.col("p_brand").alias("ref")).agg(F.min("p_partkey").alias("id"))
-    return references.translated(comments(spark, folder), "key", "text", ids)
+    return references.translated(comments(spark, folder), "text", ids)
+
+
+@query("""WITH ids AS (SELECT p_brand AS ref, min(p_partkey) AS id FROM part GROUP BY p_brand)
+SELECT p_size AS key, CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN 'a **' || id || '**:3-4, **' || id || '** and **none**' ELSE p_name END AS text FROM part JOIN ids ON ref = p_brand""")
+def ref_translate_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for rows whose keys repeat, with null texts and unknown references."""
+    k = F.col("p_partkey") % 3
+    text = F.when(k == 1, F.concat(F.lit("a **"), "p_brand", F.lit("**:3-4, **"), "p_brand", F.lit("** and **none**"))).when(k == 2, F.col("p_name"))
+    ids = table(spark, folder, "part").groupBy(F.col("p_brand").alias("ref")).agg(F.min("p_partkey").alias("id"))
+    return references.translated(table(spark, folder, "part").select(F.col("p_size").alias("key"), text.alias("text")), "text", ids)
 
 
 _YEARS = """y AS (SELECT p_partkey AS key, CASE p_partkey % 5 WHEN 0 THEN '18' || (10 + p_size) || '-' || (p_size % 10) WHEN 1 THEN '[19' || (10 + p_size) || '] 1952' WHEN 2 THEN 'in press'
@@ -200,14 +219,35 @@ def differences(spark: SparkSession, folder: str) -> DataFrame:
     return compare.differences(a, b, ["key"], "v")
 
 
-@query("SELECT r_regionkey AS key, r_name AS name FROM region WHERE 1 = 0")
+_TITLE = "p_name || ' {" + "Ünïcode} “" + "quoted” 50% #1, ' || p_size || ' = " + "\\" + "\\& ß'"
+
+
+def _written(spark: SparkSession, folder: str, encoding: str) -> DataFrame:
+    """Parts as BibTeX entries with braces, accents, quotes and commas, written as text and read again."""
+    p = table(spark, folder, "part")
+    title = F.concat("p_name", F.lit(" {Ünïcode} “quoted” 50% #1, "), "p_size", F.lit(" = \\\\& ß"))
+    fields = F.create_map(F.lit("title"), title, F.lit("year"), F.col("p_size").cast("string"), F.lit("url"), F.lit("http://é.org/a_b"))
+    text = bibtex.entry_text(F.lit("misc"), F.concat(F.lit("p"), "p_partkey"), bibtex.escaped(fields, encoding))
+    return bibtex.parsed(p.select(text.alias("text"), (F.concat(F.col("p_partkey") % 3, F.lit(".bib"))).alias("filename")), encoding=encoding)
+
+
+@query(f"SELECT (p_partkey % 3) || '.bib' AS filename, 'p' || p_partkey AS bibkey, 'misc' AS entrytype, {_TITLE} AS title, CAST(p_size AS VARCHAR) AS year, 'http://é.org/a_b' AS url FROM part")
+def bibtex_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries as they are after they were written as BibTeX and read again."""
+    return _written(spark, folder, "utf-8").select("filename", "bibkey", "entrytype", "fields.title", "fields.year", "fields.url")
+
+
+@query("SELECT 'p' || p_partkey AS bibkey, CAST(p_size AS VARCHAR) AS year, 'http://é.org/a_b' AS url, true AS letters FROM part")
+def latex_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in LaTeX encoding: letters come back from their commands, and verbatim fields were never changed."""
+    return _written(spark, folder, "latex").select("bibkey", "fields.year", "fields.url", F.col("fields.title").contains("Ünïcode").alias("letters"))
+
+
+@query("SELECT (p_partkey % 3) || '.bib' AS filename, count(*) AS entries, 0 AS changed FROM part GROUP BY 1")
 def roundtrip_check(spark: SparkSession, folder: str) -> DataFrame:
-    """Entries that differ after they are written as BibTeX and read again: none."""
-    from stemma.sources import bibtex
-
-    d = table(spark, folder, "region")
-    entry = d.select(F.lit("misc").alias("entrytype"), F.concat(F.lit("r"), "r_regionkey").alias("bibkey"), F.create_map(F.lit("title"), "r_name").alias("fields"))
-    text = entry.select("bibkey", "fields", bibtex.entry_text(F.col("entrytype"), F.col("bibkey"), F.col("fields")).alias("text"))
-    again = bibtex.parsed(text.select("text", F.lit("r.bib").alias("filename"))).select("bibkey", F.col("fields.title").alias("name2"))
-    both = d.join(again, F.concat(F.lit("r"), F.col("r_regionkey")) == F.col("bibkey"), "left").where(~F.col("r_name").eqNullSafe(F.col("name2")))
-    return both.select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
+    """By file: how many entries are read again, and how many of them differ if they are written and read a second time."""
+    once = _written(spark, folder, "utf-8")
+    text = once.select("filename", "fields", bibtex.entry_text(F.col("entrytype"), F.col("bibkey"), F.col("fields")).alias("text"))
+    again = bibtex.parsed(text.select("filename", "text")).select("filename", "bibkey", F.map_entries("fields").alias("new"))
+    both = once.join(again, ["filename", "bibkey"], "left").withColumn("same", F.array_sort(F.map_entries("fields")).eqNullSafe(F.array_sort("new")))
+    return both.groupBy("filename").agg(F.count("*").alias("entries"), F.count_if(~F.col("same")).cast("int").alias("changed"))
