@@ -12,12 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stemma.joins import keyed, private
+
+__all__ = ["BROADCAST_ROWS", "BYTES_PER_BATCH", "ROWS_PER_BUCKET", "crc_of_id", "cut", "in_batches", "keyed", "numbered", "private", "shared_folder", "sliced", "small", "summed_vectors", "text_bytes", "without"]
+
 #: Bytes of text that a worker works on at once; one longer text is a batch by itself.
 BYTES_PER_BATCH = 2 << 20
 #: Most rows of a table that is sent to every executor.
 BROADCAST_ROWS = 1_000_000
-#: A key with more rows than this, or than one HOT_KEYS-th of all if that is more, is hot; so there are HOT_KEYS hot keys at most.
-HOT_ROWS, HOT_KEYS = 1_000, 512
 #: Rows numbered by one window.
 ROWS_PER_BUCKET = 20_000
 
@@ -50,30 +52,6 @@ def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= bound else df
 
 
-def private(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` doesn't have."""
-    taken, out = {c.lower() for c in df.columns}, f"__{name}"
-    while out in taken:
-        out = f"_{out}"
-    return out
-
-
-def keyed(left: DataFrame, right: DataFrame, key: list[str], size: str, rows: int, how: str = "inner") -> DataFrame:
-    """Join ``left`` with ``right`` by ``key``, without bringing the rows of a hot key into one task.
-
-    ``right`` has one row for each key, never null, and in ``size`` the count of the key's rows in a table of ``rows``
-    rows. The rows of hot keys are sent to all executors, HOT_KEYS at most, as their sizes sum to no more than ``rows``;
-    only the others are shuffled. ``left`` is read twice. ``how`` is inner or left.
-    """
-    limit = max(HOT_ROWS, rows // HOT_KEYS)
-    hot, rest = private(left, "hot"), [c for c in right.columns if c not in key]
-    head = F.broadcast(right.where(F.col(size) > limit).select(*key, F.struct(*rest).alias(hot)))
-    told = left.join(head, key, "left")
-    first = told.where(F.col(hot).isNotNull()).select(*left.columns, f"{hot}.*")
-    second = told.where(F.col(hot).isNull()).drop(hot).join(right.where(F.col(size) <= limit), key, how)
-    return first.unionByName(second.select(*left.columns, *rest))
-
-
 def without(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, hash of the text) isn't among the ``rows`` rows of ``keys`` (doc_id, text_key), with the columns of ``docs``.
 
