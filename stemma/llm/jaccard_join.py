@@ -174,7 +174,7 @@ def _links(source: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
     pivots = pivots.select(F.xxhash64("g", "to").alias("group"), F.lit(_QUERY).alias("role"), "class", F.col("class").alias("component"))
     busy = grouped.groupBy("group").count().where("count > 1").select("group").unionByName(pivots.select("group")).distinct()
     members = grouped.join(busy, "group", "left_semi").select("group", F.lit(_MEMBER).alias("role"), "class", F.col("class").alias("component"))
-    near = cut(_dealt(members.unionByName(pivots), carried, percent, True))
+    near = cut(_dealt(cut(members.unionByName(pivots)), carried, percent, True))
 
     found = connected(near)
     own = grouped.select("class", "n", "group").join(found, grouped["class"] == found["node"], "left").select("class", "n", "group", F.coalesce("component", "class").alias("component"))
@@ -187,7 +187,7 @@ def _links(source: DataFrame, classes: DataFrame, percent: int, shingle: int) ->
     far = _matrix(rows, own, n_tokens, percent)
     asked = far.select("group", F.lit(_QUERY).alias("role"), "class", "component")
     members = own.join(far.select("group").distinct(), "group", "left_semi").select("group", F.lit(_MEMBER).alias("role"), "class", "component")
-    return near.unionByName(cut(_dealt(members.unionByName(asked), carried, percent, False)))
+    return near.unionByName(cut(_dealt(cut(members.unionByName(asked)), carried, percent, False)))
 
 
 def _matrix(rows: DataFrame, own: DataFrame, n_tokens: int, percent: int) -> DataFrame:
@@ -223,8 +223,18 @@ def _carried(source: DataFrame, classes: DataFrame, rows: int, shingle: int) ->
 
 
 def _dealt(routes: DataFrame, carried: DataFrame, percent: int, inner: bool) -> DataFrame:
-    """The links found by opening the groups of ``routes`` (group, role, class, component)."""
-    dealt = routes.join(carried, "class").select("group", "role", "class", "component", "tokens")
+    """The links found by opening the groups of ``routes`` (group, role, class, component).
+
+    A group with many queries is opened several times, each time with all its members and a share of the queries.
+    """
+    asked = routes.where(F.col("role") == _QUERY).groupBy("group").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("parts"), F.count("*").alias("queries"))
+    split = asked.where("parts > 1")
+    total = routes.count()
+    told = keyed(routes, split, ["group"], "queries", total, "left")
+    part = F.when(F.col("role") == _QUERY, F.array(F.pmod(F.xxhash64("class", F.lit(3)), F.col("parts")))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    told = told.withColumn("part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(part)))
+    told = told.select(F.when(F.col("parts").isNull(), F.col("group")).otherwise(F.xxhash64("group", "part")).alias("group"), "role", "class", "component")
+    dealt = told.join(carried, "class").select("group", "role", "class", "component", "tokens")
     dealt = dealt.repartition("group").sortWithinPartitions("group", "role", "class")
     return dealt.mapInArrow(lambda batches: _opened(batches, percent, inner), "a long, b long").distinct()
 
