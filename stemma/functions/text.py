@@ -29,7 +29,7 @@ def folded(text: Column) -> Column:
 def words(text: Column) -> Column:
     """The words of a title, in order."""
     bare = F.replace(F.replace(folded(text), F.lit("'"), F.lit("")), F.lit('"'), F.lit(""))
-    return F.filter(F.split(bare, WORD_BREAK), lambda w: w != "")
+    return F.array_remove(F.split(bare, WORD_BREAK), "")
 
 
 def title_types(title: Column) -> Column:

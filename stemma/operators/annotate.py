@@ -29,7 +29,7 @@ def rule_index(rules: DataFrame) -> DataFrame:
 
 def _among(words: str, dictionary: list[str]) -> Column:
     """The distinct words of an array that are in a small list, found before any row is made of them."""
-    return F.array_distinct(F.filter(words, lambda w: w.isin(dictionary)))
+    return F.array_intersect(F.col(words), F.array(*map(F.lit, dictionary)).cast("array<string>"))
 
 
 def fired(records: DataFrame, key: str, words: str, rules: DataFrame) -> DataFrame:
@@ -45,19 +45,20 @@ def fired(records: DataFrame, key: str, words: str, rules: DataFrame) -> DataFra
     every: dict[tuple, list] = {}
     for t in terms:
         every.setdefault((t["class"], t.label, t["rank"], t.rule), []).append(t)
+    spark, names = records.sparkSession, ["class", "label", "rank", "rule"]
+    needed = spark.createDataFrame([(*k, sum(t.positive for t in ts)) for k, ts in every.items()], "class string, label string, rank int, rule string, needed int")
     bare = {k: [t.word for t in ts] for k, ts in every.items() if not any(t.positive for t in ts)}
-    spark = records.sparkSession
-    needed = spark.createDataFrame([(*k, sum(t.positive for t in ts)) for k, ts in every.items() if k not in bare], "class string, label string, rank int, rule string, needed int")
-    held = records.select(key, _among(words, sorted({t.word for t in terms})).alias("ws"))
-    hits = held.select(key, F.explode("ws").alias("word")).join(F.broadcast(rules), "word")
-    found = hits.groupBy(key, "class", "label", "rank", "rule").agg(F.count_if("positive").alias("n"), F.count_if(~F.col("positive")).alias("bad"))
-    out = found.join(F.broadcast(needed), ["class", "label", "rank", "rule"]).where("bad = 0 and n = needed").select(key, "class", "label", "rank", "rule")
-    if not bare:
-        return out
-    own = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(label).alias("label"), F.lit(rank).cast("int").alias("rank"), F.lit(rule).alias("rule"), F.array(*map(F.lit, ws)).alias("ws")) for (c, label, rank, rule), ws in bare.items()])
-    ws = F.coalesce("ws", F.array().cast("array<string>"))
-    apart = held.select(key, F.explode(F.filter(own, lambda x: ~F.arrays_overlap(x["ws"], ws))).alias("x"))
-    return out.unionByName(apart.select(key, "x.class", "x.label", "x.rank", "x.rule"))
+    held = records.select(key, F.coalesce(_among(words, sorted({t.word for t in terms})), F.array().cast("array<string>")).alias("ws"))
+    cells = "struct<word:string,class:string,label:string,rank:int,rule:string>"
+    own = F.transform("ws", lambda w: F.struct(w.alias("word"), *[F.lit(None).cast("int" if c == "rank" else "string").alias(c) for c in names]).cast(cells))
+    for k, ws in bare.items():
+        alone = F.struct(F.lit(None).cast("string").alias("word"), *[F.lit(v).alias(c) for c, v in zip(names, k)]).cast(cells)
+        own = F.concat(own, F.when(F.arrays_overlap("ws", F.array(*map(F.lit, ws))), F.array().cast(f"array<{cells}>")).otherwise(F.array(alone)))
+    each = held.select(key, F.explode(own).alias("x"))
+    told = rules.select("word", "positive", *[F.col(c).alias(f"__{c}") for c in names])
+    hits = each.select(key, "x.*").join(F.broadcast(told), "word", "left").select(key, "positive", *[F.coalesce(f"__{c}", c).alias(c) for c in names])
+    found = hits.groupBy(key, *names).agg(F.count_if("positive").alias("n"), F.count_if(~F.col("positive")).alias("bad"))
+    return found.join(F.broadcast(needed), names).where("bad = 0 and n = needed").select(key, *names)
 
 
 def annotated(found: DataFrame, key: str) -> DataFrame:
@@ -88,7 +89,9 @@ def unique_label(records: DataFrame, key: str, words: str, dictionary: DataFrame
         labels.setdefault(r.word, set()).add(r.label)
     named = F.create_map(*[x for w, found in sorted(labels.items()) for x in (F.lit(w), F.array(*map(F.lit, sorted(found))))])
     found = F.array_distinct(F.flatten(F.transform(_among(words, sorted(labels)), lambda w: F.element_at(named, w))))
-    return records.select(key, found.alias("found")).where(F.size("found") == 1).select(key, F.get("found", F.lit(0)).alias("label"))
+    # Exploded, as a filter would work out the words a second time.
+    alone = F.filter(F.array(found), lambda x: F.size(x) == 1)
+    return records.select(key, F.explode(alone).alias("x")).select(key, F.get("x", F.lit(0)).alias("label"))
 
 
 def ranks(names: DataFrame, column: str, rank: str) -> DataFrame:

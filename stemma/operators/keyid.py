@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from stemma.functions import names, scalar
 from stemma.functions import text as fn
-from stemma.joins import keyed as keyed_by
+from stemma.joins import HOT_KEYS, HOT_ROWS
+from stemma.lineage import cut
 
 #: The order of fields in an entry. Fixed values.
 FIELD_ORDER = ["author", "editor", "title", "booktitle", "journal", "school", "publisher", "address", "series", "volume", "number", "pages", "year", "issn", "url"]
@@ -26,12 +27,18 @@ def word_frequencies(entries: DataFrame, title: str = "title") -> DataFrame:
 def rarest(entries: DataFrame, key: str, frequencies: DataFrame, count: int = 2, title: str = "title") -> DataFrame:
     """key, rarest: the ``count`` rarest distinct words of a title, of equally rare ones the earlier, in title order.
 
-    Words without a frequency are the most frequent ones. Titles meet the frequencies by a join on the word, very frequent
-    words by a broadcast, and only (n, place, word) comes back to the title.
+    Words without a frequency are the most frequent ones. Titles meet the frequencies by a join on the word; those of very
+    frequent words are sent to all executors, and the words' own rows are spread, as they meet nothing in the join. Only
+    (n, place, word) comes back to the title.
     """
-    each = entries.select(key, F.posexplode(fn.title_types(F.col(title))).alias("i", "word"))
-    total = frequencies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranked = keyed_by(each, frequencies.where("word is not null"), ["word"], "n", total, "left").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(2**62)).alias("n"), "i", "word"))).alias("w"))
+    frequencies = cut(frequencies.where("word is not null"))
+    limit = max(HOT_ROWS, frequencies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // HOT_KEYS)
+    hot = F.broadcast(frequencies.where(F.col("n") > limit).select("word", F.col("n").alias("hot")))
+    each = entries.select(key, F.posexplode(fn.title_types(F.col(title))).alias("i", "word")).join(hot, "word", "left")
+    each = each.withColumn("salt", F.when(F.col("hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(key, "i"), F.lit(1 << 16))))
+    rest = frequencies.where(F.col("n") <= limit).withColumn("salt", F.lit(0).cast("long"))
+    told = each.withColumn("salt", F.col("salt").cast("long")).join(rest, ["word", "salt"], "left").withColumn("n", F.coalesce("hot", "n"))
+    ranked = told.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(2**62)).alias("n"), "i", "word"))).alias("w"))
     chosen = F.array_sort(F.transform(F.slice("w", 1, count), lambda x: F.struct(x["i"].alias("i"), x["word"].alias("word"))))
     return ranked.select(key, F.transform(chosen, lambda x: x["word"]).alias("rarest"))
 
