@@ -85,10 +85,15 @@ def page_value(count: Column) -> Column:
     return F.aggregate(F.split(count, r"\+"), F.lit(0).cast("long"), lambda s, x: s + F.coalesce(x.try_cast("long"), F.lit(0).cast("long")))
 
 
+def trimmed(parts: Column) -> Column:
+    """Strings of an array without blanks around them. ``F.trim`` itself would get the place as the characters to trim."""
+    return F.transform(parts, lambda x: F.trim(x))
+
+
 def language_codes(text: Column) -> Column:
     """Codes in brackets, or else the parts between commas and slashes, if every one is a code."""
     bracketed = F.regexp_extract_all(text, F.lit(r"\[([a-z][a-z][a-z]|NOCODE_[A-Z][^\s\]]+)\]"), F.lit(1))
-    parts = F.transform(F.split(text, r"[,/]\s?"), F.trim)
+    parts = trimmed(F.split(text, r"[,/]\s?"))
     codes = F.forall(parts, lambda p: F.regexp_like(p, F.lit(r"^(?:[a-z][a-z][a-z]$|NOCODE_[A-Z][^\s\]]+$)")))
     return F.when(F.size(bracketed) > 0, bracketed).when(codes, parts).otherwise(F.array().cast("array<string>"))
 
@@ -112,7 +117,7 @@ def name_turned(name: Column) -> Column:
 
 def split_trimmed(text: Column, separator: str, limit: int = -1) -> Column:
     """Parts without blanks around them, without empty ones."""
-    return F.filter(F.transform(F.split(text, separator, limit), F.trim), lambda x: x != "")
+    return F.filter(trimmed(F.split(text, separator, limit)), lambda x: x != "")
 
 
 def unbraced(text: Column) -> Column:

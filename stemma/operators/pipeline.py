@@ -1,14 +1,16 @@
-"""The batch from sources to merged records: match keys, stable ids, priority merge, cached by the sources' manifest."""
+"""The batch from sources to merged, annotated and written records: match keys, stable ids, priority merge, cached by the sources' manifest."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stemma.functions import text
 from stemma.lineage import cut
-from stemma.operators import compare, identity, keyid, merge, resolve
+from stemma.operators import annotate, compare, identity, keyid, merge, resolve
+from stemma.sources import bibtex, sinks
 
 #: The field that keeps an entry's id between runs; a parameter of what reads and writes it.
 ID_FIELD = "ref_id"
@@ -87,3 +89,90 @@ def with_priorities(files: DataFrame, new: DataFrame) -> DataFrame:
     if not compare.equal(files.select("filename"), new.select("filename")):
         raise ValueError("other files than before")
     return new
+
+
+@dataclass
+class Annotation:
+    """Configuration that merged records are annotated by."""
+
+    #: code, area
+    areas: DataFrame
+    #: Rules (annotate.RULES) that give a type, class ``hhtype``.
+    kinds: DataFrame
+    #: Rules that give language codes, class ``lgcode``.
+    codes: DataFrame
+    #: word, label: the languages that titles are in.
+    labels: DataFrame
+    #: kind, place: the highest type has the largest.
+    types: DataFrame
+
+
+def _at(name: str) -> Column:
+    return F.try_element_at("fields", F.lit(name))
+
+
+def _with_field(records: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """``records`` with the values (key, value) in the field ``name``, in place of an earlier one."""
+    rest = F.map_filter("fields", lambda k, _: k != name)
+    new = F.when(F.col("value").isNull(), F.col("fields")).otherwise(F.map_concat(rest, F.create_map(F.lit(name), "value")))
+    return records.join(values.select("key", "value"), "key", "left").withColumn("fields", new).drop("value")
+
+
+def with_areas(records: DataFrame, areas: DataFrame) -> DataFrame:
+    """``records`` (key, fields) with ``macro_area`` from their language codes, where these have areas."""
+    codes = F.coalesce(text.language_codes(_at("lgcode")), F.array().cast("array<string>"))
+    found = annotate.looked_up(records.select("key", codes.alias("codes")), "key", "codes", areas, "code", "area")
+    return _with_field(records, found.withColumnRenamed("areas", "value"), "macro_area")
+
+
+def with_title_language(records: DataFrame, labels: DataFrame) -> DataFrame:
+    """``records`` (key, fields) with ``inlg`` where the words of title and book title have one label; records that have ``inlg`` or no title stay."""
+    free = records.where(_at("title").isNotNull() & _at("inlg").isNull())
+    ws = F.concat(text.words(_at("title")), text.words(F.coalesce(_at("booktitle"), F.lit(""))))
+    found = annotate.unique_label(free.select("key", ws.alias("ws")), "key", "ws", labels)
+    return _with_field(records, found.withColumnRenamed("label", "value"), "inlg")
+
+
+def annotated(records: DataFrame, reference: DataFrame, by: Annotation) -> tuple[DataFrame, DataFrame]:
+    """Records (key, fields, others) with areas, types, codes and title languages, and the log of what was taken back.
+
+    In this order: areas of the codes that are there; types by rules; codes by rules; languages of titles. After types
+    and after codes, the type of each record goes that would raise a language over its status in ``reference`` (key,
+    fields); the log has a row for each: step, language, before, after, value, key. Null fields are no fields.
+    """
+    empty = F.create_map().cast("map<string,string>")
+    languages = lambda fields: F.coalesce(text.language_codes(F.try_element_at(fields, F.lit("lgcode"))), F.array().cast("array<string>"))
+    kinds = lambda fields: F.coalesce(text.type_names(F.try_element_at(fields, F.lit("hhtype"))), F.array().cast("array<string>"))
+    own = cut(with_areas(records.withColumn("fields", F.coalesce("fields", empty)), by.areas))
+    logs = []
+    for step, rules in (("hhtype", by.kinds), ("lgcode", by.codes)):
+        # Both the records and their witnesses are read from it.
+        marked = cut(annotate.marked(own, rules, text.words))
+        own, log = annotate.conservative(marked, reference, languages, kinds, by.types, "hhtype")
+        logs.append(log.select(F.lit(step).alias("step"), "*"))
+        own = cut(own)
+    return with_title_language(own, by.labels), logs[0].unionByName(logs[1])
+
+
+def run(entries: DataFrame, files: DataFrame, reference: str, by: Annotation, folder: str, similar: bool = True, id_field: str = ID_FIELD) -> tuple[Build, DataFrame]:
+    """The whole batch into a new ``folder``; the build, and how many ids were added and changed in each file.
+
+    ``entries`` are (filename, entry_pos, bibkey, entrytype, fields), ``files`` (filename, priority); ``reference`` is
+    the file whose types no rule may raise. The folder gets ``ids`` (mapping as CSV), ``replacements`` (JSON),
+    ``entries`` (changed files as BibTeX), ``log`` (types taken back, TSV) and ``merged`` (BibTeX by match key, with the
+    id in ``id_field``). An entry whose earlier id is no number raises before anything is written.
+    """
+    built = build(entries, files, similar, id_field)
+    if not built.rejected.isEmpty():
+        raise ValueError("entries with earlier ids that are no numbers")
+    keys = built.assigned.where("id is not null").groupBy("id").agg(F.min("hash").alias("hash"))
+    named = F.map_concat(F.map_filter("fields", lambda k, _: k != id_field), F.create_map(F.lit(id_field), F.col("id").cast("string")))
+    records = built.records("id").join(keys, "id").select(F.coalesce("hash", F.col("id").cast("string")).alias("key"), "entrytype", named.alias("fields"))
+    model = entries.where(F.col("filename") == reference).select(F.col("bibkey").alias("key"), "fields")
+    out, log = annotated(records, model, by)
+    sinks.mapping(built.assigned, f"{folder}/ids")
+    sinks.replacement_pairs(identity.replacements(built.assigned), f"{folder}/replacements")
+    changes = sinks.write_back(entries, built.assigned, f"{folder}/entries", id_field)
+    sinks.delimited(log, f"{folder}/log", "\t")
+    bibtex.write(out.withColumnRenamed("key", "bibkey"), f"{folder}/merged")
+    return built, changes

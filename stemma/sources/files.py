@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import glob
 import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stemma.operators.languoids import parsed_line, parsed_path
+from stemma.functions.text import split_trimmed
+from stemma.operators.languoids import full_join, parsed_line, parsed_path
 from stemma.operators.trees import carried_forward
 
 _MEMBER = r"^\s+(.*?)\s*\[([^\]]*)\]\s*$"
@@ -85,7 +85,7 @@ def typed_record(fields: Column) -> list[Column]:
     """The typed columns of a record: coordinates, lists parted by ``,`` ``;`` or ``.``, countries. Text is parsed, never evaluated."""
     at = lambda k: F.try_element_at(fields, F.lit(k))
     number = lambda i: F.regexp_extract(at("coordinates"), r"(-?\d+(?:\.\d+)?)\D+?(-?\d+(?:\.\d+)?)", i).try_cast("double")
-    listed = lambda k, s: F.filter(F.transform(F.split(at(k), s), F.trim), lambda x: x != "").alias(k)
+    listed = lambda k, s: split_trimmed(at(k), s).alias(k)
     return [F.struct(number(1).alias("latitude"), number(2).alias("longitude")).alias("coordinates"), listed("alternate_names", ","), listed("dialects", ","), listed("comments", ";"), listed("location", r"\.(?:\s|$)"), listed("country", ",")]
 
 
@@ -112,9 +112,38 @@ def natural_sorted(paths: list[str]) -> list[str]:
     return sorted(paths, key=lambda p: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", p)])
 
 
-def snapshots(pattern: str, also: str | None = None) -> list[str]:
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files of a pattern in any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [x.getPath().toString() for x in found or []]
+
+
+def snapshots(spark: SparkSession, pattern: str, also: str | None = None) -> list[str]:
     """Files of a pattern in natural order, with those of another pattern that no file of the first has the stem of."""
-    found = glob.glob(pattern)
-    stems = {os.path.splitext(os.path.basename(x))[0] for x in found}
-    extra = [x for x in glob.glob(also) if os.path.splitext(os.path.basename(x))[0] not in stems] if also else []
-    return natural_sorted(found + extra)
+    stem = lambda path: os.path.splitext(os.path.basename(path))[0]
+    found = matching(spark, pattern)
+    stems = {stem(x) for x in found}
+    return natural_sorted(found + [x for x in (matching(spark, also) if also else []) if stem(x) not in stems])
+
+
+def languoids(coordinates: DataFrame, countries: DataFrame, areas: DataFrame, names: DataFrame, classification: DataFrame) -> DataFrame:
+    """One row for each ``hid`` of four tables: longitude, latitude, countries, macroarea, glottocode, name, classification.
+
+    The tables are those of ``delimited`` with their columns hid, longitude, latitude; hid, string_agg (twice); pk, id,
+    name; and hid, id, name, array_agg. ``array_agg`` lists the keys of the languoid and its ancestors, nearest first;
+    the result names the ancestors from the farthest as ``name [id]``, null where there are none. An area with a comma
+    raises, as do ancestors without a name, a key that is no number, and coordinates that are none. Of rows that repeat
+    an ``hid``, one stays: the largest by its values.
+    """
+    one = lambda df, *values: df.groupBy("hid").agg(F.max(F.struct(*values)).alias("x")).select("hid", "x.*")
+    number = lambda c: F.col(c).cast("double").alias(c)
+    single = F.when(F.instr("string_agg", ",") > 0, F.raise_error(F.concat(F.lit("several areas: "), "string_agg"))).otherwise(F.col("string_agg"))
+    listed = split_trimmed(F.col("string_agg"), ";")
+    own = one(classification, "id", "name", "array_agg").select("hid", F.col("id").alias("glottocode"), "name", F.regexp_extract_all("array_agg", F.lit(r"([^\[\]\s,]+)"), F.lit(1)).cast("array<long>").alias("pks"))
+    labelled = names.select(F.col("pk").cast("long").alias("pk"), F.concat("name", F.lit(" ["), "id", F.lit("]")).alias("label"))
+    each = own.select("hid", F.posexplode("pks").alias("i", "pk")).where("i > 0").join(labelled, "pk", "left")
+    known = F.when(F.col("label").isNull(), F.raise_error(F.concat(F.lit("no name of "), F.col("pk").cast("string")))).otherwise(F.col("label"))
+    lineage = each.withColumn("label", known).groupBy("hid").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "label")), asc=False), lambda x: x["label"]).alias("classification"))
+    parts = [one(coordinates, number("longitude"), number("latitude")), one(countries, listed.alias("countries")), one(areas, single.alias("macroarea")), own.drop("pks").join(lineage, "hid", "left")]
+    return full_join(parts, "hid")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from stemma import joins, lineage
 from stemma.functions import names
 from stemma.functions import text as fn
-from stemma.operators import annotate, compare, history, identity, references, resolve
-from stemma.sources import bibtex, sinks
+from stemma.operators import annotate, compare, history, identity, pipeline, references, resolve
+from stemma.sources import bibtex, files, sinks
 
 ENTRY = "filename string, bibkey string, refid long, hash string"
 
@@ -161,3 +161,80 @@ def test_a_shared_folder_is_needed_off_a_local_session(monkeypatch):
 
     with pytest.raises(RuntimeError):
         lineage.cut(Frame)
+
+
+def test_whole_batch(spark, tmp_path):
+    rows = [
+        ("a.bib", 0, "r", "book", {"author": "Roe, Ann", "title": "Wordlist of Abc", "year": "1990", "lgcode": "Abc [abc]", "hhtype": "wordlist", "ref_id": "4"}),
+        ("b.bib", 0, "x", "book", {"author": "Moe, Bob", "title": "A grammar of Abc", "year": "1991", "lgcode": "Abc [abc]"}),
+        ("b.bib", 1, "y", "book", {"author": "Doe, Cy", "title": "Une grammar", "year": "1992", "lgcode": "xyz"}),
+        ("b.bib", 2, "z", "misc", {"author": "Poe, Di", "title": "Stories in Foo", "year": "1993"}),
+    ]
+    entries = spark.createDataFrame(rows, "filename string, entry_pos long, bibkey string, entrytype string, fields map<string,string>")
+    files_ = spark.createDataFrame([("a.bib", 2), ("b.bib", 1)], "filename string, priority long")
+    rules = lambda found: spark.createDataFrame(annotate.rule_rows(found), annotate.RULES)
+    by = pipeline.Annotation(
+        spark.createDataFrame([("abc", "Africa"), ("xyz", None)], "code string, area string"),
+        rules({("hhtype", "grammar", 2): [[(True, "grammar")]]}),
+        rules({("lgcode", "Foo [foo]", 1): [[(True, "foo")]]}),
+        spark.createDataFrame([("une", "French [fra]")], "word string, label string"),
+        spark.createDataFrame([("wordlist", 1), ("grammar", 2)], "kind string, place int"),
+    )
+    built, changes = pipeline.run(entries, files_, "a.bib", by, str(tmp_path / "out"), similar=False)
+    assert {r.filename: (r.added, r.changed) for r in changes.collect()} == {"b.bib": (3, 0)}
+    parsed = bibtex.parsed(spark.read.text(str(tmp_path / "out" / "merged"), wholetext=True).select(F.lit("m").alias("filename"), F.col("value").alias("text")))
+    got = {r.fields["srctrickle"]: dict(r.fields) for r in parsed.collect()}
+    shown = {k: tuple(f.get(n) for n in ("macro_area", "hhtype", "lgcode", "inlg")) for k, f in got.items()}
+    grammar = 'grammar (computerized assignment from "grammar")'
+    assert shown == {
+        "a#r": ("Africa", "wordlist", "Abc [abc]", None),
+        "b#x": ("Africa", None, "Abc [abc]", None),
+        "b#y": (None, grammar, "xyz", "French [fra]"),
+        "b#z": (None, None, 'Foo [foo] (computerized assignment from "foo")', None),
+    }
+    assert got["a#r"]["ref_id"] == "4" and sorted(f["ref_id"] for f in got.values()) == ["4", "5", "6", "7"]
+    log = spark.read.option("header", True).option("sep", "\t").option("escape", '"').csv(str(tmp_path / "out" / "log")).collect()
+    assert [(r.step, r.language, r.before, r.after, r.value) for r in log] == [("hhtype", "abc", "wordlist", "grammar", grammar)]
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "ids")).count() == 4
+    assert spark.read.schema("id long, replacement long").json(str(tmp_path / "out" / "replacements")).count() == 0
+    with pytest.raises(ValueError):
+        pipeline.run(entries.withColumn("fields", F.map_concat(F.map_filter("fields", lambda k, _: k != "ref_id"), F.create_map(F.lit("ref_id"), F.lit("x")))), files_, "a.bib", by, str(tmp_path / "none"))
+
+
+def test_languoids_of_five_tables(spark):
+    table = lambda rows, columns: spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split()))
+    tables = [
+        table([("h1", "1.5", "-2")], "hid longitude latitude"),
+        table([("h1", "A; B"), ("h2", "C")], "hid string_agg"),
+        table([("h3", "Africa")], "hid string_agg"),
+        table([("1", "aaaa1111", "Own"), ("2", "bbbb2222", "Near"), ("3", "cccc3333", "Far")], "pk id name"),
+        table([("h1", "aaaa1111", "Own", "[1, 2, 3]"), ("h2", "cccc3333", "Far", "[3]")], "hid id name array_agg"),
+    ]
+    got = {r.hid: tuple(r)[1:] for r in files.languoids(*tables).collect()}
+    assert got == {
+        "h1": (1.5, -2.0, ["A", "B"], None, "aaaa1111", "Own", ["Far [cccc3333]", "Near [bbbb2222]"]),
+        "h2": (None, None, ["C"], None, "cccc3333", "Far", None),
+        "h3": (None, None, None, "Africa", None, None, None),
+    }
+    assert files.languoids(*[t.limit(0) for t in tables]).isEmpty()
+    with pytest.raises(Exception, match="no name of 9"):
+        files.languoids(*tables[:4], table([("h1", "a", "b", "[1, 9]")], "hid id name array_agg")).collect()
+    with pytest.raises(Exception, match="several areas"):
+        files.languoids(*tables[:2], table([("h3", "Africa, Asia")], "hid string_agg"), *tables[3:]).collect()
+
+
+def test_snapshots_in_natural_order(spark, tmp_path):
+    for name in ("s10.bib", "s9.bib", "s9.csv", "s11.csv"):
+        (tmp_path / name).write_text("")
+    found = files.snapshots(spark, f"file://{tmp_path}/*.bib", f"file://{tmp_path}/*.csv")
+    assert [x.rsplit("/", 1)[1] for x in found] == ["s9.bib", "s10.bib", "s11.csv"]
+    assert files.snapshots(spark, f"file://{tmp_path}/none/*.bib") == []
+
+
+def test_parts_are_trimmed(spark):
+    row = spark.range(1).select(
+        fn.split_trimmed(F.lit("0a0; b ;1c1;; d"), ";").alias("parts"),
+        fn.language_codes(F.lit("abc , xyz")).alias("codes"),
+        files.typed_record(F.create_map(F.lit("alternate_names"), F.lit("Foo 0, Bar , 2 Baz 2")))[1],
+    ).first()
+    assert row.parts == ["0a0", "b", "1c1", "d"] and row.codes == ["abc", "xyz"] and row.alternate_names == ["Foo 0", "Bar", "2 Baz 2"]
