@@ -17,7 +17,7 @@ import tiktoken
 
 #: White space as the splitting pattern has it, in runs that are cut out before it is applied.
 _RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
-_OPEN: dict[str, Callable[[str], bytes]] = {}
+_OPEN: dict[tuple[str, bool], Callable[[str], bytes]] = {}
 
 
 def _byte_of() -> dict[str, int]:
@@ -49,8 +49,16 @@ def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}, {}
 
 
-def _opened(path: str) -> Callable[[str], bytes]:
+def piece_bytes(path: str) -> list[bytes]:
+    """The bytes of every id of a vocabulary file; an id without an entry has none, a special token those of its string."""
     ranks, special = _ranks(path)
+    found = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in special.items()}
+    return [found.get(i, b"") for i in range(max(found) + 1)]
+
+
+def _opened(path: str, with_special: bool) -> Callable[[str], bytes]:
+    ranks, special = _ranks(path)
+    special = special if with_special else {}
     coding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     whole = lambda text: coding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
@@ -69,12 +77,13 @@ def _opened(path: str) -> Callable[[str], bytes]:
     return run
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
+def encoder(path: str, special: bool = True) -> Callable[[str], bytes]:
     """The worker's encoder for a vocabulary file, opened once: ids of a text as little-endian unsigned 32-bit values.
 
     The ids are those that ``tokenizers`` gives for a ``.json`` file with ``add_special_tokens=False``: the strings of the
-    file's special tokens become their ids. A ``.tiktoken`` file of ranks has no special tokens.
+    file's special tokens become their ids, but without ``special`` they are plain text. A ``.tiktoken`` file of ranks has
+    no special tokens.
     """
-    if path not in _OPEN:
-        _OPEN[path] = _opened(path)
-    return _OPEN[path]
+    if (path, special) not in _OPEN:
+        _OPEN[path, special] = _opened(path, special)
+    return _OPEN[path, special]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import decontaminate, fingerprint, jaccard_join, language_id, lm, packing, secrets, sharding, token_counts, toxicity
+from stemma.llm import alignment, decontaminate, fingerprint, jaccard_join, language_id, lm, packing, secrets, sharding, spelling, token_counts, topk, toxicity
 from stemma.llm.storage import crc_of_id, cut, keyed
 
 
@@ -97,5 +97,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0), of(1), of(2), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("secret_spans")).alias("spans"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op9_jaccard_join, op10_secrets)}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group the spelling variants among the words of all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for each hundredth vector, among all vectors."""
+    return topk.search(table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align the two tokenizations of every document, with the pair counts of all documents."""
+    return alignment.align(table(spark, sf_dir, "documents"), digested=True).withColumnRenamed("groups", "groups_sha256")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op9_jaccard_join, op10_secrets, op11_spelling, op12_topk, op13_alignment)}
 SQL: dict[str, str] = {}

@@ -81,13 +81,14 @@ def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Recor
     return df.mapInArrow(run, schema)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: int = -1) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], most: int = BYTES_PER_BATCH, column: int = -1) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` bytes in ``column`` (binary), by default the last."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
         sizes = pc.binary_length(batch.columns[column]).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = np.cumsum(sizes) // BYTES_PER_BATCH
+        part = np.cumsum(sizes) // most
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
         for a, b in zip(edges, edges[1:]):
             if b > a:
