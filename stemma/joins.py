@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Most rows and bytes of a table that is sent to all executors.
+FEW_ROWS, FEW_BYTES = 500_000, 32 << 20
 #: A key with more rows than this, or than one HOT_KEYS-th of all if that is more, is hot; so there are HOT_KEYS hot keys at most.
 HOT_ROWS, HOT_KEYS = 1_000, 512
 
@@ -38,3 +40,13 @@ def told(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
     known = left.where(F.col(key).isNotNull()).join(right, key, "left")
     return known.unionByName(left.where(F.col(key).isNull()).select("*", *rest))
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """``keys``, marked to be sent to all executors if their counted rows and bytes are within bounds; beyond them they are shuffled.
+
+    It reads ``keys`` once more, so they should be cut.
+    """
+    size = sum((F.coalesce(F.length(F.col(c).cast("string").cast("binary")), F.lit(0)) + 16 for c, kind in keys.dtypes if not kind.startswith(("array", "map", "struct"))), F.lit(0))
+    rows, size = keys.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(keys) if rows <= FEW_ROWS and size <= FEW_BYTES else keys

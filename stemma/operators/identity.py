@@ -74,6 +74,25 @@ def largest_ref(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("hash").agg(F.max("srefid").alias("srefid"))
 
 
+def separated(entries: DataFrame, pick_hash: Pick = least_hash) -> DataFrame:
+    """Step 1 of ``assign_ids``: entries with ``srefid``, the earlier id that is left to them."""
+    pairs = cut(splits(entries).select("refid", "hash").distinct())
+    chosen = pick_hash(pairs).select("refid", F.col("hash").alias("__stays"))
+    e = told(entries.select(*KEY, "refid", "hash"), chosen, "refid")
+    return e.withColumn("srefid", F.when(F.col("__stays").isNull() | (F.col("hash") == F.col("__stays")), F.col("refid"))).drop("__stays")
+
+
+def settled(e: DataFrame, pick_ref: Pick = largest_ref) -> DataFrame:
+    """Steps 2 to 4 of ``assign_ids`` for separated entries, which are read twice: with ``id``, and ``fresh`` where the hash gets a new number."""
+    left = cut(merges(e, "srefid").select("hash", "srefid").distinct())
+    stays = pick_ref(left).select("hash", F.col("srefid").alias("__stays"))
+    e = told(e, stays, "hash")
+    e = cut(e.withColumn("id", F.when(F.col("srefid").isNotNull(), F.coalesce("__stays", "srefid"))).drop("__stays"))
+    groups = e.where("hash is not null").groupBy("hash").agg(F.max("id").alias("__known"), F.count_if(F.col("id").isNull() & F.col("refid").isNotNull()).alias("__apart"))
+    e = told(e, groups, "hash").withColumn("fresh", F.col("hash").isNotNull() & ((F.col("__apart") > 0) | F.col("__known").isNull()))
+    return e.select(*KEY, "refid", "hash", "srefid", F.when(~F.col("fresh"), F.coalesce("id", "__known")).alias("id"), "fresh")
+
+
 def assign_ids(entries: DataFrame, pick_hash: Pick = least_hash, pick_ref: Pick = largest_ref) -> DataFrame:
     """Entries with ``srefid`` and ``id``, by set equations over the groups.
 
@@ -85,23 +104,15 @@ def assign_ids(entries: DataFrame, pick_hash: Pick = least_hash, pick_ref: Pick
 
     Rows without a hash match nothing, not even one another: they keep what step 1 leaves of their earlier id, or get none.
     """
-    pairs = cut(splits(entries).select("refid", "hash").distinct())
-    chosen = pick_hash(pairs).select("refid", F.col("hash").alias("__stays"))
-    e = told(entries.select(*KEY, "refid", "hash"), chosen, "refid")
-    e = e.withColumn("srefid", F.when(F.col("__stays").isNull() | (F.col("hash") == F.col("__stays")), F.col("refid"))).drop("__stays")
-    e = cut(e)
-    left = cut(merges(e, "srefid").select("hash", "srefid").distinct())
-    stays = pick_ref(left).select("hash", F.col("srefid").alias("__stays"))
-    e = told(e, stays, "hash")
-    e = e.withColumn("id", F.when(F.col("srefid").isNotNull(), F.coalesce("__stays", "srefid"))).drop("__stays")
-    e = cut(e)
-    groups = e.where("hash is not null").groupBy("hash").agg(F.max("id").alias("__known"), F.count_if(F.col("id").isNull() & F.col("refid").isNotNull()).alias("__apart"))
-    e = told(e, groups, "hash")
-    known = F.when(F.col("hash").isNull(), F.col("id")).when((F.col("__apart") == 0) & F.col("__known").isNotNull(), F.coalesce("id", "__known"))
-    first = entries.agg(F.coalesce(F.max("refid"), F.lit(0)) + 1).first()[0]
-    new = numbered_by(groups.where((F.col("__apart") > 0) | F.col("__known").isNull()), "hash", first)
-    out = told(e, new, "hash").withColumn("id", F.coalesce("number", known))
-    return out.select(*KEY, "refid", "hash", "srefid", "id")
+    e = cut(settled(cut(separated(entries, pick_hash)), pick_ref))
+    return renumbered(e, entries.agg(F.coalesce(F.max("refid"), F.lit(0)) + 1).first()[0]).drop("fresh")
+
+
+def renumbered(e: DataFrame, first: int) -> DataFrame:
+    """Settled entries, which are read twice, with the numbers of their fresh hashes from ``first`` on, in order of the hashes."""
+    new = numbered_by(e.where("fresh"), "hash", first)
+    fresh = e.where("fresh").join(new, "hash").withColumn("id", F.col("number")).select(*e.columns)
+    return e.where("not fresh").unionByName(fresh)
 
 
 def replacements(assigned: DataFrame) -> DataFrame:

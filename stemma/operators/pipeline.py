@@ -53,15 +53,24 @@ def values_of(entries: DataFrame) -> DataFrame:
     return entries.select("filename", "bibkey", F.explode(pairs).alias("field", "value"))
 
 
+def entry_key() -> Column:
+    """An entry's file and key in one value."""
+    return F.concat_ws("\u0000", "filename", "bibkey")
+
+
+def wide(entries: DataFrame, *more: Column) -> DataFrame:
+    """Entries with the fields of match keys as columns: __key, filename, bibkey, ``more``, and the fields."""
+    names = ["author", "editor", "title", "year", "volume", "journal", "booktitle", "series", "extra_hash"]
+    names += [f for f in keyid.FIELD_ORDER if f not in names]
+    return entries.select(entry_key().alias("__key"), "filename", "bibkey", *more, *[_at(n).alias(n) for n in names])
+
+
 def build(entries: DataFrame, files: DataFrame, similar: bool = True, id_field: str = ID_FIELD) -> Build:
     """Keys, ids and values of all entries. Earlier ids that are no numbers are rejected and count as none."""
     unknown = entries.select("filename").distinct().join(files, "filename", "left_anti")
     if not unknown.isEmpty():
         raise ValueError("entries of files without a priority")
-    at = lambda k: F.try_element_at("fields", F.lit(k))
-    names = ["author", "editor", "title", "year", "volume", "journal", "booktitle", "series", "extra_hash", *[f for f in keyid.FIELD_ORDER if f not in ("author", "editor", "title", "year", "volume", "journal", "booktitle", "series")]]
-    wide = entries.select(F.concat_ws("\u0000", "filename", "bibkey").alias("__key"), "filename", "bibkey", at(id_field).alias("__ref"), *[at(n).alias(n) for n in names])
-    keyed = keyid.keyed(wide, "__key")
+    keyed = keyid.keyed(wide(entries, _at(id_field).alias("__ref")), "__key")
     refid = F.col("__ref").try_cast("long")
     own = cut(keyed.select("filename", "bibkey", "__ref", refid.alias("refid"), "hash"))
     rejected = own.where("__ref is not null and refid is null").select("filename", "bibkey", F.col("__ref").alias("value"))

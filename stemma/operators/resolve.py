@@ -48,8 +48,8 @@ def _records(entries: DataFrame, values: DataFrame, files: DataFrame, key: str)
     return out.select(key, typed.alias("fields"))
 
 
-def resolved(entries: DataFrame, values: DataFrame, files: DataFrame) -> DataFrame:
-    """``identity.assign_ids`` where the least distance wins; ties go to the smallest hash, or the largest earlier id.
+def picks(entries: DataFrame, values: DataFrame, files: DataFrame) -> tuple[identity.Pick, identity.Pick]:
+    """How a split and a merge are decided: by the least distance; ties go to the smallest hash, or the largest earlier id.
 
     Records of an earlier id hold all rows that had it, also those that were separated. Only records of contested
     groups are merged and compared.
@@ -68,4 +68,9 @@ def resolved(entries: DataFrame, values: DataFrame, files: DataFrame) -> DataFra
         scored = compared(pairs, "srefid").withColumn("d", distance_of("new", "old"))
         return scored.groupBy("hash").agg(F.min_by("srefid", F.struct("d", (-F.col("srefid")).alias("r"))).alias("srefid"))
 
-    return identity.assign_ids(entries, pick_hash, pick_ref)
+    return pick_hash, pick_ref
+
+
+def resolved(entries: DataFrame, values: DataFrame, files: DataFrame) -> DataFrame:
+    """``identity.assign_ids`` with the ``picks`` of all entries."""
+    return identity.assign_ids(entries, *picks(entries, values, files))

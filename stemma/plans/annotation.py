@@ -50,7 +50,7 @@ def title_words(spark: SparkSession, folder: str) -> DataFrame:
 def rarest_words(spark: SparkSession, folder: str) -> DataFrame:
     """The two rarest distinct words of each title, the earlier first, in title order."""
     d = _titled(spark, folder)
-    return keyid.rarest(d, "doc_id", keyid.word_frequencies(d)).select("doc_id", F.array_join("rarest", "-").alias("rarest"))
+    return keyid.rarest(d, "doc_id", keyid.word_frequencies(d), complete=True).select("doc_id", F.array_join("rarest", "-").alias("rarest"))
 
 
 @query(f"""WITH {_TITLED}, {_TYPES} SELECT doc_id, regexp_replace(lower(d.source || '_' || coalesce(rarest, '') || CAST(1900 + doc_id % 120 AS VARCHAR)), '[^a-z0-9_\\-\\[\\]]', '', 'g') AS hash
@@ -218,7 +218,7 @@ _NAMES = f"""CASE WHEN k = 0 THEN least({_CAP.format('one')}, {_CAP.format('two'
   WHEN k = 5 THEN least({_CAP.format('one')}, {_CAP.format('two')}) || '-' || greatest({_CAP.format('one')}, {_CAP.format('two')}) END"""
 
 
-def _people(spark: SparkSession, folder: str) -> DataFrame:
+def people(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as entries: lists of authors in several forms, editors, and neither."""
     p, k = table(spark, folder, "part"), F.col("p_partkey") % 6
     word = lambda i: F.split("p_name", " ")[i]
@@ -226,31 +226,35 @@ def _people(spark: SparkSession, folder: str) -> DataFrame:
     author = F.when(k == 0, F.concat(cap(word(0)), F.lit(", Ann B. and Bo van der "), cap(word(1)))).when(k == 1, F.concat(F.lit("{"), "p_brand", F.lit("}")))
     author = author.when(k == 2, F.concat(F.lit("Jo "), cap(word(1)))).when(k == 5, F.concat(cap(word(1)), F.lit(", C. and "), cap(word(0)), F.lit(", D.")))
     return p.select(
-        F.col("p_partkey").alias("key"), author.alias("author"), F.when(k == 3, F.concat(F.lit("Li "), cap(word(0)))).alias("editor"), F.lower("p_type").alias("title"),
+        F.col("p_partkey").alias("key"), author.alias("author"), F.when(k == 3, F.concat(F.lit("Li "), cap(word(0)))).alias("editor"), F.lower("p_type").alias("title"), "p_size",
         (1900 + F.col("p_size")).cast("string").alias("year"), F.when(F.col("p_partkey") % 2 == 0, F.lit("4")).alias("volume"), F.when(F.col("p_partkey") % 4 == 0, F.col("p_brand")).alias("journal"),
         F.when(F.col("p_partkey") % 7 == 0, F.lit("Grammar")).alias("extra_hash"),
     )
 
 
-@query(f"""WITH {_PEOPLE}, doc AS (SELECT *, {_sql_words('p_type')} AS ws FROM people), freq AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM doc) GROUP BY word),
+#: ``people`` and their match keys: hashed (key, hash).
+HASH_SQL = f"""{_PEOPLE}, doc AS (SELECT *, {_sql_words('p_type')} AS ws FROM people), freq AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM doc) GROUP BY word),
 types AS (SELECT key, word, min(i) AS i FROM (SELECT key, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM doc) WHERE regexp_matches(word, '^[a-zA-Z].') GROUP BY ALL),
 rare AS (SELECT key, word, i, row_number() OVER (PARTITION BY key ORDER BY n, i) AS r FROM types JOIN freq USING (word)),
-two AS (SELECT key, string_agg(word, '-' ORDER BY i) AS rarest FROM rare WHERE r <= 2 GROUP BY ALL)
-SELECT key, CASE WHEN k = 4 THEN '__missingcontrib__' || regexp_replace(lower(p_type || CASE WHEN key % 4 = 0 THEN p_brand ELSE '' END || CASE WHEN key % 2 = 0 THEN '4' ELSE '' END || (1900 + p_size)), '[^a-z0-9_\\-\\[\\]]', '_', 'g')
+two AS (SELECT key, string_agg(word, '-' ORDER BY i) AS rarest FROM rare WHERE r <= 2 GROUP BY ALL),
+hashed AS (SELECT key, CASE WHEN k = 4 THEN '__missingcontrib__' || regexp_replace(lower(p_type || CASE WHEN key % 4 = 0 THEN p_brand ELSE '' END || CASE WHEN key % 2 = 0 THEN '4' ELSE '' END || (1900 + p_size)), '[^a-z0-9_\\-\\[\\]]', '_', 'g')
 ELSE regexp_replace(lower({_NAMES} || '_' || coalesce(rarest, '') || CASE WHEN key % 2 = 0 AND key % 4 <> 0 THEN 'iv' ELSE '' END || (1900 + p_size) || CASE WHEN key % 7 = 0 THEN 'grammar' ELSE '' END), '[^a-z0-9_\\-\\[\\]]', '', 'g') END AS hash
-FROM people LEFT JOIN two USING (key)""")
+FROM people LEFT JOIN two USING (key))"""
+
+
+@query(f"WITH {HASH_SQL} SELECT key, hash FROM hashed")
 def keyid_entries(spark: SparkSession, folder: str) -> DataFrame:
     """Match keys of entries with lists of authors, editors or neither, volumes, journals and an extra part of the key."""
-    return keyid.keyed(_people(spark, folder), "key").select("key", "hash")
+    return keyid.keyed(people(spark, folder), "key").select("key", "hash")
 
 
 @query(f"""WITH {_PEOPLE} SELECT key, {_AUTHOR} AS text FROM people WHERE k = 1""")
 def name_readings(spark: SparkSession, folder: str) -> DataFrame:
     """Lists of authors that the two name readers part differently: names in braces, which only one opens."""
-    return compare.name_readings(_people(spark, folder), ["key"], "author").select("key", "text")
+    return compare.name_readings(people(spark, folder), ["key"], "author").select("key", "text")
 
 
 @query(f"""WITH {_PEOPLE} SELECT key, {_NAMES} AS names FROM people WHERE k NOT IN (3, 4)""")
 def author_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The last names of all authors, sorted and hyphen-joined."""
-    return _people(spark, folder).where("author is not null").select("key", keyid.author_key_of("author").alias("names"))
+    return people(spark, folder).where("author is not null").select("key", keyid.author_key_of("author").alias("names"))

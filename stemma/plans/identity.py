@@ -12,7 +12,7 @@ from stemma.plans.registry import query, table
 _E = f"WITH {ENTRIES_SQL}"
 _COLUMNS = "e.filename, e.bibkey, e.refid, e.hash"
 #: Steps 1 to 5 with the tie rules alone.
-ASSIGN_SQL = f"""{_E},
+STEPS_SQL = """
 s AS (SELECT refid, min(hash) AS stays FROM entry WHERE refid IS NOT NULL GROUP BY refid HAVING count(DISTINCT hash) > 1),
 a AS (SELECT e.*, CASE WHEN s.stays IS NULL OR e.hash = s.stays THEN e.refid END AS srefid FROM entry e LEFT JOIN s USING (refid)),
 m AS (SELECT hash, max(srefid) AS stays FROM a WHERE srefid IS NOT NULL GROUP BY hash HAVING count(DISTINCT srefid) > 1),
@@ -21,6 +21,7 @@ g AS (SELECT hash, max(id3) AS known FROM b GROUP BY hash),
 c AS (SELECT b.*, CASE WHEN refid IS NULL AND id3 IS NULL THEN g.known ELSE id3 END AS id4 FROM b JOIN g USING (hash)),
 n AS (SELECT hash, (SELECT coalesce(max(refid), 0) FROM entry) + row_number() OVER (ORDER BY hash) AS fresh FROM (SELECT DISTINCT hash FROM c WHERE id4 IS NULL)),
 assigned AS (SELECT c.filename, c.bibkey, c.refid, c.hash, c.srefid, coalesce(n.fresh, c.id4) AS id FROM c LEFT JOIN n USING (hash))"""
+ASSIGN_SQL = f"{_E}, {STEPS_SQL}"
 
 
 @query(f"{_E} SELECT {_COLUMNS} FROM entry e WHERE EXISTS (SELECT 1 FROM entry o WHERE o.refid = e.refid AND o.hash <> e.hash)")
