@@ -1,4 +1,4 @@
-"""Queries on tables that are kept up to date."""
+"""Queries on tables that are kept up to date, and on files that are written and read."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from stemma.lineage import shared_folder
 from stemma.operators.incremental import State
 from stemma.plans.annotation import HASH_SQL, people
 from stemma.plans.identity import STEPS_SQL
-from stemma.plans.registry import query
+from stemma.plans.registry import query, table
+from stemma.sources import bibtex_blocks
 
 _ENTRY = "entry AS (SELECT 'f' || (p_size % 5) || '.bib' AS filename, 'p' || key AS bibkey, CASE WHEN key % 7 <> 0 THEN key // 4 END AS refid, hash FROM hashed JOIN people USING (key))"
 
@@ -45,3 +46,19 @@ def incremental_build(spark: SparkSession, folder: str) -> DataFrame:
     names = files.where(F.col("filename").isin("f1.bib", "f3.bib"))
     state.update(now.where(F.col("filename").isin("f1.bib", "f3.bib")), names, files)
     return state.assigned().join(state.table("records").select("id", F.col("fields")["srctrickle"].alias("srctrickle")), "id")
+
+
+@query("""SELECT o_orderkey % 2 || '' AS file, 'o' || o_orderkey AS bibkey, 'misc' AS entrytype, 'Order {of} ' || c_name AS title, 'The ' || o_orderkey || ' orders' AS series, CAST(o_custkey AS VARCHAR) AS number,
+row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) - 1 AS entry_pos FROM orders JOIN customer ON o_custkey = c_custkey""")
+def bibtex_in_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as entries of two BibTeX files with a name for a text at their beginnings, read block by block of 64 KB."""
+    o = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    head = spark.createDataFrame([(str(k), -1, "@string{the = \"The \"}\n@comment{none}\n") for k in range(2)], "file string, place long, value string")
+    text = F.format_string("@misc{o%d,\n  title = {Order {of}\n %s},\n  series = the # { %d } # \"orders\",\n  number = %d\n}\n", "o_orderkey", "c_name", "o_orderkey", "o_custkey")
+    rows = o.select((F.col("o_orderkey") % 2).cast("string").alias("file"), F.col("o_orderkey").alias("place"), text.alias("value")).unionByName(head)
+    at = f"{shared_folder(spark)}/bib-{uuid.uuid4().hex}"
+    # A file for each of the two, so that there are large ones; a task writes one.
+    rows.repartition(2, "file").sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(at)
+    found = bibtex_blocks.read(spark, f"{at}/file=*", block=1 << 16)
+    key = F.col("fields")["title"]
+    return found.select((F.substring("bibkey", 2, 20).cast("long") % 2).cast("string").alias("file"), "bibkey", "entrytype", key.alias("title"), F.col("fields")["series"].alias("series"), F.col("fields")["number"].alias("number"), "entry_pos")

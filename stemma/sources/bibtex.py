@@ -28,6 +28,8 @@ class SyntaxProblem(ValueError):
 class _Scanner:
     def __init__(self, text: str):
         self.text, self.at, self.macros = text, 0, dict(MONTHS)
+        #: The definitions of names for texts, as they are written.
+        self.strings: list[str] = []
 
     def blank(self) -> None:
         while self.at < len(self.text) and self.text[self.at].isspace():
@@ -99,6 +101,7 @@ class _Scanner:
                 self.take("=")
                 self.macros[name] = self.value()
                 self.take(close)
+                self.strings.append(self.text[at : self.at])
                 continue
             self.blank()
             found = re.compile(r"[^\s,}]*").match(self.text, self.at)
@@ -113,9 +116,24 @@ class _Scanner:
             yield key, kind, fields
 
 
-def entries(text: str) -> Iterator[tuple[str, str, dict[str, str]]]:
-    """(key, type, fields) of a text, strictly: a syntax problem raises."""
-    return _Scanner(text).entries()
+def entries(text: str, given: str = "") -> Iterator[tuple[str, str, dict[str, str]]]:
+    """(key, type, fields) of a text, strictly: a syntax problem raises. ``given`` are definitions from before it."""
+    scanner = _Scanner(text)
+    if given:
+        earlier = _Scanner(given)
+        list(earlier.entries())
+        scanner.macros = earlier.macros
+    return scanner.entries()
+
+
+def definitions(text: str) -> str:
+    """The names for texts that a text defines, as they are written; what comes after a syntax problem is left out."""
+    scanner = _Scanner(text)
+    try:
+        list(scanner.entries())
+    except SyntaxProblem:
+        pass
+    return "\n".join(scanner.strings)
 
 
 def lenient_entries(text: str) -> Iterator[tuple[str, str, dict[str, str]]]:
@@ -133,11 +151,11 @@ def decoded(fields: dict[str, str], encoding: str) -> dict[str, str]:
     return {k: v if read is None or k in VERBATIM else read(v) for k, v in fields.items()}
 
 
-def rows(filename: str, text: str, mode: str, encoding: str) -> Iterator[tuple]:
-    """Rows of SCHEMA. ``failfast`` raises a problem, ``permissive`` gives it as a last row, ``lenient`` skips what is broken."""
+def rows(filename: str, text: str, mode: str, encoding: str, given: str = "") -> Iterator[tuple]:
+    """Rows of SCHEMA; ``given`` are definitions from before the text, for strict reading. ``failfast`` raises a problem, ``permissive`` gives it as a last row, ``lenient`` skips what is broken."""
     at = 0
     try:
-        for at, (key, kind, fields) in enumerate(lenient_entries(text) if mode == "lenient" else entries(text)):
+        for at, (key, kind, fields) in enumerate(lenient_entries(text) if mode == "lenient" else entries(text, given)):
             yield filename, at, key, kind, decoded(fields, encoding), None
     except SyntaxProblem as problem:
         if mode == "failfast":
