@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stemma.joins import private
+from stemma.lineage import cut
+
 ROOT = ""
 
 
@@ -30,9 +35,26 @@ def paths_of(members: DataFrame) -> DataFrame:
     return members.select("path", "name", "code").distinct().groupBy("name", "code").agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 
+def edges(paths: DataFrame) -> DataFrame:
+    """Each place on a path with the one before it, the root's for the first: parent, child; each once."""
+    p = paths.select("path").distinct().select(F.concat(F.array(F.lit(ROOT)), "path").alias("p"))
+    pairs = F.transform(F.slice("p", 2, F.size("p") - 1), lambda child, i: F.struct(F.get("p", i).alias("parent"), child.alias("child")))
+    return p.select(F.explode(pairs).alias("e")).select("e.*").distinct()
+
+
+def several_parents(paths: DataFrame) -> DataFrame:
+    """Places that come after different places: child. Only these make routes ambiguous, as two routes to a place part at the last place that they share."""
+    return edges(paths).groupBy("child").agg(F.count("*").alias("parents")).where("parents > 1").select("child")
+
+
 def is_tree(members: DataFrame) -> DataFrame:
-    """One row: whether no route is ambiguous and no member has two paths, with the counts of both."""
-    routes = ambiguous_routes(members).agg(F.count("*").alias("ambiguous"))
+    """One row: whether no route is ambiguous and no member has two paths, with the counts of both.
+
+    The routes themselves are listed for paths through places with several parents alone, so for a tree there are none.
+    """
+    paths = members.select("path").distinct()
+    through = paths.select("path", F.explode("path").alias("child")).join(several_parents(paths), "child", "left_semi").select("path").distinct()
+    routes = ambiguous_routes(through).agg(F.count("*").alias("ambiguous"))
     twice = member_paths(members).agg(F.count_if(F.col("paths") > 1).alias("multiple"))
     return routes.crossJoin(F.broadcast(twice)).select("ambiguous", "multiple", ((F.col("ambiguous") == 0) & (F.col("multiple") == 0)).alias("is_tree"))
 
@@ -57,7 +79,23 @@ def member_triples(members: DataFrame) -> DataFrame:
     return members.select(F.array_join("path", ", ").alias("path"), "name", "code")
 
 
-def carried_forward(lines: DataFrame, group: list[str], order: str, value: str, out: str) -> DataFrame:
-    """The last value that isn't null up to each line of its group."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn(out, F.last(value, ignorenulls=True).over(w))
+def carried_forward(lines: DataFrame, group: list[str], order: str, value: str, out: str, partitions: int = 0) -> DataFrame:
+    """The last value that isn't null up to each line of its group; of lines equal in ``order``, which comes first is open.
+
+    Lines are dealt to ranges of (group, order), so a group of any size is spread over several tasks. Within a range the
+    value is carried by a window; what a range takes over from the ones before is carried over the ranges' last values, of
+    which only groups in more than one range have any: two rows for each border at most, which are sent to all tasks.
+    """
+    part, last, own = (private(lines, x) for x in ("part", "last", "own"))
+    by = [*group, order]
+    ranged = lines.repartitionByRange(partitions, *by) if partitions else lines.repartitionByRange(*by)
+    ranged = cut(ranged.withColumn(part, F.spark_partition_id()))
+    ends = ranged.groupBy(*group, part).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias(last))
+    over = Window.partitionBy(*group)
+    several = ends.withColumn(own, F.count("*").over(over)).where(F.col(own) > 1)
+    before = F.last(last, ignorenulls=True).over(over.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    taken = F.broadcast(several.select(*[F.col(c).alias(f"{own}{i}") for i, c in enumerate(group)], F.col(part).alias(own), before.alias(last)))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{own}{i}")) for i, c in enumerate(group)), F.col(part) == F.col(own))
+    inside = F.last(value, ignorenulls=True).over(Window.partitionBy(*group, part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    filled = ranged.withColumn(out, inside).join(taken, same, "left")
+    return filled.withColumn(out, F.coalesce(out, last)).select(*lines.columns, out)
