@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from stemma.llm.bpe import encoder, piece_bytes
 from stemma.llm.storage import cut, private, sliced, text_bytes
 
 #: Bytes of text in a lot; one longer text is a lot by itself. And bytes of distinct segments that DuckDB aligns at once.
-LOT, ALIGNED = 8 << 20, 1 << 20
+LOT, ALIGNED = 4 << 20, 256 << 10
 _SPACE = "▁"
 _OPEN: dict[str, Pieces] = {}
 #: White space before a blank: no segment ends there.
@@ -99,40 +100,80 @@ def _table(con, name: str, **columns: np.ndarray) -> None:
     con.unregister(f"arrow_{name}")
 
 
-def _intervals(ids: list[list[int]], size: list[int]) -> dict[str, np.ndarray]:
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
-    e = np.cumsum(np.asarray(size, np.int64)[flat])
-    return {"id": flat, "s": e - np.asarray(size, np.int64)[flat], "e": e}
+def _ids_of_a(texts: list[str], encode: Callable[[str], bytes]) -> np.ndarray:
+    """Ids of all segments in order. They are tokenized in one piece, but for those that end with white space, where a piece ends."""
+    out, first = [], 0
+    for k, t in enumerate(texts):
+        if t[-1].isspace() or k + 1 == len(texts):
+            out.append(encode("".join(texts[first : k + 1])))
+            first = k + 1
+    return np.frombuffer(b"".join(out), "<u4").astype(np.int32)
 
 
-def aligned(con, texts: list[str], encode: Callable[[str], bytes], a_bytes: list[bytes], b: Pieces) -> tuple[np.ndarray, list[str], dict[str, np.ndarray]]:
-    """Align both tokenizations of segments.
+def _ids_of_b(texts: list[str], b: Pieces) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(b.encode(texts)), np.int32)
 
-    Gives (n_a, n_b, n_groups, n_links) by segment, all -1 where one side's bytes aren't the segment's; the written groups;
-    and the links (seg, a, b, n), n being how many occurrences of the pair the segment has.
-    """
-    ids_a = [np.frombuffer(encode(t), "<u4").tolist() for t in texts]
-    ids_b = b.encode(texts)
-    sound = [t.encode() == b"".join([a_bytes[i] for i in x]) == b"".join([b.bytes[i] for i in y]) for t, x, y in zip(texts, ids_a, ids_b)]
-    sums, written = np.full((len(texts), 4), -1, np.int64), [""] * len(texts)
-    kept = [k for k, x in enumerate(sound) if x]
-    if not kept:
-        return sums, written, {x: np.zeros(0, np.int64) for x in ("seg", "a", "b", "n")}
-    sides = [_intervals([ids[k] for k in kept], [len(x) for x in table]) for ids, table in ((ids_a, a_bytes), (ids_b, b.bytes))]
-    length = np.array([len(texts[k].encode()) for k in kept])
-    _table(con, "a", **sides[0])
-    _table(con, "b", **sides[1])
-    _table(con, "seg", seg=np.array(kept), s=np.cumsum(length) - length)
-    con.execute(_GROUPED)
-    found = con.execute(_SUMS).fetchnumpy()
-    sums[kept] = np.column_stack([found[x] for x in ("n_a", "n_b", "n_groups", "n_links")])
-    ga, gb = (con.execute(f"SELECT g FROM {x} ORDER BY e").fetchnumpy()["g"] for x in ("ga", "gb"))
-    seg = con.execute("SELECT seg FROM whole ORDER BY g").fetchnumpy()["seg"]
-    parts = _written(sides[0]["id"], ga, sides[1]["id"], gb, seg)
-    first = np.cumsum(sums[kept, 0] + sums[kept, 1])
-    for k, i, j in zip(kept, [0, *first[:-1].tolist()], first.tolist()):
-        written[k] = "".join(parts[i:j])
-    return sums, written, con.execute(_LINKS).fetchnumpy()
+
+def _gives(ids: np.ndarray, table: list[bytes], size: np.ndarray, whole: bytes, ends: np.ndarray) -> bool:
+    """Whether the ids' bytes are ``whole``, with a token's end at each of ``ends``."""
+    return b"".join([table[i] for i in ids.tolist()]) == whole and bool(np.isin(ends, np.cumsum(size[ids])).all())
+
+
+class Aligner:
+    """Two vocabularies and a connection to DuckDB."""
+
+    def __init__(self, byte_path: str, piece_path: str):
+        import duckdb
+
+        self.encode, self.a_bytes, self.b = encoder(byte_path, special=False), piece_bytes(byte_path), pieces(piece_path)
+        self.size_a, self.size_b = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b.bytes))
+        self.con = duckdb.connect(config={"threads": 1})
+
+    def _sides(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, bool]:
+        whole, ends = "".join(texts).encode(), np.cumsum([len(t.encode()) for t in texts])
+        a, b = _ids_of_a(texts, self.encode), _ids_of_b(texts, self.b)
+        return a, b, _gives(a, self.a_bytes, self.size_a, whole, ends) and _gives(b, self.b.bytes, self.size_b, whole, ends)
+
+    def aligned(self, texts: list[str]) -> tuple[np.ndarray, list[str], dict[str, np.ndarray]]:
+        """Align both tokenizations of segments.
+
+        Gives (n_a, n_b, n_groups, n_links) by segment, all -1 where one side's bytes aren't the segment's; the written
+        groups; and the links (seg, a, b, n), n being how many occurrences of the pair the segment has.
+        """
+        sums, written, kept = np.full((len(texts), 4), -1, np.int64), [""] * len(texts), list(range(len(texts)))
+        a, b, sound = self._sides(texts)
+        if not sound:
+            kept = [k for k in kept if self._sides(texts[k : k + 1])[2]]
+            if not kept:
+                return sums, written, {x: np.zeros(0, np.int64) for x in ("seg", "a", "b", "n")}
+            a, b, _ = self._sides([texts[k] for k in kept])
+        con, length = self.con, np.array([len(texts[k].encode()) for k in kept])
+        for name, ids, size in (("a", a, self.size_a), ("b", b, self.size_b)):
+            e = np.cumsum(size[ids])
+            _table(con, name, id=ids, s=e - size[ids], e=e)
+        _table(con, "seg", seg=np.array(kept), s=np.cumsum(length) - length)
+        con.execute(_GROUPED)
+        found = con.execute(_SUMS).fetchnumpy()
+        sums[kept] = np.column_stack([found[x] for x in ("n_a", "n_b", "n_groups", "n_links")])
+        ga, gb = (con.execute(f"SELECT g FROM {x} ORDER BY e").fetchnumpy()["g"] for x in ("ga", "gb"))
+        seg = con.execute("SELECT seg FROM whole ORDER BY g").fetchnumpy()["seg"]
+        parts = _written(a, ga, b, gb, seg)
+        first = np.cumsum(sums[kept, 0] + sums[kept, 1])
+        for k, i, j in zip(kept, [0, *first[:-1].tolist()], first.tolist()):
+            written[k] = "".join(parts[i:j])
+        return sums, written, con.execute(_LINKS).fetchnumpy()
+
+    def holders(self, docs: int, words: list[np.ndarray], seg: np.ndarray, pair: np.ndarray, pairs: int) -> np.ndarray:
+        """How many of a lot's documents, given by the numbers of their segments, hold each pair."""
+        _table(self.con, "words", doc=np.repeat(np.arange(docs), [len(x) for x in words]), seg=np.concatenate([np.zeros(0, np.int64), *words]))
+        _table(self.con, "links", seg=seg, pair=pair)
+        got, out = self.con.execute(_HOLD).fetchnumpy(), np.zeros(pairs, np.int64)
+        out[got["pair"]] = got["n"]
+        return out
+
+    def close(self) -> None:
+        """Give the connection's memory back."""
+        self.con.close()
 
 
 def _written(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, seg: np.ndarray) -> list[str]:
@@ -153,35 +194,29 @@ def _written(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, seg:
 class Lot:
     """The documents of a lot, as rows of segment numbers, and the alignment of its segments."""
 
-    def __init__(self, texts: list[str], con, encode: Callable[[str], bytes], a_bytes: list[bytes], b: Pieces, batch: int = ALIGNED):
-        number: dict[str, int] = {}
-        self.rows = [np.array([number.setdefault(s, len(number)) for s in segments(t)] if t else [], np.int64) for t in texts]
+    def __init__(self, texts: list[str], aligner: Aligner, batch: int = ALIGNED):
+        number: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.rows = [np.array([number[s] for s in segments(t)] if t else [], np.int64) for t in texts]
         every, at = list(number), 0
         sums, self.written, links = [], [], []
         while at < len(every):
             size, to = 0, at
             while to < len(every) and (to == at or size + len(every[to]) <= batch):
                 size, to = size + len(every[to]), to + 1
-            s, w, found = aligned(con, every[at:to], encode, a_bytes, b)
+            s, w, found = aligner.aligned(every[at:to])
             sums.append(s)
             self.written += w
             links.append([found["seg"] + at, found["a"], found["b"], found["n"]])
             at = to
         self.sums = np.concatenate(sums) if sums else np.zeros((0, 4), np.int64)
-        seg, a, b_ids, self.n = (np.concatenate(x).astype(np.int64) for x in zip(*links)) if links else (np.zeros(0, np.int64) for _ in range(4))
-        pairs, pair = np.unique(a << 32 | b_ids, return_inverse=True)
-        self.a, self.b = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
-        self.seg, self.pair = seg, pair.reshape(-1)
+        self.seg, a, b, self.n = (np.concatenate(x).astype(np.int64) for x in zip(*links)) if links else (np.zeros(0, np.int64) for _ in range(4))
+        pairs, pair = np.unique(a << 32 | b, return_inverse=True)
+        self.a, self.b, self.pair = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), pair.reshape(-1)
         lost = self.sums[:, 0] < 0
         self.rows = [r if len(r) and not lost[r].any() else r[:0] for r in self.rows]
         held = [np.unique(r, return_counts=True) for r in self.rows]
         self.words, self.times = [x for x, _ in held], [n for _, n in held]
-        _table(con, "words", doc=np.repeat(np.arange(len(texts)), [len(x) for x in self.words]), seg=np.concatenate([np.zeros(0, np.int64), *self.words]))
-        _table(con, "links", seg=self.seg, pair=self.pair)
-        # A pair that no sound document holds has no row.
-        got = con.execute(_HOLD).fetchnumpy()
-        self.documents = np.zeros(len(pairs), np.int64)
-        self.documents[got["pair"]] = got["n"]
+        self.documents = aligner.holders(len(texts), self.words, self.seg, self.pair, len(pairs))
 
 
 def _digest(text: str) -> str:
@@ -206,13 +241,13 @@ def _lots(docs: DataFrame, columns: list[str], byte_path: str, piece_path: str,
     """A row for each lot: lot, its documents and links (Arrow tables, compressed), and of each pair a, b and in how many documents (n)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import duckdb
         from pyspark import TaskContext
 
-        encode, a_bytes, b = encoder(byte_path, special=False), piece_bytes(byte_path), pieces(piece_path)
-        con, at = duckdb.connect(config={"threads": 1}), TaskContext.get().partitionId() << 32
+        at = TaskContext.get().partitionId() << 32
         for k, part in enumerate(sliced(batches, size)):
-            lot = Lot([t.decode() for t in part.columns[-1].to_pylist()], con, encode, a_bytes, b, batch)
+            aligner = Aligner(byte_path, piece_path)
+            lot = Lot([t.decode() for t in part.columns[-1].to_pylist()], aligner, batch)
+            aligner.close()
             write = _digest if digested else str
             own = pa.Table.from_batches([part]).drop_columns([part.schema.names[-1]])
             sums = np.array([lot.sums[r].sum(axis=0) for r in lot.rows]).reshape(-1, 4)

@@ -10,6 +10,7 @@ import base64
 import json
 import re
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +50,7 @@ def _ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}, {}
 
 
+@cache
 def piece_bytes(path: str) -> list[bytes]:
     """The bytes of every id of a vocabulary file; an id without an entry has none, a special token those of its string."""
     ranks, special = _ranks(path)
