@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +30,8 @@ ROUNDS = 2
 WINDOW = 24
 #: Characters of words that are scored at once; one longer word is scored by itself.
 CELLS = 1 << 17
-#: Most languages of a model; there are probabilities of the whole vocabulary for each.
-LANGUAGES = 1_000
+#: Languages that are scored at once, as arrays of the whole vocabulary.
+TOGETHER = 64
 #: Words whose scores a worker remembers.
 REMEMBERED = 200_000
 _HASHES = 1 << 20
@@ -174,11 +175,24 @@ class Lattice:
 
 @dataclass
 class Model:
+    """Piece probabilities by language. What is kept of a language are the pieces that its texts have; all others share one probability."""
+
     languages: list[str]
-    #: [piece number, language]; row 0 is 0.
-    p: np.ndarray
+    #: Of each language the numbers of its pieces and their probabilities, and the probability of each other number but 0.
+    columns: list[tuple[np.ndarray, np.ndarray]]
+    rest: list[float]
+    #: Numbers, and the vocabulary's file.
+    size: int
     path: str
 
+    def dense(self, a: int, b: int) -> np.ndarray:
+        """[number, language] of the languages from ``a`` to ``b``; row 0 is 0."""
+        p = np.tile(np.array(self.rest[a:b], float), (self.size, 1))
+        for j, (i, value) in enumerate(self.columns[a:b]):
+            p[i, j] = value
+        p[0] = 0
+        return p
+
 
 def equal_share(sizes: list[int], bound: int) -> float:
     """The most documents a language may use, for all to use ``bound`` together, or all that there are."""
@@ -193,17 +207,16 @@ def equal_share(sizes: list[int], bound: int) -> float:
 def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, rounds: int = ROUNDS) -> Model:
     """Fit to the texts of ``docs`` (doc_id, text, lang); rows with a null language or text are left out.
 
-    At most about ``bound`` documents are used, chosen by the hash of their ids: languages have equal shares, and what one
+    At most about ``bound`` documents are used, chosen by the hash of id and text: languages have equal shares, and what one
     doesn't use is shared by the others. The documents of the least hash of a language are always used, so every language
-    is learnt, also beyond the bound; more than LANGUAGES of them are a ValueError. Words are counted by language and the counts stay distributed; each round sums expected piece counts, a table of the vocabulary's size by languages.
+    is learnt, also beyond the bound. Words are counted by language and the counts stay distributed; each round sums the
+    expected counts of the pieces that the chosen texts have, which are as many as these texts' pieces at most.
     """
     spark = docs.sparkSession
     path = path or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.where("lang is not null and text is not null")
-    known = known.select(F.col("lang").cast("string").alias("lang"), text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("h"))
+    known = known.select(F.col("lang").cast("string").alias("lang"), text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASHES)).alias("h"))
     found = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
-    if len(found) > LANGUAGES:
-        raise ValueError(f"{len(found)} languages; a model has {LANGUAGES} at most")
     share = equal_share([r.n for r in found], bound)
     below = [(r.lang, max(int(min(1.0, share / r.n) * _HASHES), r.least + 1)) for r in found]
     limits = small(spark.createDataFrame(below, "lang string, below long"), len(below))
@@ -223,33 +236,53 @@ def fit(docs: DataFrame, path: str | None = None, bound: int = TRAIN_DOCS, round
     words = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
     size = len(vocabulary_of(path).numbers) + 2
-    if not languages:
-        return Model([], np.zeros((size, 0)), path)
-    p = np.full((size, len(languages)), 1.0 / size)
-    p[0] = 0
-    for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((p, languages, path))
+    number = {name: j for j, name in enumerate(languages)}
+    none = (np.zeros(0, np.int64), np.zeros(0))
+    model = Model(languages, [none] * len(languages), [1.0 / size] * len(languages), size, path)
+    for _ in range(rounds if languages else 0):
+        sent = spark.sparkContext.broadcast(model)
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p, languages, path = sent.value
-            vocabulary, sums = vocabulary_of(path), np.zeros_like(p)
+            model, vocabulary = sent.value, vocabulary_of(path)
+            sums: dict[int, np.ndarray] = {}
             for batch in batches:
-                lang, n = np.array(batch.columns[0].to_pylist()), np.array(batch.columns[2].to_pylist(), float)
-                for j, name in enumerate(languages):
-                    own = np.flatnonzero(lang == name)
-                    words = [spelled(batch.columns[1][k].as_py()) for k in own]
+                names, own = np.unique(np.array(batch.columns[0].to_pylist(), object), return_inverse=True)
+                n, order = np.array(batch.columns[2].to_pylist(), float), np.argsort(own, kind="stable")
+                for name, rows in zip(names, np.split(order, np.cumsum(np.bincount(own, minlength=len(names)))[:-1])):
+                    j = number[name]
+                    p, total = model.dense(j, j + 1)[:, 0], sums.setdefault(j, np.zeros(size))
+                    words = [spelled(batch.columns[1][k].as_py()) for k in rows]
                     for at in in_groups(words):
-                        sums[:, j] += Lattice([words[i] for i in at], vocabulary).expected(p[:, j], n[own[at]])
-            i, j = np.nonzero(sums)
-            yield pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(sums[i, j])], ["i", "j", "n"])
+                        total += Lattice([words[i] for i in at], vocabulary).expected(p, n[rows[at]])
+                    if len(sums) > TOGETHER:
+                        yield _expected(sums)
+                        sums = {}
+            yield _expected(sums)
 
         got = words.mapInArrow(expect, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
         sent.unpersist()
-        p = np.full((size, len(languages)), 0.05)
-        p[got.i, got.j] += got.n
-        p[0] = 0
-        p /= p.sum(axis=0)
-    return Model(languages, np.maximum(p, np.where(np.arange(size)[:, None] > 0, _FLOOR / 100, 0)), path)
+        columns, rest = [], []
+        for j, own in enumerate(_by_language(got, len(languages))):
+            total = 0.05 * (size - 1) + own.n.sum()
+            columns.append((own.i.to_numpy(np.int64), np.maximum((0.05 + own.n.to_numpy()) / total, _FLOOR / 100)))
+            rest.append(max(0.05 / total, _FLOOR / 100))
+        model = Model(languages, columns, rest, size, path)
+    return model
+
+
+def _expected(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    held = [(np.flatnonzero(x), j) for j, x in sums.items()]
+    i = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in held)])
+    j = np.repeat([j for _, j in held], [len(x) for x, _ in held]) if held else i
+    n = np.concatenate([np.zeros(0), *(sums[j][x] for x, j in held)])
+    return pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n)], ["i", "j", "n"])
+
+
+def _by_language(rows: pd.DataFrame, languages: int) -> Iterator[pd.DataFrame]:
+    rows = rows.sort_values(["j", "i"])
+    edges = np.searchsorted(rows.j, np.arange(languages + 1))
+    for a, b in zip(edges, edges[1:]):
+        yield rows.iloc[a:b]
 
 
 def _parting() -> bytes:
@@ -263,11 +296,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     A text that is null or has no letter, or any text under a model without languages, is ``und`` with score 0. Ties go
     to the first language in order. Whole texts are scored; repeated rows score alike; other columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.p, model.path))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     data = private(docs, "bytes")
     source = docs.select(*keep, text_bytes().alias(data))
     schema = source.drop(data).schema.add("lang_pred", "string").add("score", "double")
-    memory: dict[str, np.ndarray] = {}
+    memory: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def scored(tokens: textkit.Tokens, first: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
         """Log-probabilities [token, language] of the tokens at ``first``."""
@@ -277,35 +310,44 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             out[at] = Lattice([words[i] for i in at], vocabulary).forward(p)
         return out
 
+    def looked_up(t: textkit.Tokens, name: np.ndarray, first: np.ndarray, a: int, model: Model) -> np.ndarray:
+        """Log-probabilities [token, language] of the distinct tokens for the TOGETHER languages from ``a`` on; a worker remembers some."""
+        p, vocabulary = model.dense(a, a + TOGETHER), vocabulary_of(model.path)
+        known, old = memory.get(a, (np.zeros(0, np.uint64), np.zeros((0, p.shape[1]))))
+        at = np.searchsorted(known, name)
+        there = at < len(known)
+        there[there] = known[at[there]] == name[there]
+        table = np.zeros((len(name), p.shape[1]))
+        table[there] = old[at[there]]
+        if not there.all():
+            table[~there] = scored(t, first[~there], p, vocabulary)
+            if (len(known) + (~there).sum()) * len(model.languages) > REMEMBERED * min(len(model.languages), TOGETHER):
+                memory[a] = (name, table)
+            else:
+                names = np.concatenate([known, name[~there]])
+                order = np.argsort(names)
+                memory[a] = (names[order], np.concatenate([old, table[~there]])[order])
+        return table
+
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        languages, p, path = sent.value
+        model = sent.value
         texts = part.columns[-1].to_pylist()
         lettered = np.array([any(map(str.isalpha, x.decode())) for x in texts], bool)
-        best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        if languages:
-            vocabulary = vocabulary_of(path)
+        best, top, total = np.zeros(len(texts), np.int64), np.full(len(texts), -np.inf), np.zeros(len(texts))
+        if model.languages:
             t = textkit.tokenise(texts, textkit.LETTER)
             name, first, inverse = np.unique(t.name, return_index=True, return_inverse=True)
-            known = memory.get("name", np.zeros(0, np.uint64))
-            at = np.searchsorted(known, name)
-            there = at < len(known)
-            there[there] = known[at[there]] == name[there]
-            table = np.zeros((len(name), len(languages)))
-            table[there] = memory["score"][at[there]] if there.any() else 0
-            if not there.all():
-                table[~there] = scored(t, first[~there], p, vocabulary)
-                if len(known) + (~there).sum() > REMEMBERED:
-                    memory.update(name=name, score=table)
-                else:
-                    names = np.concatenate([known, name[~there]])
-                    order = np.argsort(names)
-                    old = memory.get("score", np.zeros((0, len(languages))))
-                    memory.update(name=names[order], score=np.concatenate([old, table[~there]])[order])
-            total = np.stack([np.bincount(t.doc, table[inverse, j], minlength=len(texts)) for j in range(len(languages))], axis=1)
-            best = total.argmax(axis=1)
-            score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        seen = lettered & bool(languages)
-        pred = [languages[b] if s else "und" for b, s in zip(best, seen)]
+        for a in range(0, len(model.languages), TOGETHER):
+            table = looked_up(t, name, first, a, model)
+            sums = np.stack([np.bincount(t.doc, table[inverse, j], minlength=len(texts)) for j in range(table.shape[1])], axis=1)
+            own = sums.max(axis=1)
+            best = np.where(own > top, a + sums.argmax(axis=1), best)
+            high = np.maximum(top, own)
+            total = total * np.exp(top - high) + np.exp(sums - high[:, None]).sum(axis=1)
+            top = high
+        seen = lettered & bool(model.languages)
+        pred = [model.languages[b] if s else "und" for b, s in zip(best, seen)]
+        score = 1 / np.maximum(total, 1)
         yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(pred, pa.string()), pa.array(np.where(seen, score, 0.0))], names=schema.names)
 
     return in_batches(source, work, schema)

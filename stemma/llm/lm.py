@@ -300,7 +300,10 @@ def _steps(batches: Iterator[pa.RecordBatch], words: tuple[np.ndarray, np.ndarra
 
 
 def _first(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.ndarray, tokens: int) -> tuple[Vectors, list[np.ndarray]]:
-    """The first model and its summed squares, from texts with about FIRST_TOKENS tokens, chosen by the hash of their ids."""
+    """The first model and its summed squares, from texts with about FIRST_TOKENS tokens, chosen by the hash of id and text; repeated rows are learnt once.
+
+    The task takes no more than twice as many tokens, and the rest of the text that it is at.
+    """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((words, unigram))
     share = min(1.0, FIRST_TOKENS / max(tokens, 1))
@@ -309,13 +312,20 @@ def _first(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], unigram: np.nd
         words, unigram = sent.value
         v = Vectors.new(unigram)
         squares = [np.full_like(x, 1e-2) for x in v.arrays()]
-        steps = sorted(_steps(batches, words), key=lambda x: (x[1].tobytes(), x[0].tobytes()))
+        steps, taken = [], 0
+        for step in _steps(batches, words):
+            steps.append(step)
+            taken += len(step[1])
+            if taken > 2 * FIRST_TOKENS:
+                break
+        steps.sort(key=lambda x: (x[1].tobytes(), x[0].tobytes()))
         for k in range(FIRST_ROUNDS):
             for i in np.random.default_rng(k).permutation(len(steps)):
                 train(v, squares, unigram, *steps[i])
         yield pa.record_batch([pa.array([x.astype("<f4").tobytes() for x in [*v.arrays(), *squares]], pa.binary())], ["x"])
 
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select(text_bytes().alias("t"))
+    chosen = docs.select("doc_id", text_bytes().alias("t"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)).alias("h")).where(F.col("h") < int(share * (1 << 20)))
+    chosen = chosen.groupBy("doc_id", "t").agg(F.first("h")).select("t")
     got = chosen.repartition(1).mapInArrow(learn, "x binary").collect()
     start = Vectors.new(unigram)
     if not got:

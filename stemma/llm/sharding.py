@@ -66,7 +66,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         cases = reduce(lambda c, x: c.when(F.col("group") == x[0], F.pmod(F.xxhash64("node"), F.lit(x[1]))), parts[1:], F.when(F.col("group") == parts[0][0], F.pmod(F.xxhash64("node"), F.lit(parts[0][1]))))
         own = links.withColumn("group", F.when(F.col("group").isin([p[0] for p in parts]), F.xxhash64("group", cases)).otherwise(F.col("group")))
     sizes = own.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
-    heavy = [(r.group, r.n) for r in sizes.where(F.col("n") >= max(2.0, capacity * SEEDED)).limit(int(4 * shards / SEEDED)).collect()]
+    heavy = [(r.group, r.n) for r in sizes.where(F.col("n") >= max(2.0, capacity * SEEDED)).orderBy(F.desc("n"), "group").limit(int(4 * shards / SEEDED)).collect()]
     seeds = _seeds(heavy, shards)
     ties = links.count()
     linked = keyed(own, sizes, ["group"], "n", ties).select("group", "node")

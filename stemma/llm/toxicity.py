@@ -69,7 +69,8 @@ def ftrl(rows: list[np.ndarray], labels: list[int], epochs: int = 5, alpha: floa
 def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     """Fit on documents (``doc_id, text``) that have a label (``doc_id, toxic``).
 
-    Labels that are null are left out; a document with several labels has their maximum. At most about ``bound``
+    Labels that are null are left out; a document with several labels has their maximum, and of texts that
+    share an id the one of the least hash is learnt. At most about ``bound``
     documents are used: all, or those whose id hash falls under the fitting threshold. They go to one task, which
     returns the weights other than zero. Without labels nothing is held to be toxic: every score is next to 0.
     """
@@ -80,7 +81,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), UNLABELLED)
     share = min(1.0, bound / total)
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).join(small(chosen, min(total, 2 * bound)), "__id").select("__id", F.col("__y").cast("int"), text_bytes("__text"))
+    rows = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).join(small(chosen, min(total, 2 * bound)), "__id")
+    rows = rows.groupBy("__id").agg(F.first("__y").alias("__y"), F.min_by(text_bytes("__text"), F.xxhash64("__text")).alias("__text")).select("__id", F.col("__y").cast("int"), "__text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, ys, ids = [], [], []

@@ -124,7 +124,7 @@ def test_languages_of_whole_texts(spark):
         if not any(map(str.isalpha, r.text)):
             assert (r.lang_pred, r.score) == ("und", 0.0)
             continue
-        total = np.array([sum(plain_segmentation(language_id.spelled(w.encode()), numbers, model.p[:, j]) for w in words) for j in range(3)])
+        total = np.array([sum(plain_segmentation(language_id.spelled(w.encode()), numbers, model.dense(j, j + 1)[:, 0]) for w in words) for j in range(3)])
         assert r.lang_pred == model.languages[total.argmax()]
         assert math.isclose(r.score, 1 / np.exp(total - total.max()).sum(), rel_tol=1e-6)
 

@@ -15,7 +15,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stemma.llm import alignment, bpe, queries, spelling, topk
+from llm_plain import plain_segmentation
+from stemma.llm import alignment, bpe, language_id, lm, queries, spelling, topk, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -230,3 +231,37 @@ def test_segments_are_tokenized_alone(text):
     if text:
         assert sum(model.encode(parts), []) == model.model.encode(text)
     assert b"".join(map(encode, parts)) == encode(" " + text)
+
+
+def test_more_languages_than_are_scored_at_once(spark):
+    """150 languages, scored in three lots; predictions and scores against plain sums, and null ids and repeated rows among the texts."""
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzéßñçøåäö"
+    rows = []
+    for k in range(150):
+        own = draw.sample(letters, 5)
+        rows += [(None if k % 2 else 10 * k + i, " ".join("".join(draw.choices(own, k=draw.randint(2, 5))) for _ in range(12)), f"l{k:03}") for i in range(2)]
+    df = spark.createDataFrame(rows + rows[:50], "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert len(model.languages) == 150 > 2 * language_id.TOGETHER
+    numbers, p = language_id.vocabulary_of(model.path).numbers, model.dense(0, 150)
+    for r in language_id.predict(df.limit(5), model, ["text"]).collect():
+        total = np.array([sum(plain_segmentation(language_id.spelled(w.encode()), numbers, p[:, j]) for w in r.text.split()) for j in range(150)])
+        assert r.lang_pred == model.languages[total.argmax()] and r.score == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-6)
+
+
+def test_repeated_rows_of_a_labelled_id_are_learnt_once(spark):
+    rows = [(k, f"text {'vile' if k % 3 == 0 else 'good'} number{k % 7}") for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int")
+    one = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    many = toxicity.fit(spark.createDataFrame(rows + rows[:20] * 30, "doc_id long, text string"), labels)
+    assert one.bias == many.bias and one.index.tolist() == many.index.tolist() and one.weight.tolist() == many.weight.tolist()
+
+
+def test_the_first_language_model_is_of_bounded_size(spark):
+    """Rows that all have the null id and one text are learnt once."""
+    docs = spark.createDataFrame([(None, "the same words in every row of this table")] * 500 + [(k, f"other words {k % 5}") for k in range(20)], "doc_id long, text string")
+    model, counts = lm.fit(docs)
+    assert model.tokens == 500 * 10 + 20 * 4 and counts.count() == 8 + 1 + 2 + 5
+    scored = lm.score(docs, model, counts, ["doc_id"]).collect()
+    assert len(scored) == 520 and all(np.isfinite(r.score) for r in scored)
