@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemma.operators import references
 from stemma.operators.languoids import group_heading, language_line
-from stemma.sources import bibtex
+from stemma.sources import bibtex, text_files
 
 
 def mapping(assigned: DataFrame, path: str) -> None:
@@ -106,14 +106,8 @@ def languoid_tree(flat: DataFrame, code_key: str = "code") -> DataFrame:
 
 
 def write_files(files: DataFrame, root: str) -> None:
-    """Write rows (path, value) as files under ``root``, row by row through the driver; for classifications of some thousand files."""
-    spark: SparkSession = files.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for row in files.toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{row.path}")
-        out = path.getFileSystem(conf).create(path, True)
-        out.write(bytearray(row.value.encode()))
-        out.close()
+    """Write rows (path, value) as files under ``root``, each by the task that has its row."""
+    text_files.write(files, root)
 
 
 def translated_table(rows: DataFrame, text: str, ids: DataFrame, path: str, order: list[str]) -> None:
