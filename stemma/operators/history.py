@@ -45,3 +45,39 @@ def key_ids(entries: DataFrame, id_field: str) -> DataFrame:
     """bibkey and id of the entries (bibkey, fields) of a file that have a number in ``id_field``."""
     number = F.try_element_at("fields", F.lit(id_field)).try_cast("long")
     return entries.select("bibkey", number.alias("id")).where("id is not null")
+
+
+def opened(rows: DataFrame, version) -> DataFrame:
+    """The intervals of a first version: KEY, id, first, last (versions), open. A row holds while an entry keeps an id from one version to the next."""
+    own = rows.where(F.col("version") == version).select(*KEY, "id").distinct()
+    return own.select("*", F.lit(version).alias("first"), F.lit(version).alias("last"), F.lit(True).alias("open"))
+
+
+def with_version(intervals: DataFrame, snapshot: DataFrame, version) -> DataFrame:
+    """``intervals`` with one more version, later than all that they have: ``snapshot`` (KEY, id).
+
+    Only the open intervals, as many as the last version has rows, meet the snapshot; closed ones don't move. An entry that
+    is missing in a version, or has another id, closes its interval; entries without an id are entries, too. Rows that a
+    snapshot repeats count once.
+    """
+    names = [*KEY, "id"]
+    now = snapshot.select(*[F.col(c).alias(f"__{c}") for c in names], F.lit(True).alias("__here")).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]
+    met = intervals.where("open").join(now, same, "full_outer")
+    value, here = F.lit(version).cast(intervals.schema["first"].dataType), F.col("__here").isNotNull()
+    own = [F.when(F.col("first").isNull(), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in names]
+    after = met.select(*own, F.coalesce("first", value).alias("first"), F.when(here, value).otherwise(F.col("last")).alias("last"), here.alias("open"))
+    return intervals.where("not open").select(*after.columns).unionByName(after)
+
+
+def history_of(intervals: DataFrame) -> DataFrame:
+    """``id_history`` from intervals."""
+    return id_history(intervals.select(*KEY, "id", F.col("first").alias("version")))
+
+
+def replaced_by_intervals(intervals: DataFrame, old, new) -> DataFrame:
+    """``replaced`` from intervals; entries whose id held over both versions are left out before anything is joined."""
+    at = lambda v: (F.col("first") <= F.lit(v)) & (F.col("last") >= F.lit(v))
+    changed = intervals.where(at(old) != at(new))
+    rows = changed.select(*KEY, "id", F.when(at(old), F.lit(old)).otherwise(F.lit(new)).alias("version"))
+    return replaced(rows, old, new)

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stemma.joins import private
 from stemma.lineage import cut
 from stemma.operators import identity, merge
 
@@ -34,6 +35,42 @@ def distance_of(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series([distance(dict(a or {}), dict(b or {})) for a, b in zip(left, right)], dtype=float)
 
 
+def _shared(a: Column, b: Column) -> Column:
+    """How many characters two texts have in common, each as often as both have it."""
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(times(a, c), times(b, c))))
+
+
+def least_distance(left: Column, right: Column) -> Column:
+    """A distance that isn't above ``distance`` of two records: a text's likeness is bounded by the characters that both sides have in any order."""
+    names = F.array_intersect(F.map_keys(left), F.map_keys(right))
+    weight = lambda k: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in WEIGHTS.items() for x in pair]), k), F.lit(1))
+
+    def most(k: Column) -> Column:
+        a, b = F.try_element_at(left, k), F.try_element_at(right, k)
+        both = F.length(a) + F.length(b)
+        return weight(k) * F.when(both == 0, 1.0).otherwise(2.0 * _shared(a, b) / F.greatest(both, F.lit(1)))
+
+    total = F.aggregate(names, F.lit(0), lambda n, k: n + weight(k))
+    likeness = F.aggregate(names, F.lit(0.0), lambda n, k: n + most(k))
+    return F.when((F.size(F.map_keys(left)) == 0) & (F.size(F.map_keys(right)) == 0), 0.0).when(total == 0, 1.0).otherwise(1 - likeness / F.greatest(total, F.lit(1)))
+
+
+def contenders(pairs: DataFrame, group: str, one: str, other: str) -> DataFrame:
+    """Of ``pairs`` (``group`` and the records ``one`` and ``other``) those that can be the nearest of their group.
+
+    The pair with the least bound is compared; what has a bound above its distance can't be nearer. Groups of one pair,
+    where nothing is to be decided, stay without a comparison.
+    """
+    bound, place, best, size = (private(pairs, x) for x in ("bound", "place", "best", "size"))
+    over = Window.partitionBy(group)
+    ranked = pairs.withColumn(bound, least_distance(F.col(one), F.col(other)))
+    ranked = cut(ranked.withColumn(place, F.row_number().over(over.orderBy(bound))).withColumn(size, F.count("*").over(over)))
+    first = ranked.where((F.col(place) == 1) & (F.col(size) > 2)).select(group, distance_of(one, other).alias(best))
+    # A millionth above the distance, as the bound is summed in another order.
+    return ranked.join(first, group, "left").where(F.col(best).isNull() | (F.col(bound) <= F.col(best) + 1e-6)).select(*pairs.columns)
+
+
 def part_values(parts: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """The fields of parts as values of their entries."""
     pairs = F.explode(F.create_map(*[x for k, v in ({"ENTRYTYPE": F.lit("part")} | fields).items() for x in (F.lit(k), v.cast("string"))]))
@@ -52,7 +89,7 @@ def picks(entries: DataFrame, values: DataFrame, files: DataFrame) -> tuple[iden
     """How a split and a merge are decided: by the least distance; ties go to the smallest hash, or the largest earlier id.
 
     Records of an earlier id hold all rows that had it, also those that were separated. Only records of contested
-    groups are merged and compared.
+    groups are merged, and only those that can be the nearest by the characters that they share are compared in full.
     """
     def compared(pairs: DataFrame, ref: str) -> DataFrame:
         of = entries.withColumnRenamed("refid", ref)
@@ -61,11 +98,11 @@ def picks(entries: DataFrame, values: DataFrame, files: DataFrame) -> tuple[iden
         return pairs.join(cut(old), ref).join(cut(new), "hash")
 
     def pick_hash(pairs: DataFrame) -> DataFrame:
-        scored = compared(pairs, "refid").withColumn("d", distance_of("old", "new"))
+        scored = contenders(compared(pairs, "refid"), "refid", "old", "new").withColumn("d", distance_of("old", "new"))
         return scored.groupBy("refid").agg(F.min_by("hash", F.struct("d", "hash")).alias("hash"))
 
     def pick_ref(pairs: DataFrame) -> DataFrame:
-        scored = compared(pairs, "srefid").withColumn("d", distance_of("new", "old"))
+        scored = contenders(compared(pairs, "srefid"), "hash", "new", "old").withColumn("d", distance_of("new", "old"))
         return scored.groupBy("hash").agg(F.min_by("srefid", F.struct("d", (-F.col("srefid")).alias("r"))).alias("srefid"))
 
     return pick_hash, pick_ref

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.functions import text as fn
+from stemma.lineage import cut
 from stemma.operators import compare, history, languoids, references, trees
-from stemma.plans.registry import query, table
+from stemma.plans.registry import SQL, query, table
 from stemma.sources import bibtex
 
 _VERSIONS = """v AS (SELECT 'orders' AS filename, CAST(o_custkey AS VARCHAR) AS bibkey, year(o_orderdate) AS version, max(o_orderkey) // 50 AS id FROM orders GROUP BY ALL)"""
@@ -31,6 +32,26 @@ def version_replacements(spark: SparkSession, folder: str) -> DataFrame:
     return history.replaced(versions(spark, folder), 1995, 1996)
 
 
+def intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """The same versions as intervals, kept up year by year."""
+    rows = cut(versions(spark, folder))
+    years = [r.version for r in rows.select("version").distinct().orderBy("version").collect()]
+    out = history.opened(rows, years[0]) if years else history.opened(rows, 0)
+    for year in years[1:]:
+        out = cut(history.with_version(out, rows.where(F.col("version") == year), year))
+    return out
+
+
+@query(SQL["id_history"])
+def interval_history(spark: SparkSession, folder: str) -> DataFrame:
+    return history.history_of(intervals(spark, folder))
+
+
+@query(SQL["version_replacements"])
+def interval_replacements(spark: SparkSession, folder: str) -> DataFrame:
+    return history.replaced_by_intervals(intervals(spark, folder), 1995, 1996)
+
+
 @query("""WITH r AS (SELECT CAST(o_orderdate AS DATE) AS version, o_custkey AS k FROM orders), bad AS (SELECT DISTINCT version FROM r GROUP BY version, k HAVING count(*) > 1)
 SELECT CAST(version AS VARCHAR) AS version, count(*) AS n FROM r WHERE version NOT IN (SELECT version FROM bad) GROUP BY version""")
 def accepted_versions(spark: SparkSession, folder: str) -> DataFrame:
