@@ -138,6 +138,21 @@ def natural_key(name: Column) -> Column:
     return F.transform(F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1)), lambda x: F.when(F.regexp_like(x, F.lit(r"^\d")), F.lpad(x, 18, "0")).otherwise(x))
 
 
+#: What LaTeX a text still has, by kind. Fixed values.
+LATEX_KINDS = {
+    "command with a letter": r"\\([^%'`^~=_\"\s{]+)\{([a-zA-Z]?)\}",
+    "accent with a braced letter": r"\\(['`^~=_\"]+?)\{([a-zA-Z])\}",
+    "accent with a letter": r"\\([^a-zA-Z\s%_])([a-zA-Z])",
+    "accents with a letter": r"\\([^a-zA-Z\s%{_]+)([a-zA-Z])",
+    "command with a text": r"\\([^{%_]+)\{([^}]+)\}",
+    "command with a blank": r"\\([^{_\\\s%]+)(\s)",
+}
+
+
 def latex_remains(text: Column) -> Column:
-    """LaTeX commands and accents that are left in a text."""
-    return F.regexp_extract_all(text, F.lit(r"(\\[A-Za-z]+\{[^}]*\}|\\[^A-Za-z\s%_](?:\{[A-Za-z]\}|[A-Za-z]))"), F.lit(1))
+    """LaTeX that is left in a text: array of struct(kind, command, argument), by kind and then by place; one place can be of several kinds."""
+    def of(kind: str, pattern: str) -> Column:
+        parts = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(pattern), F.lit(k)).alias(n) for k, n in ((1, "command"), (2, "argument"))])
+        return F.transform(parts, lambda x: F.struct(F.lit(kind).alias("kind"), x["command"].alias("command"), x["argument"].alias("argument")))
+
+    return F.concat(*[of(kind, pattern) for kind, pattern in LATEX_KINDS.items()])

@@ -75,3 +75,15 @@ def line_errors(flat: DataFrame, known: DataFrame) -> DataFrame:
     k = known.select(F.col("id").alias("__id"), F.col("level").alias("__level"))
     j = flat.join(k, flat["id"] == F.col("__id"), "left")
     return j.select("id", F.when(F.col("__id").isNull(), "unknown id").when(F.col("level") != F.col("__level"), "other level").alias("problem")).where("problem is not null")
+
+
+def full_lineages(dialects: DataFrame, languages: DataFrame) -> DataFrame:
+    """``dialects``, whose lineage begins with their language, with the lineage of that language (``languages``: id, lineage) put before it.
+
+    Dialects without a lineage are attached to nothing and left out; one whose language isn't there raises. Of languages
+    that repeat an id, the one of the largest lineage counts.
+    """
+    own = languages.groupBy(F.col("id").alias("__language")).agg(F.max("lineage").alias("__before"))
+    told = dialects.where(F.size("lineage") > 0).join(own, F.get("lineage", F.lit(0))["id"] == F.col("__language"), "left")
+    before = F.when(F.col("__language").isNull(), F.raise_error(F.concat(F.lit("no language of dialect "), "id"))).otherwise(F.col("__before"))
+    return told.withColumn("lineage", F.concat(before, "lineage")).select(*dialects.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as fn
 from stemma.lineage import cut
-from stemma.operators import compare, history, languoids, references, trees
+from stemma.operators import characters, compare, history, languoids, references, trees
 from stemma.plans.registry import SQL, query, table
 from stemma.sources import bibtex
 
@@ -148,8 +148,13 @@ def far_apart(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT c, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '' GROUP BY c")
 def char_histogram(spark: SparkSession, folder: str) -> DataFrame:
     """How often each character occurs."""
-    chars = table(spark, folder, "documents").select(F.explode(F.split("text", "")).alias("c")).where("c <> ''")
-    return chars.groupBy("c").agg(F.count("*").alias("n"))
+    return characters.histogram(table(spark, folder, "documents"))
+
+
+@query("""SELECT c, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '' AND NOT ord(c) BETWEEN 20 AND 126 GROUP BY c ORDER BY n DESC, c""")
+def unusual_characters(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without printable ASCII, the most frequent first."""
+    return characters.table(table(spark, folder, "documents")).drop("name")
 
 
 @query("""SELECT conv_id, turn, i AS "index", parts[i] AS part FROM (SELECT conv_id, turn, string_split(text, ' and ') AS parts FROM conversations), range(1, 100000) t(i) WHERE i <= len(parts)""")

@@ -211,6 +211,32 @@ def test_stream_of_ids(spark, tmp_path):
         ids.assign(stream, table, str(tmp_path / "state")).awaitTermination()
     got = {r.hash: r.id for r in table.known().collect()}
     assert set(got) == {"a", "b", "c"} and sorted(got.values()) == [1, 2, 3] and got["c"] == 3
-    table.add(spark.createDataFrame([("z",)], "hash string"), 9)
-    table.add(spark.createDataFrame([("z",)], "hash string"), 9)
-    assert table.known().count() == 4
+
+
+def test_ids_of_a_stream_over_restarts(spark, tmp_path):
+    """Null, repeated and late hashes, batches that bring nothing new, and a batch that was broken off before it was committed."""
+    source, folder, expected = tmp_path / "in", str(tmp_path / "ids"), {}
+    for k, hashes in enumerate((["a", "a", None, "b"], ["b", "a"], ["d", "c", "b", None, "c"], ["a", "e"])):
+        spark.createDataFrame([(h,) for h in hashes], "hash string").repartition(2).write.mode("append").parquet(str(source))
+        table = ids.IdTable(spark, folder)
+        if k == 3:  # its ids were written, but neither its count nor the stream's commit
+            table.add_new(spark.createDataFrame([("e",)], "hash string"), 3)
+        ids.assign(spark.readStream.schema("hash string").option("maxFilesPerTrigger", 1000).parquet(str(source)), table, str(tmp_path / "state")).awaitTermination()
+        got = {r.hash: r.id for r in table.known().collect()}
+        assert expected.items() <= got.items() and sorted(got.values()) == list(range(1, len(got) + 1)) and table.known().count() == len(got)
+        expected = got
+    assert set(expected) == set("abcde") and expected["e"] == 5
+
+
+def test_ids_of_batches(spark, tmp_path):
+    table = ids.IdTable(spark, str(tmp_path / "ids"))
+    for batch, hashes in ((0, "ba"), (1, "bc"), (1, "bc")):
+        table.add(spark.createDataFrame([(h,) for h in hashes], "hash string"), batch)
+    assert {r.hash: r.id for r in table.known().collect()} == {"a": 1, "b": 2, "c": 3}
+    source = tmp_path / "in"
+    spark.createDataFrame([("c",), ("d",)], "hash string").coalesce(1).write.parquet(str(source))
+    late = ids.IdTable(spark, str(tmp_path / "other"))
+    late.add(spark.createDataFrame([("c",)], "hash string"), -1)
+    stream = spark.readStream.schema("hash string").parquet(str(source))
+    ids.assign(stream.withColumn("n", F.lit(1)), late, str(tmp_path / "state")).awaitTermination()
+    assert {r.hash: r.id for r in late.known().collect()} == {"c": 1, "d": 2}
