@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from stemma.joins import few
+from stemma.lineage import cut
+from stemma.operators.ranges import placed
+
 #: Rules as rows: class, label, rank, rule, word, positive.
 RULES = "class string, label string, rank int, rule string, word string, positive boolean"
-#: Most terms of rules, and words of a dictionary, that there may be.
+#: Most terms of rules, and words of a dictionary, that are made part of a plan; more are joined.
 RULE_TERMS = 20_000
+_RULE = ["class", "label", "rank", "rule"]
 
 
 def rule_text(terms: list[tuple[bool, str]]) -> str:
@@ -35,13 +40,47 @@ def _among(words: str, dictionary: list[str]) -> Column:
 def fired(records: DataFrame, key: str, words: str, rules: DataFrame) -> DataFrame:
     """The labels whose rules fire on a record's words (an array): key, class, label, rank, rule.
 
-    Rules are configuration, RULE_TERMS at most. Only a record's words that rules have become rows, and a rule fires if
-    all its positive words are there and no negative one. A rule without positive words is decided in the record's row,
-    as it fires on all that have none of its words, also on records without words.
+    A rule fires if all its positive words are there and no negative one; without positive words, on all records that have
+    none of its words, also on records without words. Keys are unique. Rules of RULE_TERMS terms at most are a part of the
+    plan, more are looked up by ``fired_by_index``.
     """
     terms = rules.limit(RULE_TERMS + 1).collect()
-    if len(terms) > RULE_TERMS:
-        raise ValueError(f"more than {RULE_TERMS} terms of rules")
+    return _fired(records, key, words, rules, terms) if len(terms) <= RULE_TERMS else fired_by_index(records, key, words, rules)
+
+
+def fired_by_index(records: DataFrame, key: str, words: str, rules: DataFrame, lot: int = RULE_TERMS) -> DataFrame:
+    """The same for any number of rules: each is found by the one of its positive words that the fewest records have.
+
+    Only records with that word are held against the rule's other words, and a rule of one word is decided by it. Rules
+    without positive words fire on nearly all records and are decided in the records' rows, in lots of about ``lot`` terms.
+    """
+    held = cut(records.select(key, F.array_distinct(F.coalesce(words, F.array().cast("array<string>"))).alias("ws")))
+    each = held.select(key, F.explode("ws").alias("word"))
+    whole = cut(rules.groupBy(*_RULE).agg(F.collect_set(F.when(F.col("positive"), F.col("word"))).alias("pos"), F.collect_set(F.when(~F.col("positive"), F.col("word"))).alias("neg")))
+    asked = whole.where(F.size("pos") > 0).select(*_RULE, F.explode("pos").alias("word"), (F.size("pos") + F.size("neg") == 1).alias("alone"))
+    # A positive word that no record has is rarer than all, and its rule meets nothing.
+    known = each.join(asked.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    rare = F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word")
+    index = asked.join(known, "word", "left").groupBy(*_RULE, "alone").agg(rare)
+    met = each.join(index, "word")
+    found = met.where("alone").select(key, *_RULE)
+    open_ = met.where("not alone").select(key, *_RULE).join(whole, _RULE).join(held, key)
+    found = found.unionByName(open_.where((F.size(F.array_intersect("pos", "ws")) == F.size("pos")) & ~F.arrays_overlap("neg", "ws")).select(key, *_RULE))
+    waiting: list[tuple] = []
+    for rule in whole.where(F.size("pos") == 0).toLocalIterator():
+        waiting += [(rule["class"], rule.label, rule["rank"], rule.rule, word, False) for word in rule.neg]
+        if len(waiting) >= lot:
+            found, waiting = found.unionByName(_bare(held, key, waiting)), []
+    return found.unionByName(_bare(held, key, waiting)) if waiting else found
+
+
+def _bare(held: DataFrame, key: str, rows: list[tuple]) -> DataFrame:
+    rules = held.sparkSession.createDataFrame(rows, RULES)
+    return _fired(held, key, "ws", rules, rules.collect())
+
+
+def _fired(records: DataFrame, key: str, words: str, rules: DataFrame, terms: list[Row]) -> DataFrame:
+    """Only a record's words that rules have become rows; a rule without positive words is decided in the record's row."""
     every: dict[tuple, list] = {}
     for t in terms:
         every.setdefault((t["class"], t.label, t["rank"], t.rule), []).append(t)
@@ -70,18 +109,19 @@ def annotated(found: DataFrame, key: str) -> DataFrame:
 
 def looked_up(records: DataFrame, key: str, codes: str, areas: DataFrame, code: str, area: str) -> DataFrame:
     """The sorted areas of a record's codes, comma-joined; records without any are left out."""
-    pairs = records.select(key, F.explode(codes).alias(code)).join(F.broadcast(areas.where(F.col(area).isNotNull())), code)
+    pairs = records.select(key, F.explode(codes).alias(code)).join(few(areas.where(F.col(area).isNotNull())), code)
     return pairs.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(area)), ", ").alias("areas"))
 
 
 def unique_label(records: DataFrame, key: str, words: str, dictionary: DataFrame) -> DataFrame:
-    """The label of a record's words, where all that have one have the same: key, label.
+    """The label of a record's words, where all that have one have the same: key, label. Keys are unique.
 
-    The dictionary (word, label) is configuration, RULE_TERMS words at most, and records are decided in their rows.
+    With a dictionary (word, label) of RULE_TERMS words at most, records are decided in their rows; a larger one is joined.
     """
     pairs = dictionary.limit(RULE_TERMS + 1).collect()
     if len(pairs) > RULE_TERMS:
-        raise ValueError(f"more than {RULE_TERMS} words of a dictionary")
+        each = records.select(key, F.explode(F.array_distinct(words)).alias("word")).join(dictionary.select("word", "label").distinct(), "word")
+        return each.groupBy(key).agg(F.min("label").alias("label"), F.max("label").alias("__other")).where("label = __other").select(key, "label")
     if not pairs:
         return records.select(key, F.lit(None).cast("string").alias("label")).limit(0)
     labels: dict[str, set] = {}
@@ -125,8 +165,7 @@ def reverted(annotations: DataFrame, blamed: DataFrame, language: str) -> DataFr
 
 def best_material(records: DataFrame, by: list[str], pages: Column, year: Column, key: str) -> DataFrame:
     """The records of each group from most to fewest pages, then by latest year and key, with their place."""
-    order = Window.partitionBy(*by).orderBy(pages.desc(), year.desc(), F.desc(key))
-    return records.withColumn("place", F.row_number().over(order))
+    return placed(records, by, [pages.desc(), year.desc(), F.desc(key)])
 
 
 def descriptive_material(records: DataFrame, types: DataFrame, unsorted: str | None = "!Unsorted") -> DataFrame:
@@ -140,9 +179,9 @@ def descriptive_material(records: DataFrame, types: DataFrame, unsorted: str | N
     languages = F.when(F.size(F.coalesce("languages", F.array().cast("array<string>"))) > 0, F.array_distinct("languages")).otherwise(lost)
     shared = F.coalesce(F.col("pages"), F.lit(0)) / F.size("kinds")
     each = records.where(F.size("kinds") > 0).select("key", "year", shared.alias("pages"), F.explode(languages).alias("language"), "kinds")
-    ranked = each.withColumn("kind", F.explode(F.array_distinct("kinds"))).join(F.broadcast(types.select("kind", F.col("place").alias("rank"))), "kind")
-    order = Window.partitionBy("language").orderBy(F.desc("rank"), F.desc("pages"), F.desc("year"), F.desc("key"))
-    return ranked.select("language", F.row_number().over(order).alias("place"), "kind", "rank", "pages", "year", "key")
+    ranked = each.withColumn("kind", F.explode(F.array_distinct("kinds"))).join(few(types.select("kind", F.col("place").alias("rank"))), "kind")
+    out = placed(ranked.select("language", "kind", "rank", "pages", "year", "key"), ["language"], [F.desc("rank"), F.desc("pages"), F.desc("year"), F.desc("key")])
+    return out.select("language", "place", "kind", "rank", "pages", "year", "key")
 
 
 def marked(records: DataFrame, rules: DataFrame, words: Callable[[Column], Column]) -> DataFrame:

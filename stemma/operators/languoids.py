@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemma.joins import few
+
 TOLERANCE = 0.001
 
 
@@ -43,7 +45,7 @@ def equal_sets(a: Column, b: Column) -> Column:
 
 def lineage_by_code(classification: DataFrame, names: DataFrame) -> DataFrame:
     """hid and the names of its ancestors, farthest first, from arrays of keys that begin with the own one."""
-    each = classification.select("hid", F.posexplode("pks").alias("i", "pk")).where("i > 0").join(F.broadcast(names), "pk")
+    each = classification.select("hid", F.posexplode("pks").alias("i", "pk")).where("i > 0").join(few(names), "pk")
     return each.groupBy("hid").agg(F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("i", "name")))), lambda x: x["name"]).alias("lineage"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemma.joins import few
 from stemma.model import IGNORE_FIELDS, UNION_FIELDS
 
 
@@ -19,11 +20,11 @@ def stem(filename: Column) -> Column:
 
 def with_priority(values: DataFrame, files: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """Values with their priority: that of (filename, field), if overridden, else that of the file. Values of unknown files go."""
-    out = values.join(F.broadcast(files.select("filename", "priority")), "filename")
+    out = values.join(few(files.select("filename", "priority")), "filename")
     if overrides is None:
         return out
     own = overrides.select("filename", "field", F.col("priority").alias("__own"))
-    return out.join(F.broadcast(own), ["filename", "field"], "left").withColumn("priority", F.coalesce("__own", "priority")).drop("__own")
+    return out.join(few(own), ["filename", "field"], "left").withColumn("priority", F.coalesce("__own", "priority")).drop("__own")
 
 
 def _rank() -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as fn
 from stemma.operators import annotate, compare, keyid
-from stemma.plans.registry import query, table
+from stemma.plans.registry import SQL, query, table
 
 #: Small rule and word tables of these queries.
 RULE_SET = {
@@ -81,6 +81,14 @@ def trigger_annotate(spark: SparkSession, folder: str) -> DataFrame:
     return annotate.annotated(annotate.fired(d.select("doc_id", fn.words(F.col("text")).alias("ws")), "doc_id", "ws", rules), "doc_id")
 
 
+@query(SQL["trigger_annotate"])
+def trigger_annotate_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by the way for any number of rules: each found by the rarest of its words."""
+    d = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+    rules = spark.createDataFrame(annotate.rule_rows(RULE_SET), annotate.RULES)
+    return annotate.annotated(annotate.fired_by_index(d.select("doc_id", fn.words(F.col("text")).alias("ws")), "doc_id", "ws", rules), "doc_id")
+
+
 @query("""SELECT rule, string_agg(DISTINCT label, ', ' ORDER BY label) AS labels FROM (
 SELECT CASE WHEN p_size % 2 = 0 THEN a || ' and ' || b ELSE 'not ' || a || ' and ' || b END AS rule, p_brand AS label FROM (
 SELECT p_size, p_brand, least(lower(split_part(p_type, ' ', 1)), lower(split_part(p_name, ' ', 1))) AS a, greatest(lower(split_part(p_type, ' ', 1)), lower(split_part(p_name, ' ', 1))) AS b FROM part) WHERE a <> b) GROUP BY rule""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.functions.text import split_trimmed
@@ -102,9 +102,9 @@ def delimited(spark: SparkSession, path: str, columns: list[str] | None = None,
 
 
 def last_by_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """One row for each key, the last in order."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return rows.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    """One row for each key, the last in order; a key's rows are summed before they meet."""
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(order)).alias("__last"))
+    return last.select("__last.*")
 
 
 def natural_sorted(paths: list[str]) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stemma.joins import few
 from stemma.operators import references
 from stemma.operators.languoids import group_heading, language_line
 from stemma.sources import bibtex, text_files
@@ -42,7 +43,7 @@ def written_back(entries: DataFrame, assigned: DataFrame, field: str = "ref_id")
     Columns: filename, entry_pos, bibkey, entrytype, fields, conflict (the entry's id isn't the earlier one).
     """
     delta = assigned.where(~F.col("id").eqNullSafe(F.col("refid"))).select("filename", "bibkey", "refid", "id")
-    touched = entries.join(F.broadcast(delta.select("filename").distinct()), "filename", "left_semi")
+    touched = entries.join(few(delta.select("filename").distinct()), "filename", "left_semi")
     j = touched.join(delta, ["filename", "bibkey"], "left")
     rest = F.map_filter("fields", lambda k, _: k != field)
     new = F.when(F.col("id").isNull(), F.col("fields")).otherwise(F.map_concat(rest, F.create_map(F.lit(field), F.col("id").cast("string"))))

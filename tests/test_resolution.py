@@ -109,11 +109,20 @@ def test_conservative_marking(spark):
     assert [tuple(r) for r in log.collect()] == [("abc", "wordlist", "grammar", 'grammar (computerized assignment from "grammar")', "n1")]
 
 
-def test_rules_are_bounded(spark, monkeypatch):
+def test_many_rules_are_joined(spark, monkeypatch):
+    """Rules by their rarest word, and a dictionary by a join, against the ways for few of them."""
+    draw = random.Random(11)
+    names = [f"w{k}" for k in range(25)]
+    docs = spark.createDataFrame([(k, draw.choices(names, range(1, 26), k=draw.randint(0, 9))) for k in range(150)] + [(900, None), (901, [])], "k int, ws array<string>")
+    rules = {("kind", f"l{k % 7}", k % 7): [[(draw.random() < 0.6, w) for w in draw.sample([*names, "never"], draw.randint(1, 3))] for _ in range(4)] for k in range(30)}
+    table = spark.createDataFrame(annotate.rule_rows(rules), annotate.RULES).distinct()
+    dictionary = spark.createDataFrame([(w, f"l{k % 3}") for k, w in enumerate(names[:12])] + [("w3", "other")], "word string, label string")
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    want, labels = rows(annotate.fired(docs, "k", "ws", table)), rows(annotate.unique_label(docs, "k", "ws", dictionary))
+    assert rows(annotate.fired_by_index(docs, "k", "ws", table, lot=5)) == want and labels
     monkeypatch.setattr(annotate, "RULE_TERMS", 1)
-    docs = spark.createDataFrame([(1, ["a"])], "k int, ws array<string>")
-    with pytest.raises(ValueError):
-        annotate.unique_label(docs, "k", "ws", spark.createDataFrame([("a", "x"), ("b", "y")], "word string, label string"))
+    assert rows(annotate.fired(docs, "k", "ws", table)) == want
+    assert rows(annotate.unique_label(docs, "k", "ws", dictionary)) == labels
 
 
 def test_labels_of_ambiguous_words(spark):

@@ -4,7 +4,10 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from stemma.operators import trees
+from stemma.operators.ranges import placed
 
 
 @pytest.mark.parametrize("partitions", [1, 7, 40])
@@ -50,3 +53,15 @@ def test_a_deep_path_is_a_tree(spark):
     """2,000 places, of which the routes would be 2,000,000."""
     deep = spark.createDataFrame([([f"p{k}" for k in range(2_000)], "m", 1)], "path array<string>, name string, code long")
     assert trees.is_tree(deep).first().is_tree
+
+
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_places_in_groups_of_any_size(spark, partitions):
+    draw = random.Random(3)
+    rows = [("big", draw.randint(0, 50), k) for k in range(400)] + [(f"g{k % 5}", None if k % 4 == 0 else k % 7, 1_000 + k) for k in range(60)] + [(None, 1, 5_000), (None, 2, 5_001)]
+    df = spark.createDataFrame(rows, "g string, score int, k int")
+    got = {r.k: r.place for r in placed(df, ["g"], [F.desc("score"), F.asc("k")], partitions=partitions).collect()}
+    for g in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        assert [got[r[2]] for r in own] == list(range(1, len(own) + 1))
+    assert placed(df.limit(0), ["g"], [F.desc("score")], partitions=partitions).count() == 0
