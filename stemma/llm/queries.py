@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import alignment, decontaminate, fingerprint, jaccard_join, language_id, lm, packing, secrets, sharding, spelling, token_counts, topk, toxicity
+from stemma.llm import alignment, decontaminate, fingerprint, jaccard_join, language_id, lm, oracles, packing, secrets, sharding, spelling, token_counts, topk, toxicity
 from stemma.llm.storage import crc_of_id, cut, keyed
 
 
@@ -113,4 +113,4 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {x.__name__: x for x in (op1_toxicity, op2_decontamination, op3_language, op4_sharding, op5_lm_scoring, op6_packing, op7_fingerprints, op8_token_counts, op9_jaccard_join, op10_secrets, op11_spelling, op12_topk, op13_alignment)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_decontamination": oracles.DECONTAMINATION, "op11_spelling": oracles.SPELLING, "op12_topk": oracles.TOPK}

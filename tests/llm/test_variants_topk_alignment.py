@@ -6,7 +6,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -265,3 +267,19 @@ def test_the_first_language_model_is_of_bounded_size(spark):
     assert model.tokens == 500 * 10 + 20 * 4 and counts.count() == 8 + 1 + 2 + 5
     scored = lm.score(docs, model, counts, ["doc_id"]).collect()
     assert len(scored) == 520 and all(np.isfinite(r.score) for r in scored)
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_as_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    want = con.sql(queries.SQL[name]).df()
+    got = queries.QUERIES[name](spark, FOLDER).toPandas()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, rows_plain(got))) == sorted(map(str, rows_plain(want)))
+
+
+def rows_plain(df):
+    """Rows with integers and nulls of one kind."""
+    return [tuple(None if pd.isna(v) else int(v) if isinstance(v, (int, float, np.integer, np.floating)) and not isinstance(v, bool) else v for v in r) for r in df[sorted(df.columns)].astype(object).itertuples(index=False)]
