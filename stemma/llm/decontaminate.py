@@ -134,7 +134,11 @@ def contaminated(hit: Column, n_words: Column) -> Column:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated, with their columns."""
+    """The rows of ``docs`` that aren't contaminated, with their columns.
+
+    Null and empty texts stay, rows of one id and text stay or go together, and without items all rows stay. Null items have
+    no windows.
+    """
     found = scan(docs, items)
     bad = cut(found.where(contaminated(n_hit(F.col("hits")), F.col("n_words"))).select("doc_id", "text_key").distinct())
     return without(docs, bad, bad.count())

@@ -120,7 +120,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """Counts of all tokens in all texts: name, class, n. Each worker sums its own first."""
+    """Counts of all tokens in all texts: name, class, n. Each worker sums its own first.
+
+    Null and empty texts have the end token alone, repeated rows count each, and without rows the table is empty.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -139,7 +139,7 @@ def scan(docs: DataFrame, text: str = "text", out: str = "secret_spans") -> Data
 
 
 def written(spans: Column) -> Column:
-    """The spans as kind:start:end, comma-joined."""
+    """The spans as kind:start:end, comma-joined; no spans are an empty text, and null ones null."""
     kinds = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 

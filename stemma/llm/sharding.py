@@ -104,7 +104,11 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
 
 
 def levelled(state: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Move as few nodes as it takes for counts that differ by one at most, unlinked ones first, and number each shard from 0."""
+    """Move as few nodes as it takes for counts that differ by one at most, unlinked ones first, and number each shard from 0.
+
+    ``state`` (node, shard, linked) has each node once, without nulls; shards without nodes get their share, and without
+    nodes there are no rows.
+    """
     counted = {(r.shard, r.linked): r["count"] for r in state.groupBy("shard", "linked").count().collect()}
     tied = [counted.get((s, True), 0) for s in range(shards)]
     counts = [tied[s] + counted.get((s, False), 0) for s in range(shards)]
