@@ -9,4 +9,4 @@ def load() -> None:
         importlib.import_module(f"stemma.plans.{name}")
 
 
-MODULES = ["merging", "identity", "annotation", "structure", "setops", "stream", "upkeep"]
+MODULES = ["merging", "identity", "annotation", "structure", "setops", "stream", "upkeep", "sourcing"]
