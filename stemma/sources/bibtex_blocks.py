@@ -1,4 +1,4 @@
-"""Large BibTeX files read by many tasks: each block of a file's lines is a task's, and entries over borders are put together.
+"""Large BibTeX files read by many tasks: a task reads whole blocks of a file's lines, and entries over borders are put together.
 
 Where an entry begins hangs on the braces before it. So a first pass tells of each block what it makes of every depth of
 braces that may come in, up to DEPTHS: the depth that goes out, and whether the entry that comes in ends in it. A block that
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +30,8 @@ _BRACE = re.compile(r"\\.|[{}]", re.S)
 _TYPE = re.compile(r"@\s*([^\s\"#%'(),={}]+)\s*(.?)", re.S)
 #: What is given for a depth that a block can't answer for.
 OPEN = -1
+#: Bytes of small blocks that a task reads one after another, and entries that leave a task's Python at once.
+TASK_BYTES, ENTRIES = 8 << 20, 1_000
 _KEY = ["path", "start"]
 
 
@@ -81,9 +84,23 @@ def answers(text: str) -> tuple[list[int], list[bool], int]:
     return out, reaches, total if len(lows) <= DEPTHS else None
 
 
-def lines_of(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of files with their block: path, start, line, value; in a task, a block's lines follow each other in the order of ``line``."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"), "value")
+def lines_of(spark: SparkSession, path: str, block: int | None = None) -> DataFrame:
+    """The lines of files with their block: path, start, line, value; in a task, a block's lines follow each other in the order of ``line``.
+
+    Blocks of ``block`` bytes, which the session's reading has made, are put together to tasks of about TASK_BYTES.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"), "value")
+    if not block or block >= TASK_BYTES:
+        return lines
+    blocks = lines.rdd.getNumPartitions()
+    return lines.coalesce(max(1, blocks * block // TASK_BYTES, min(blocks, 4 * spark.sparkContext.defaultParallelism)))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches one by one, so that one text at a time is a Python string."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple]:
@@ -151,17 +168,27 @@ def pieces(lines: DataFrame, states: DataFrame) -> DataFrame:
 def _strings(own: DataFrame) -> DataFrame:
     """What the earlier pieces of a file define: path, owner, given (text)."""
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"path": batch["path"], "owner": batch["owner"], "given": [bibtex.definitions(t) for t in batch["text"]]})
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, owner, text in _texts(batches):
+            yield pa.record_batch([pa.array([path]), pa.array([owner], pa.int64()), pa.array([bibtex.definitions(text)])], ["path", "owner", "given"])
 
-    defined = own.where(F.regexp_like("text", F.lit(r"(?i)@\s*string"))).mapInPandas(found, "path string, owner long, given string")
+    defined = own.where(F.regexp_like("text", F.lit(r"(?i)@\s*string"))).select("path", "owner", "text").mapInArrow(found, "path string, owner long, given string")
     # A row for each piece that defines something, which are few, joined with the pieces behind it in the file.
     before = own.select("path", F.col("owner").alias("behind")).join(few(cut(defined)), "path").where("behind > owner")
     listed = F.transform(F.array_sort(F.collect_list(F.struct("owner", "given"))), lambda x: x["given"])
     return before.groupBy("path", F.col("behind").alias("owner")).agg(F.array_join(listed, "\n").alias("given"))
 
 
+def entry_batches(batches: Iterator[pa.RecordBatch], encoding: str) -> Iterator[pa.RecordBatch]:
+    """The entries of texts (path, owner, text, given), ENTRIES at a time, whatever there is of texts in a batch and of entries in a text."""
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()]
+    names = ["path", "owner", "filename", "place", "bibkey", "entrytype", "fields", "error"]
+    for path, owner, text, given in _texts(batches):
+        found = bibtex.rows(path.rsplit("/", 1)[-1], text, "failfast", encoding, given or "")
+        while part := [(path, owner, *r) for r in islice(found, ENTRIES)]:
+            yield pa.record_batch([pa.array(x, kind) for x, kind in zip(zip(*part), kinds)], names)
+
+
 def read(spark: SparkSession, path: str, encoding: str = "utf-8", block: int | None = None) -> DataFrame:
     """Entries as ``bibtex.read`` gives them strictly, of files of any size: filename, entry_pos, bibkey, entrytype, fields, error.
 
@@ -173,7 +200,7 @@ def read(spark: SparkSession, path: str, encoding: str = "utf-8", block: int | N
     if block:
         spark.conf.set(name, str(block))
     try:
-        lines = lines_of(spark, path)
+        lines = lines_of(spark, path, block)
         states = cut(block_states(lines))
         own = cut(pieces(lines, states))
     finally:
@@ -181,14 +208,7 @@ def read(spark: SparkSession, path: str, encoding: str = "utf-8", block: int | N
     odd = [r.path for r in states.where("odd").select("path").distinct().collect()]
     texts = own.join(_strings(own), ["path", "owner"], "left")
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for p, owner, text, given in zip(batch["path"], batch["owner"], batch["text"], batch["given"]):
-                out += [(p, owner, *r) for r in bibtex.rows(p.rsplit("/", 1)[-1], text, "failfast", encoding, given or "")]
-            yield pd.DataFrame(out, columns=["path", "owner", "filename", "place", "bibkey", "entrytype", "fields", "error"])
-
-    read_ = cut(texts.mapInPandas(entries, "path string, owner long, filename string, place long, bibkey string, entrytype string, fields map<string,string>, error string"))
+    read_ = cut(texts.select("path", "owner", "text", "given").mapInArrow(lambda batches: entry_batches(batches, encoding), "path string, owner long, filename string, place long, bibkey string, entrytype string, fields map<string,string>, error string"))
     earlier = Window.partitionBy("path").orderBy("owner").rowsBetween(Window.unboundedPreceding, -1)
     base = read_.groupBy("path", "owner").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     out = read_.join(few(cut(base)), ["path", "owner"]).select("filename", (F.col("base") + F.col("place")).alias("entry_pos"), "bibkey", "entrytype", "fields", "error")

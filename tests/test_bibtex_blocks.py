@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from stemma.sources import bibtex, bibtex_blocks
@@ -53,3 +54,27 @@ def test_answers_of_a_block():
             assert (out[d], reaches[d]) == (depth, d == 0 or first >= 0)
         deep, first, _ = bibtex_blocks.ends_of(text, 0, 1000)
         assert first < 0 and deep == 1000 + raised if raised is not None else True
+
+
+def test_entries_leave_a_task_some_at_a_time():
+    """The entries of a batch of texts and those of a long text come in parts, before the rest is read."""
+    texts = ["".join(f"@misc{{k{k},\n  title = {{of {t}}}\n}}\n" for k in range(n)) for t, n in enumerate((2_500, 3, 0, 1_001))] + ["@misc{broken"]
+    batch = pa.record_batch([pa.array(["d/a.bib"] * 5), pa.array(range(5)), pa.array(texts), pa.array([None] * 5, pa.string())], ["path", "owner", "text", "given"])
+    out = bibtex_blocks.entry_batches(iter([batch]), "utf-8")
+    parts = [next(out) for _ in range(6)]
+    assert [p.num_rows for p in parts] == [1000, 1000, 500, 3, 1000, 1]
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [(r["owner"], r["place"], r["bibkey"]) for r in rows] == [(t, k, f"k{k}") for t, n in enumerate((2_500, 3, 0, 1_001)) for k in range(n)]
+    assert dict(rows[2_500]["fields"]) == {"title": "of 1"} and rows[0]["filename"] == "a.bib"
+    with pytest.raises(bibtex.SyntaxProblem):
+        next(out)
+
+
+def test_small_blocks_share_tasks(spark, tmp_path):
+    (tmp_path / "a.bib").write_text("@misc{k, note = {fine}}\n" * 1_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        lines = bibtex_blocks.lines_of(spark, f"file://{tmp_path}/a.bib", 100)
+        assert lines.select("start").distinct().count() > 100 and lines.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
