@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,20 +44,27 @@ def _bucket(word: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
 
 
+def possible_places(titles: pa.Array, known: np.ndarray, count: int) -> pa.Array:
+    """Of each title's buckets the places of ``_possible``. A batch stays one flat array; a title's ranges are taken alone."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(titles), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    flat, out, start = titles.flatten().to_numpy(), [], 0
+    for end in ends:
+        lo, hi = known[flat[start:end]].T
+        out.append((np.flatnonzero(lo <= np.partition(hi, count - 1)[count - 1]) if len(lo) > count else np.arange(len(lo))).astype(np.int32))
+        start = end
+    offsets = np.cumsum([0, *map(len, out)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *out])))
+
+
 def _possible(context: SparkContext, ranges: np.ndarray, count: int):
     """A function of a title's buckets: the places of words that can be among the ``count`` rarest, by the ranges of their buckets."""
     shared = context.broadcast(ranges)
 
-    def places(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
+    def places(titles: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in titles:
-            out = []
-            for buckets in batch:
-                lo, hi = known[np.asarray([] if buckets is None else buckets, np.int64)].T
-                out.append(np.flatnonzero(lo <= np.partition(hi, count - 1)[count - 1]) if len(lo) > count else np.arange(len(lo)))
-            yield pd.Series(out)
+            yield possible_places(batch, shared.value, count)
 
-    return F.pandas_udf(places, T.ArrayType(T.IntegerType()))
+    return F.arrow_udf(places, T.ArrayType(T.IntegerType()))
 
 
 def ranked(entries: DataFrame, key: str, frequencies: DataFrame, count: int = 2, title: str = "title", complete: bool = False, buckets: int = BUCKETS) -> DataFrame:

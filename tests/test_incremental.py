@@ -1,7 +1,10 @@
 """A state that was updated after edits against one that is built anew."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +108,19 @@ def test_few_rows_are_sent(spark):
     assert "Broadcast" in joined._jdf.queryExecution().executedPlan().toString()
     long = spark.range(40).withColumn("s", F.repeat(F.lit("x"), 1 << 20))
     assert few(long) is long
+
+
+def test_places_of_a_batch_stay_flat():
+    """The places of words that can be among the rarest, as a plain walk tells them, without Python objects or copies of a batch's buckets."""
+    draw = random.Random(5)
+    lo = [draw.randint(1, 30) for _ in range(64)]
+    known = np.array([(a, a + draw.randint(0, 9)) for a in lo])
+    titles = [draw.choices(range(64), k=n) for n in (0, 1, 2, 3, 9, 40)] + [None]
+    want = [[i for i, b in enumerate(t or []) if len(t) <= 2 or known[b, 0] <= sorted(known[t, 1])[1]] for t in titles]
+    batch = pa.array(titles, pa.list_(pa.int32()))
+    assert keyid.possible_places(batch, known, 2).to_pylist() == want and keyid.possible_places(batch[3:], known, 2).to_pylist() == want[3:]
+    long = pa.ListArray.from_arrays(pa.array(np.arange(0, 2_000_001, 1_000, np.int32)), pa.array(np.tile(np.arange(64, dtype=np.int32), 31_250)))
+    tracemalloc.start()
+    keyid.possible_places(long, known, 2)
+    assert tracemalloc.get_traced_memory()[1] < 4_000_000
+    tracemalloc.stop()
