@@ -1,5 +1,6 @@
 """Ids by similarity, null keys, hot keys, references, marking and names, against plain Python."""
 
+import os
 import random
 
 import pytest
@@ -57,6 +58,56 @@ def test_resolved_as_in_python(spark, seed):
     assert {r.bibkey: r.id for r in resolve.resolved(df, v, files).collect()} == resolved_in_python(rows, records("refid"), records("hash"))
 
 
+def test_held_records_are_compared_as_by_difflib():
+    """Texts of all lengths about the one from which characters are popular, on both sides, to the last bit; what is given up can't win."""
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choices(rng.choice(["ab", "0123456789#fp, ", "é€a😀", "abcdefghijklmnop"]), k=rng.choice([0, 1, 5, 40, 199, 200, 400])))
+    record = lambda: {f: text() for f in ("author", "title", "year", "note", "srctrickle") if rng.random() < 0.8}
+    for _ in range(40):
+        own, others = record(), [record() for _ in range(6)]
+        for left in (True, False):
+            held = resolve.Held(own, left)
+            exact = [resolve.distance(own, o) if left else resolve.distance(o, own) for o in others]
+            assert [held.distance(o) for o in others] == exact
+            limit = sorted(exact)[2]
+            kept = [resolve.Held(own, left).distance(o, lambda d: d <= limit) for o in others]
+            assert all(k == d if d <= limit else k in (None, d) for k, d in zip(kept, exact))
+
+
+def copies(n):
+    """``n`` earlier ids with four entries each, of seven hashes: rows and values."""
+    rng = random.Random(n)
+    rows = [{"filename": f"f{rng.randrange(3)}.bib", "bibkey": f"k{i}", "refid": i // 4 if i % 9 else None, "hash": f"h{rng.randrange(7)}"} for i in range(4 * n)]
+    return rows, [(r["filename"], r["bibkey"], f, v) for r in rows for f, v in (("title", r["hash"] * 3), ("year", rng.choice(["1901", "1902"])), ("ENTRYTYPE", "book"))]
+
+
+def resolved_copies(spark, n):
+    rows, values = copies(n)
+    df, v = spark.createDataFrame([tuple(r.values()) for r in rows], ENTRY), spark.createDataFrame(values, "filename string, bibkey string, field string, value string")
+    return rows, df, v, spark.createDataFrame([("f0.bib", 5), ("f1.bib", 9), ("f2.bib", 1)], "filename string, priority long")
+
+
+def test_candidates_in_shares(spark, monkeypatch):
+    """Records that list hundreds of entries, whose candidates are compared in several shares."""
+    monkeypatch.setattr(resolve, "SHARE", 5)
+    rows, df, v, files = resolved_copies(spark, 60)
+    records = lambda key: {r[key]: dict(r.fields) for r in resolve._records(df, v, files, key).collect()}
+    assert {r.bibkey: r.id for r in resolve.resolved(df, v, files).collect()} == resolved_in_python(rows, records("refid"), records("hash"))
+
+
+def test_long_records_dont_go_with_each_candidate(spark):
+    """A hash's record lists its entries, so if each candidate had one, what is stored would grow with the square of the copies."""
+    folder = lineage.shared_folder(spark).removeprefix("file://")
+    stored = lambda: sum(os.path.getsize(f"{at}/{x}") for at, _, names in os.walk(folder) for x in names)
+    sizes = []
+    for n in (100, 800):
+        _, df, v, files = resolved_copies(spark, n)
+        before = stored()
+        resolve.resolved(df, v, files).count()
+        sizes.append(stored() - before)
+    assert sizes[1] < 10 * sizes[0]
+
+
 def test_entries_without_hash_are_kept(spark):
     rows = [("f", "a", 1, "x"), ("f", "b", None, None), ("f", "c", 2, None), ("f", "d", None, "x"), ("f", "e", None, "y"), ("f", "g", None, None)]
     out = {r.bibkey: r.id for r in identity.assign_ids(spark.createDataFrame(rows, ENTRY)).collect()}
